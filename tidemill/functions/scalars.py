@@ -31,6 +31,15 @@ def mean(c: Column) -> Column:
     return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
 
 
+def last_known(value: str, by: str) -> Column:
+    """Aggregate: the value on the latest date that has one."""
+    return F.max_by(value, F.when(F.col(value).isNotNull(), F.col(by)))
+
+
+def first_known(value: str, by: str) -> Column:
+    return F.min_by(value, F.when(F.col(value).isNotNull(), F.col(by)))
+
+
 def days_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(86_400e6)
 

@@ -154,7 +154,7 @@ def series_resample(df: DataFrame, frequency: str, method: str = "avg", keys=("s
     made = {
         "avg": F.avg(v),
         "sum": F.sum(F.col("value")).cast("double"),
-        "eop": F.max_by(v, F.col(date)),
+        "eop": F.max_by(v, F.when(v.isNotNull(), F.col(date))),
     }[method]
     return df.groupBy(*keys, period_start(F.col(date), frequency).alias("period")).agg(made.alias("value"))
 

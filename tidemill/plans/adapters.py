@@ -6,6 +6,8 @@ column names the staging functions expect.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,7 +241,8 @@ def coin_prices(spark, sf) -> DataFrame:
     o = table(spark, sf, "orders")
     slot = F.col("o_custkey") % 5
     day = F.col("o_orderdate").cast("timestamp")
-    pct = (F.sum("o_orderkey") % 2001 - 1000).cast("decimal(10,4)") / 100
+    hundredth = F.lit(Decimal("0.01"))
+    pct = (F.sum("o_orderkey") % 2001 - 1000).cast("decimal(10,4)") * hundredth
     return (
         o.groupBy(slot.alias("slot"), day.alias("last_updated"))
         .agg(
@@ -255,7 +258,7 @@ def coin_prices(spark, sf) -> DataFrame:
             "current_price",
             "market_cap",
             "total_volume",
-            (F.col("current_price") * F.col("price_change_percentage_24h") / 100)
+            (F.col("current_price") * F.col("price_change_percentage_24h") * hundredth)
             .cast("decimal(18,4)").alias("price_change_24h"),
             "price_change_percentage_24h",
             "last_updated",
@@ -286,8 +289,8 @@ def chain_stats(spark, sf) -> DataFrame:
             (F.count("*") * 1000 + 1).alias("n_tx"),
             (F.sum("o_custkey") * 1000000).alias("total_btc_sent"),
             (F.sum("o_custkey") * 500000).alias("estimated_btc_sent"),
-            (F.sum(_money("o_totalprice")) / 100).cast("decimal(20,2)").alias("miners_revenue_usd"),
-            (F.max(_money("o_totalprice")) / 10).cast("decimal(20,2)").alias("market_price_usd"),
+            F.sum(_money("o_totalprice")).cast("decimal(20,2)").alias("miners_revenue_usd"),
+            F.max(_money("o_totalprice")).cast("decimal(20,2)").alias("market_price_usd"),
             F.min("o_orderkey").alias("mempool_bytes"),
             F.max("o_custkey").alias("block_height"),
             (F.count("*") * 50 + 25).cast("double").alias("btc_mined_daily"),
@@ -301,19 +304,22 @@ def chain_stats(spark, sf) -> DataFrame:
 def macro_series(spark, sf) -> DataFrame:
     """Long series: sixteen monthly series, each the scaled mean of a sixteenth of the orders."""
     codes = list(SERIES_SCALES)
-    shift = F.create_map(*[F.lit(x) for k in codes for x in (k, float(SERIES_SCALES[k][0]))])
-    scale = F.create_map(*[F.lit(x) for k in codes for x in (k, float(SERIES_SCALES[k][1]))])
+    shift = F.create_map(*[F.lit(x) for k in codes for x in (k, SERIES_SCALES[k][0])])
+    scale = F.create_map(*[F.lit(x) for k in codes for x in (k, SERIES_SCALES[k][1])])
+    cents = F.sum(_money("o_totalprice") * 100).cast("bigint")
     return (
         table(spark, sf, "orders")
         .groupBy(
             _pick(codes, F.col("o_custkey") % len(codes)).alias("series_id"),
             F.trunc("o_orderdate", "month").alias("date"),
         )
-        .agg((F.sum(_money("o_totalprice")).cast("double") / F.count("*")).alias("mean_total"))
+        .agg(cents.alias("cents"), F.count("*").alias("n"))
+        .withColumns({"shift": shift[F.col("series_id")], "scale": scale[F.col("series_id")]})
         .select(
             "series_id",
             "date",
-            F.round((F.col("mean_total") - shift[F.col("series_id")]) / scale[F.col("series_id")], 4)
+            # Whole ten-thousandths, so that every engine gets the same digits.
+            (F.expr("((cents - shift * 100 * n) * 100) div (n * scale)").cast("decimal(20,0)") * F.lit(Decimal("0.0001")))
             .cast("decimal(20,4)").alias("value"),
             F.concat(F.col("series_id"), F.lit(" title")).alias("series_title"),
             F.lit("index").alias("series_units"),

@@ -226,10 +226,10 @@ TABLES["x_coin"] = f"""
 SELECT {pick(ad.COIN_IDS, 'slot')} AS coin_id,
        lower(replace({pick(ad.MARKET_SYMBOLS, 'slot')}, 'USDT', '')) AS symbol,
        upper(coin_id[1]) || coin_id[2:] AS name, g.*,
-       CAST(current_price * pct / 100 AS DECIMAL(18,4)) AS price_change_24h
+       CAST(current_price * pct * 0.01 AS DECIMAL(18,4)) AS price_change_24h
 FROM (SELECT o_custkey % 5 AS slot, o_orderdate AS last_updated, max({_price('o_totalprice')}) AS current_price,
              sum({_price('o_totalprice')}) * 10 AS market_cap, sum({_price('o_totalprice')}) AS total_volume,
-             CAST((sum(o_orderkey) % 2001 - 1000) AS DECIMAL(10,4)) / 100 AS pct
+             CAST(CAST((sum(o_orderkey) % 2001 - 1000) AS DECIMAL(10,4)) * 0.01 AS DECIMAL(10,4)) AS pct
       FROM orders GROUP BY 1, 2) g
 """
 TABLES["x_sent"] = """
@@ -240,14 +240,16 @@ SELECT CAST(o_orderdate AS DATE) AS value_date, CAST(sum(o_orderkey) % 101 AS BI
 
 TABLES["x_series"] = f"""
 SELECT series_id, date,
-       round((mean_total - list_extract([{', '.join(str(float(a)) for a, _ in ad.SERIES_SCALES.values())}], slot + 1))
-             / list_extract([{', '.join(str(float(b)) for _, b in ad.SERIES_SCALES.values())}], slot + 1), 4) AS value,
+       (((cents - shift * 100 * n) * 100) // (n * scale)) / 10000.0 AS value,
        series_id || ' title' AS series_title, 'index' AS series_units, 'monthly' AS series_frequency,
        CAST(date AS TIMESTAMP) + INTERVAL 1 DAY AS ingested_at
-FROM (SELECT CAST(o_custkey % {len(_SERIES)} AS INTEGER) AS slot, {pick(_SERIES, f'o_custkey % {len(_SERIES)}')} AS series_id,
-             CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
-             CAST(sum({_price('o_totalprice')}) AS DOUBLE) / count(*) AS mean_total
-      FROM orders GROUP BY 1, 2, 3)
+FROM (SELECT *, list_extract([{', '.join(str(a) for a, _ in ad.SERIES_SCALES.values())}], slot + 1) AS shift,
+             list_extract([{', '.join(str(b) for _, b in ad.SERIES_SCALES.values())}], slot + 1) AS scale,
+             {pick(_SERIES, 'slot')} AS series_id
+      FROM (SELECT CAST(o_custkey % {len(_SERIES)} AS INTEGER) AS slot,
+                   CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+                   CAST(sum({_price('o_totalprice')}) * 100 AS BIGINT) AS cents, count(*) AS n
+            FROM orders GROUP BY 1, 2))
 """
 TABLES["x_wide"] = (
     "SELECT date AS observation_date, year(date) AS observation_year, month(date) AS observation_month, "
@@ -287,18 +289,18 @@ SELECT CAST(o_orderdate AS DATE) AS record_date, CAST(sum({_price('o_totalprice'
 FROM orders GROUP BY 1
 """
 TABLES["x_rate"] = f"""
-SELECT last_day(o_orderdate) AS record_date, {pick(fv.SECURITY_TYPES, 'o_custkey % 3')} AS security_type,
-       {pick(['2-Year', '5-Year', '10-Year', '30-Year'], 'o_orderkey % 4')} || ' ' || security_type AS security_desc,
-       CAST(sum(o_custkey) % 900 AS DOUBLE) / 100 AS avg_interest_rate
-FROM orders GROUP BY 1, 2, 3
+SELECT record_date, {pick(fv.SECURITY_TYPES, 'k')} AS security_type,
+       {pick(['2-Year', '5-Year', '10-Year', '30-Year'], 'm')} || ' ' || {pick(fv.SECURITY_TYPES, 'k')} AS security_desc, avg_interest_rate
+FROM (SELECT last_day(o_orderdate) AS record_date, o_custkey % 3 AS k, o_orderkey % 4 AS m,
+             CAST(sum(o_custkey) % 900 AS DOUBLE) / 100 AS avg_interest_rate
+      FROM orders GROUP BY 1, 2, 3)
 """
 TABLES["x_chain"] = f"""
 SELECT CAST(o_orderdate AS DATE) AS stat_date, CAST(sum(o_custkey) % 100000 + 1000 AS DOUBLE) AS hash_rate,
        CAST(count(*) * 1000000 AS DOUBLE) AS difficulty, max(o_orderkey) * 100000000 AS totalbc,
        count(*) AS n_blocks_total, count(*) * 1000 + 1 AS n_tx, CAST(sum(o_custkey) AS BIGINT) AS sats,
-       CAST(CAST(sum({_price('o_totalprice')}) / 100 AS DECIMAL(20,2)) AS DOUBLE) AS rev_float,
-       CAST(round(sum({_price('o_totalprice')}), 2) AS DOUBLE) AS totals,
-       max({_price('o_totalprice')}) AS top_price, min(o_orderkey) AS mempool_bytes, max(o_custkey) AS block_height,
+       CAST(sum({_price('o_totalprice')}) AS DOUBLE) AS rev_float,
+       CAST(max({_price('o_totalprice')}) AS DOUBLE) AS top_price, min(o_orderkey) AS mempool_bytes, max(o_custkey) AS block_height,
        CAST(count(*) * 50 + 25 AS DOUBLE) AS btc_mined_daily
 FROM orders GROUP BY 1
 """

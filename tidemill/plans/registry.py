@@ -14,8 +14,8 @@ from tidemill.session import prepare
 
 REGISTRY: dict[str, "Query"] = {}
 
-_SPARK_TYPES = {"i": "bigint", "f": "double", "d": "date", "t": "timestamp_ntz", "b": "boolean", "s": "string"}
-_SQL_TYPES = {"i": "BIGINT", "f": "DOUBLE", "d": "DATE", "t": "TIMESTAMP", "b": "BOOLEAN", "s": "VARCHAR"}
+_SPARK_TYPES = {"i": "bigint", "f": "double", "e": "double", "d": "date", "t": "timestamp_ntz", "b": "boolean", "s": "string"}
+_SQL_TYPES = {"i": "BIGINT", "f": "DOUBLE", "e": "DOUBLE", "d": "DATE", "t": "TIMESTAMP", "b": "BOOLEAN", "s": "VARCHAR"}
 
 
 @dataclass(frozen=True)
@@ -39,17 +39,18 @@ class Query:
         out = []
         for name, kind, digits in self.columns:
             text = f"CAST({name} AS {_SQL_TYPES[kind]})"
-            out.append(f"round({text}, {digits}) AS {name}" if kind == "f" else f"{text} AS {name}")
+            out.append(f"round({text}, {digits}) + 0.0 AS {name}" if kind == "f" else f"{text} AS {name}")
         return with_tables(f"SELECT {', '.join(out)} FROM ({self.sql.strip()}) AS answer")
 
 
 def parse_columns(spec: str) -> list[tuple[str, str, int]]:
-    """'d: day | i: n m | f2: price' -> (name, type, digits) triples; digits default to 6."""
+    """'d: day | i: n m | f2: price' -> (name, type, digits) triples; f digits default to 9, e is an
+    exact double."""
     out = []
     for part in spec.split("|"):
         kind, names = part.split(":")
         kind = kind.strip()
-        digits = int(kind[1:]) if len(kind) > 1 else 6
+        digits = int(kind[1:]) if len(kind) > 1 else 9
         out += [(name, kind[0], digits) for name in names.split()]
     return out
 
