@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tidemill.plans import catalog_commerce, catalog_macro, catalog_market  # noqa: F401
+from tidemill.plans import catalog_commerce, catalog_cross, catalog_macro, catalog_market  # noqa: F401
 from tidemill.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
