@@ -199,6 +199,19 @@ def group_percentiles(
     )
 
 
+def distinct_counts(df: DataFrame, key: str, columns: dict[str, str]) -> list[DataFrame]:
+    """One (key, count) frame per column: the number of distinct values per key.
+
+    Pairs are made unique under a shuffle on (key, value) before they are counted, so a hot key
+    is spread by its values. Separate narrow aggregates move less than one aggregate over rows
+    repeated for every distinct column, and the ones nobody reads drop out of the plan.
+    """
+    return [
+        df.select(key, c).distinct().groupBy(key).agg(F.count(c).alias(out))
+        for c, out in columns.items()
+    ]
+
+
 def latest_per_key(df: DataFrame, keys: list[str], *version: str) -> DataFrame:
     """Keep the newest row of each key. Ties fall back to the remaining columns."""
     rest = [c for c in df.columns if c not in keys]

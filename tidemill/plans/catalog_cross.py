@@ -139,7 +139,7 @@ _CORR = "f6: btc_inflation_correlation_30d btc_rates_correlation_30d btc_m2_corr
 _DAYS = "i: days_in_economic_regime days_in_policy_stance"
 register(
     "crypto_macro_mart",
-    _BTC + " | f4: btc_ma_7d btc_ma_30d | s: btc_trend btc_volume_signal economic_regime monetary_policy_stance "
+    _BTC + " | f6: btc_ma_7d btc_ma_30d | s: btc_trend btc_volume_signal economic_regime monetary_policy_stance "
     f"labor_market_health inflation_trend rate_trend inflation_hedge_status rate_impact_on_btc money_supply_impact "
     f"market_risk_level | {_CORR} | {_DAYS}",
     _BTC_SQL.format("x_mart"),

@@ -368,7 +368,7 @@ _FREQ = {
 
 @register(
     "series_resample",
-    "s: asset frequency method | d: period | f4: value",
+    "s: asset frequency method | d: period | f6: value",
     " UNION ALL ".join(
         f"SELECT asset, '{f}' AS frequency, '{m}' AS method, CAST({p} AS DATE) AS period, {a} AS value FROM x_close GROUP BY 1, 4"
         for f, p in _FREQ.items()

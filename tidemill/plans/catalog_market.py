@@ -71,7 +71,7 @@ FROM x_bar
 """
 _PERIOD = (
     "s: symbol | d: period_start period_end | e: open_price high_price low_price close_price | f2: total_volume_usd "
-    "| f4: avg_daily_volume | i: trading_days | f: return_pct | f6: volatility"
+    "| f6: avg_daily_volume | i: trading_days | f: return_pct | f6: volatility"
 )
 _PERIOD_SQL = """
 SELECT *, {end} AS period_end, (close_price - open_price) / open_price * 100 AS return_pct
@@ -105,7 +105,7 @@ FROM (SELECT b.*, k.market_cap_usd, k.volume_24h_usd AS market_volume_24h, k.vol
 register(
     "crypto_daily_analytics",
     "s: symbol | d: trade_date | e: close_price total_value_usd | f2: market_cap_usd market_volume_24h "
-    "| f: volume_to_market_cap_ratio | f4: ma_7d ma_30d volatility_7d avg_volume_7d | s: trend_signal volume_signal volatility_signal",
+    "| f: volume_to_market_cap_ratio | f6: ma_7d ma_30d volatility_7d avg_volume_7d | s: trend_signal volume_signal volatility_signal",
     "SELECT * FROM x_ana",
 )(lambda s, sf: Market(s, sf).analytics)
 for _n in ("trend_signal", "volume_signal", "volatility_signal"):
@@ -158,7 +158,7 @@ FROM (SELECT symbol, trade_date, count(d) OVER w AS n, avg(CASE WHEN d > 0 THEN
 )(lambda s, sf: mk.rsi(Market(s, sf).bars))
 register(
     "volume_spike",
-    "s: symbol | d: trade_date | f4: volume_sma_20d | b: is_high_volume",
+    "s: symbol | d: trade_date | f6: volume_sma_20d | b: is_high_volume",
     "SELECT symbol, trade_date, avg(total_value_usd) OVER w AS volume_sma_20d, total_value_usd > 2 * avg(total_value_usd) OVER w "
     "AS is_high_volume FROM x_bar WINDOW w AS (PARTITION BY symbol ORDER BY trade_date ROWS 19 PRECEDING)",
 )(lambda s, sf: mk.volume_spikes(Market(s, sf).bars))
@@ -311,7 +311,7 @@ WITH b AS (SELECT stat_date AS metric_date, hash_rate AS hash_rate_eh, (hash_rat
                   top_price * (CAST(totalbc AS DOUBLE) / 1e8) AS cap
            FROM x_chain),
 f AS (SELECT regr_slope(ln(cap), ln(stock_to_flow)) AS k, regr_intercept(ln(cap), ln(stock_to_flow)) AS a FROM b WHERE stock_to_flow > 0 AND cap > 0)
-SELECT b.*, exp(a + k * ln(stock_to_flow)) / total_btc AS s2f_model_price FROM b, f
+SELECT b.*, exp(a + k * ln(nullif(stock_to_flow, 0))) / nullif(total_btc, 0) AS s2f_model_price FROM b, f
 """,
 )(lambda s, sf: mk.onchain_metrics(Market(s, sf).chain))
 

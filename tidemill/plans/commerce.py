@@ -21,6 +21,7 @@ from tidemill.operators.ranking import (
     SINGLE_TASK_ROWS,
     Ordering,
     add_tiles,
+    distinct_counts,
     group_percentiles,
     table_percentiles,
     top_per_group,
@@ -43,10 +44,9 @@ def orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame, re
         F.count("*").alias("total_items"),
         F.sum("price").alias("total_product_value"),
         F.sum("freight_value").alias("total_freight"),
-        F.sum("total_item_value").alias("total_order_value"),
-        F.countDistinct("product_id").alias("unique_products"),
-        F.countDistinct("seller_id").alias("unique_sellers"),
+        (F.sum("price") + F.sum("freight_value")).alias("total_order_value"),
     )
+    variety = distinct_counts(items, "order_id", {"product_id": "unique_products", "seller_id": "unique_sellers"})
     payment_totals = payments.groupBy("order_id").agg(
         F.count("*").alias("payment_count"),
         F.sum("payment_value").alias("total_paid"),
@@ -63,11 +63,11 @@ def orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame, re
         "unique_products", "unique_sellers", "payment_count", "total_paid", "review_count",
     ]
     joined = orders
-    for totals in (item_totals, payment_totals, review_totals):
+    for totals in (item_totals, *variety, payment_totals, review_totals):
         joined = joined.join(totals, "order_id", "left")
     return joined.withColumns(
         {
-            **{c: F.coalesce(F.col(c), F.lit(0).cast(joined.schema[c].dataType)) for c in zero_filled},
+            **{c: F.coalesce(F.col(c), F.lit(0)) for c in zero_filled},
             "has_review_comment": F.coalesce("has_review_comment", F.lit(False)),
         }
     )
@@ -124,45 +124,48 @@ def customer_metrics(customers: DataFrame, enriched: DataFrame) -> DataFrame:
 
 def product_performance(products: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
     """Sales per product. The review mean weighs each order once per item row."""
+    variety = distinct_counts(items, "product_id", {"order_id": "total_orders", "seller_id": "unique_sellers"})
     sold = (
         items.join(review_means(reviews), "order_id", "left")
         .groupBy("product_id")
         .agg(
-            F.countDistinct("order_id").alias("total_orders"),
             F.sum("item_seq").alias("total_units_sold"),
             F.count("*").alias("item_rows"),
             F.sum("price").alias("total_revenue"),
             mean(F.col("price")).alias("avg_price"),
             F.sum("freight_value").alias("total_freight_cost"),
-            F.countDistinct("seller_id").alias("unique_sellers"),
             F.avg("avg_score").alias("avg_review_score"),
         )
     )
-    return products.select("product_id", "category", "weight_g", "volume_cm3").join(sold, "product_id")
+    out = products.select("product_id", "category", "weight_g", "volume_cm3").join(sold, "product_id")
+    for counts in variety:
+        out = out.join(counts, "product_id", "left")
+    return out
 
 
 def seller_performance(sellers: DataFrame, items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """Sales per seller. `delivery_rate` divides delivered item rows by orders, so it may exceed 1."""
     per_order = orders.select("order_id", "days_to_deliver", "is_delivered").join(review_means(reviews), "order_id", "full")
-    sold = (
-        items.join(per_order, "order_id", "left")
-        .groupBy("seller_id")
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.count("*").alias("total_items_sold"),
-            F.sum("price").alias("total_revenue"),
-            mean(F.col("price")).alias("avg_item_price"),
-            F.sum("freight_value").alias("total_freight"),
-            F.countDistinct("product_id").alias("unique_products"),
-            F.avg("days_to_deliver").alias("avg_delivery_days"),
-            F.avg("avg_score").alias("avg_review_score"),
-            F.count_if("is_delivered").alias("_delivered_rows"),
-            F.countDistinct(F.when(F.col("is_delivered"), F.col("order_id"))).alias("_delivered_orders"),
-        )
+    located = items.join(per_order, "order_id", "left")
+    # One row per (seller, order) carries both distinct order counts.
+    pairs = located.groupBy("seller_id", "order_id").agg(F.bool_or("is_delivered").alias("delivered"))
+    ordered = pairs.groupBy("seller_id").agg(
+        F.count("order_id").alias("total_orders"), F.count_if("delivered").alias("_delivered_orders")
+    )
+    (variety,) = distinct_counts(items, "seller_id", {"product_id": "unique_products"})
+    sold = located.groupBy("seller_id").agg(
+        F.count("*").alias("total_items_sold"),
+        F.sum("price").alias("total_revenue"),
+        mean(F.col("price")).alias("avg_item_price"),
+        F.sum("freight_value").alias("total_freight"),
+        F.avg("days_to_deliver").alias("avg_delivery_days"),
+        F.avg("avg_score").alias("avg_review_score"),
+        F.count_if("is_delivered").alias("_delivered_rows"),
     )
+    out = sellers.select("seller_id", "city", "state").join(sold, "seller_id")
     return (
-        sellers.select("seller_id", "city", "state")
-        .join(sold, "seller_id")
+        out.join(ordered, "seller_id", "left")
+        .join(variety, "seller_id", "left")
         .withColumn("delivery_rate", ratio(F.col("_delivered_rows"), F.col("total_orders")))
         .withColumn("delivery_rate_orders", ratio(F.col("_delivered_orders"), F.col("total_orders")))
         .drop("_delivered_rows", "_delivered_orders")
