@@ -60,7 +60,7 @@ def title_case(c: Column, after_punctuation: bool = False) -> Column:
     """Capitalize each word; optionally also after any non-alphanumeric character."""
     if not after_punctuation:
         return F.initcap(c)
-    pieces = F.split(F.lower(c), r"(?<=[^\p{Alnum}])")
+    pieces = F.split(F.lower(c), r"(?<=[^\p{L}\p{N}])")
     upper_first = F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), p.substr(F.lit(2), F.length(p))))
     return F.array_join(upper_first, "")
 
