@@ -154,7 +154,7 @@ def test_accepted_values(spark, small, table, column, values):
 
 def test_invariants_of_marts(spark, small):
     m = Commerce(spark, small)
-    sales = commerce.mart_sales(m.fact, m.item_facts, m.payments)
+    sales = m.sales
     last = sales.orderBy(F.desc("order_date")).first()
     total = m.fact.agg(F.sum("total_order_value")).first()[0]
     assert last["cumulative_revenue"] == total

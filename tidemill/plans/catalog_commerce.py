@@ -310,11 +310,6 @@ _DAILY = (
 register("daily_sales", _DAILY, "SELECT * FROM x_daily")(lambda s, sf: cm.daily_sales(Commerce(s, sf).fact))
 
 
-def _mart_sales(s, sf):
-    m = Commerce(s, sf)
-    return cm.mart_sales(m.fact, m.item_facts, m.payments)
-
-
 register(
     "mart_sales",
     _DAILY + " | s: top_category | f2: top_category_revenue | s: top_payment_type | f2: top_payment_total "
@@ -327,17 +322,17 @@ SELECT d.*, top_category, top_category_revenue, top_payment_type, top_payment_to
 FROM x_daily d LEFT JOIN x_topcat USING (order_date) LEFT JOIN x_toppay USING (order_date)
 WINDOW w AS (ORDER BY order_date ROWS 6 PRECEDING)
 """,
-)(_mart_sales)
+)(lambda s, sf: Commerce(s, sf).sales)
 
 register(
     "top1_per_group",
     "d: order_date | s: top_category | f2: top_category_revenue",
     "SELECT * FROM x_topcat",
-)(lambda s, sf: cm.top_category_per_day(Commerce(s, sf).item_facts))
+)(lambda s, sf: cm.top_category_per_day(Commerce(s, sf).categories))
 
 register(
     "top_payment_per_day", "d: order_date | s: top_payment_type | f2: top_payment_total", "SELECT * FROM x_toppay"
-)(lambda s, sf: cm.top_payment_per_day(Commerce(s, sf).fact, Commerce(s, sf).payments))
+)(lambda s, sf: cm.top_payment_per_day(Commerce(s, sf).orders, Commerce(s, sf).payments))
 
 register(
     "running_total",

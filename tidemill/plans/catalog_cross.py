@@ -40,12 +40,15 @@ class Cross:
 
     @cached_property
     def mart(self) -> DataFrame:
-        return cx.crypto_macro_mart(self.btc_macro, self.market.analytics, self.macro.indicators)
+        """Bars and the wide series feed two branches each, so both are written once first."""
+        bars, yoy = self.market.bar_table, self.macro.yoy_of_table
+        analytics = mk.daily_analytics(bars, self.market.coins)
+        return cx.crypto_macro_mart(cx.btc_macro(bars, yoy), analytics, mc.economic_indicators(yoy))
 
     @cached_property
     def daily(self) -> DataFrame:
         return cx.crypto_macro_daily(
-            self.market.closes, self.market.bars, self.market.sentiment, self.macro.yoy, self.market.coins
+            self.market.closes, self.market.bar_table, self.market.sentiment, self.macro.yoy, self.market.coins
         )
 
 

@@ -85,16 +85,21 @@ def fct_orders(enriched: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+def order_days(orders: DataFrame) -> DataFrame:
+    return orders.select("order_id", F.to_date("purchased_at").alias("order_date"), "order_status")
+
+
+def dated_categories(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Item rows with order date and product category: all that daily category totals need."""
+    category = products.select("product_id", F.col("category").alias("product_category"))
+    return items.join(order_days(orders), "order_id").join(category, "product_id", "left")
+
+
 def fct_order_items(items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
-    placed = orders.select("order_id", F.to_date("purchased_at").alias("order_date"), "order_status")
-    return (
-        items.join(placed, "order_id")
-        .join(products.select("product_id", F.col("category").alias("product_category")), "product_id", "left")
-        .join(sellers.select("seller_id", F.col("state").alias("seller_state")), "seller_id", "left")
-        .select(
-            "order_id", "item_seq", "product_id", "seller_id", "order_date", "order_status",
-            "product_category", "seller_state", "price", "freight_value", "total_item_value",
-        )
+    where = sellers.select("seller_id", F.col("state").alias("seller_state"))
+    return dated_categories(items, orders, products).join(where, "seller_id", "left").select(
+        "order_id", "item_seq", "product_id", "seller_id", "order_date", "order_status",
+        "product_category", "seller_state", "price", "freight_value", "total_item_value",
     )
 
 
@@ -122,54 +127,69 @@ def customer_metrics(customers: DataFrame, enriched: DataFrame) -> DataFrame:
     )
 
 
-def product_performance(products: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Sales per product. The review mean weighs each order once per item row."""
-    variety = distinct_counts(items, "product_id", {"order_id": "total_orders", "seller_id": "unique_sellers"})
-    sold = (
-        items.join(review_means(reviews), "order_id", "left")
-        .groupBy("product_id")
+def _weighted_mean(value: str, weight: str = "n") -> Column:
+    """Mean of an order-level value over item rows, from one row per order and its row count."""
+    known = F.when(F.col(value).isNotNull(), F.col(weight))
+    return ratio(F.sum(F.col(value) * F.col(weight)), F.sum(known))
+
+
+def _per_order_of(items: DataFrame, key: str, per_order: DataFrame, *order_values: str) -> DataFrame:
+    """One row per (key, order): item totals and the order's values.
+
+    The join hashes items on order_id, which also serves the grouping; the hot key is reduced to
+    its orders before anything moves by key. Counting rows then counts distinct orders.
+    """
+    return (
+        items.join(per_order, "order_id", "left")
+        .groupBy(key, "order_id")
         .agg(
-            F.sum("item_seq").alias("total_units_sold"),
-            F.count("*").alias("item_rows"),
-            F.sum("price").alias("total_revenue"),
-            mean(F.col("price")).alias("avg_price"),
-            F.sum("freight_value").alias("total_freight_cost"),
-            F.avg("avg_score").alias("avg_review_score"),
+            F.count("*").alias("n"),
+            F.sum("item_seq").alias("units"),
+            F.sum("price").alias("price"),
+            F.count("price").alias("prices"),
+            F.sum("freight_value").alias("freight"),
+            *[F.max(c).alias(c) for c in order_values],
         )
     )
-    out = products.select("product_id", "category", "weight_g", "volume_cm3").join(sold, "product_id")
-    for counts in variety:
-        out = out.join(counts, "product_id", "left")
-    return out
+
+
+def product_performance(products: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Sales per product. The review mean weighs each order once per item row."""
+    (variety,) = distinct_counts(items, "product_id", {"seller_id": "unique_sellers"})
+    sold = _per_order_of(items, "product_id", review_means(reviews), "avg_score").groupBy("product_id").agg(
+        F.count("order_id").alias("total_orders"),
+        F.sum("units").alias("total_units_sold"),
+        F.sum("n").alias("item_rows"),
+        F.sum("price").alias("total_revenue"),
+        ratio(F.sum("price"), F.sum("prices")).alias("avg_price"),
+        F.sum("freight").alias("total_freight_cost"),
+        _weighted_mean("avg_score").alias("avg_review_score"),
+    )
+    shown = products.select("product_id", "category", "weight_g", "volume_cm3")
+    return shown.join(sold, "product_id").join(variety, "product_id", "left")
 
 
 def seller_performance(sellers: DataFrame, items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """Sales per seller. `delivery_rate` divides delivered item rows by orders, so it may exceed 1."""
-    per_order = orders.select("order_id", "days_to_deliver", "is_delivered").join(review_means(reviews), "order_id", "full")
-    located = items.join(per_order, "order_id", "left")
-    # One row per (seller, order) carries both distinct order counts.
-    pairs = located.groupBy("seller_id", "order_id").agg(F.bool_or("is_delivered").alias("delivered"))
-    ordered = pairs.groupBy("seller_id").agg(
-        F.count("order_id").alias("total_orders"), F.count_if("delivered").alias("_delivered_orders")
+    per_order = orders.select("order_id", "days_to_deliver", "is_delivered").join(
+        review_means(reviews), "order_id", "full"
     )
     (variety,) = distinct_counts(items, "seller_id", {"product_id": "unique_products"})
+    delivered_rows = F.sum(F.when(F.col("is_delivered"), F.col("n")).otherwise(0))
+    orders_total = F.count("order_id")
+    located = _per_order_of(items, "seller_id", per_order, "days_to_deliver", "is_delivered", "avg_score")
     sold = located.groupBy("seller_id").agg(
-        F.count("*").alias("total_items_sold"),
+        orders_total.alias("total_orders"),
+        F.sum("n").alias("total_items_sold"),
         F.sum("price").alias("total_revenue"),
-        mean(F.col("price")).alias("avg_item_price"),
-        F.sum("freight_value").alias("total_freight"),
-        F.avg("days_to_deliver").alias("avg_delivery_days"),
-        F.avg("avg_score").alias("avg_review_score"),
-        F.count_if("is_delivered").alias("_delivered_rows"),
-    )
-    out = sellers.select("seller_id", "city", "state").join(sold, "seller_id")
-    return (
-        out.join(ordered, "seller_id", "left")
-        .join(variety, "seller_id", "left")
-        .withColumn("delivery_rate", ratio(F.col("_delivered_rows"), F.col("total_orders")))
-        .withColumn("delivery_rate_orders", ratio(F.col("_delivered_orders"), F.col("total_orders")))
-        .drop("_delivered_rows", "_delivered_orders")
+        ratio(F.sum("price"), F.sum("prices")).alias("avg_item_price"),
+        F.sum("freight").alias("total_freight"),
+        _weighted_mean("days_to_deliver").alias("avg_delivery_days"),
+        _weighted_mean("avg_score").alias("avg_review_score"),
+        ratio(delivered_rows, orders_total).alias("delivery_rate"),
+        ratio(F.count_if("is_delivered"), orders_total).alias("delivery_rate_orders"),
     )
+    return sellers.select("seller_id", "city", "state").join(sold, "seller_id").join(variety, "seller_id", "left")
 
 
 def dim_products(performance: DataFrame) -> DataFrame:
@@ -353,30 +373,30 @@ def running_total(daily: DataFrame, value: str, order: str, out: str) -> DataFra
     return daily.withColumn(out, F.sum(value).over(upto))
 
 
-def top_category_per_day(item_facts: DataFrame) -> DataFrame:
+def top_category_per_day(categories: DataFrame) -> DataFrame:
     totals = (
-        item_facts.where(F.col("product_category").isNotNull())
+        categories.where(F.col("product_category").isNotNull())
         .groupBy("order_date", F.col("product_category").alias("top_category"))
         .agg(F.sum("total_item_value").alias("top_category_revenue"))
     )
     return top_per_group(totals, ["order_date"], "top_category_revenue", "top_category")
 
 
-def top_payment_per_day(fact: DataFrame, payments: DataFrame) -> DataFrame:
+def top_payment_per_day(orders: DataFrame, payments: DataFrame) -> DataFrame:
     totals = (
-        fact.select("order_id", "order_date").join(payments, "order_id")
+        order_days(orders).join(payments, "order_id")
         .groupBy("order_date", F.col("payment_type").alias("top_payment_type"))
         .agg(F.sum("payment_value").alias("top_payment_total"))
     )
     return top_per_group(totals, ["order_date"], "top_payment_total", "top_payment_type")
 
 
-def mart_sales(fact: DataFrame, item_facts: DataFrame, payments: DataFrame) -> DataFrame:
+def mart_sales(fact: DataFrame, orders: DataFrame, categories: DataFrame, payments: DataFrame) -> DataFrame:
     """Daily sales with leaders, running totals and weekly means; one row per day."""
     daily = (
         daily_sales(fact)
-        .join(top_category_per_day(item_facts), "order_date", "left")
-        .join(top_payment_per_day(fact, payments), "order_date", "left")
+        .join(top_category_per_day(categories), "order_date", "left")
+        .join(top_payment_per_day(orders, payments), "order_date", "left")
     )
     daily = running_total(daily, "gross_revenue", "order_date", "cumulative_revenue")
     daily = running_total(daily, "order_count", "order_date", "cumulative_orders")
@@ -513,6 +533,14 @@ class Commerce:
     def item_facts(self) -> DataFrame:
         return fct_order_items(self.items, self.orders, self.products, self.sellers)
 
+    @cached_property
+    def categories(self) -> DataFrame:
+        return dated_categories(self.items, self.orders, self.products)
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return mart_sales(self.fact, self.orders, self.categories, self.payments)
+
     @cached_property
     def metrics(self) -> DataFrame:
         """Customer totals, written once: the quartiles, tiles and rows all read them."""

@@ -18,6 +18,7 @@ from tidemill.functions import labels
 from tidemill.functions.scalars import first_known, last_known, pct_change, ratio
 from tidemill.operators.timeseries import dated, moving_avg
 from tidemill.plans import adapters
+from tidemill.session import materialize
 
 
 def stg_series(raw: DataFrame) -> DataFrame:
@@ -509,10 +510,19 @@ class Macro:
     def wide(self) -> DataFrame:
         return pivot_indicators(self.series)
 
+    @cached_property
+    def wide_table(self) -> DataFrame:
+        """The wide table, written once: for plans that read it several times."""
+        return materialize(self.wide, "wide-series")
+
     @cached_property
     def yoy(self) -> DataFrame:
         return yoy_changes(self.wide)
 
+    @cached_property
+    def yoy_of_table(self) -> DataFrame:
+        return yoy_changes(self.wide_table)
+
     @cached_property
     def indicators(self) -> DataFrame:
         return economic_indicators(self.yoy)

@@ -18,6 +18,7 @@ from tidemill.functions import labels
 from tidemill.functions.scalars import pct_change, ratio, satoshi_to_btc
 from tidemill.operators.timeseries import dated, ema, full_moving_avg, last_rows, moving_avg
 from tidemill.plans import adapters
+from tidemill.session import materialize
 
 PRICE = "decimal(18,8)"
 
@@ -462,6 +463,12 @@ class Market:
     def bars(self) -> DataFrame:
         return daily_ohlcv(self.trades)
 
+    @cached_property
+    def bar_table(self) -> DataFrame:
+        """The daily bars, written once: for plans that read them several times, so that the
+        trades are scanned only once."""
+        return materialize(self.bars, "daily-bars")
+
     @cached_property
     def analytics(self) -> DataFrame:
         return daily_analytics(self.bars, self.coins)
@@ -470,7 +477,7 @@ class Market:
     def closes(self) -> DataFrame:
         names = dict(zip(adapters.MARKET_SYMBOLS, ["btc", "eth", "sp500", "gold", "dxy"]))
         asset = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("symbol")]
-        return self.bars.select(asset.alias("asset"), F.col("trade_date").alias("date"), F.col("close_price").alias("price"))
+        return self.bar_table.select(asset.alias("asset"), F.col("trade_date").alias("date"), F.col("close_price").alias("price"))
 
     @cached_property
     def sentiment(self) -> DataFrame:

@@ -12,9 +12,12 @@ from tidemill.sources.tables import lake_path, partition_values, write_partition
 
 
 def export_partitioned(df: DataFrame, path: str, date: str) -> None:
-    """Write a table partitioned by month key; rows of a month are gathered by its hash and
-    split further, so that a large month is written by many tasks."""
-    keyed = df.withColumn("yyyymm", month_key(F.col(date)))
+    """Write a table partitioned by month key.
+
+    The rebalance brings the rows of a month together, so that not every task writes a file for
+    every month; adaptive execution splits a month that is larger than a target file.
+    """
+    keyed = df.withColumn("yyyymm", month_key(F.col(date))).hint("rebalance", "yyyymm")
     keyed.write.mode("overwrite").partitionBy("yyyymm").parquet(path)
 
 
