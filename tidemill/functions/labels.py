@@ -1,4 +1,7 @@
-"""Turning ordered lists of bounds and rules into label columns."""
+"""Turning ordered lists of bounds and rules into label columns.
+
+The thresholds and label names in the rule lists below are fixed values: results must agree on them.
+"""
 
 from __future__ import annotations
 

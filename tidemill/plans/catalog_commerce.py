@@ -380,19 +380,19 @@ register(
     "mv_daily_revenue",
     "d: order_date | f2: revenue | i: order_count",
     "SELECT order_date, sum(total_order_value) AS revenue, count(*) AS order_count FROM x_fact GROUP BY 1",
-)(lambda s, sf: cm.daily_revenue(Commerce(s, sf).fact))
+)(lambda s, sf: cm.daily_revenue(Commerce(s, sf).placed))
 
 _LOGDAY = (
     "d: order_date | i: delivered_orders | f: avg_delivery_days median_delivery_days p95_delivery_days "
     "| e: avg_freight | f2: total_freight | f: on_time_rate_pct avg_review | i: late_deliveries | f: avg_late_days"
 )
-register("daily_logistics", _LOGDAY, "SELECT * FROM x_logday")(lambda s, sf: cm.daily_logistics(Commerce(s, sf).fact))
+register("daily_logistics", _LOGDAY, "SELECT * FROM x_logday")(lambda s, sf: cm.daily_logistics(Commerce(s, sf).placed))
 register(
     "mart_logistics",
     _LOGDAY + " | f: delivery_days_7d_avg on_time_rate_7d_avg",
     "SELECT *, avg(avg_delivery_days) OVER w AS delivery_days_7d_avg, avg(on_time_rate_pct) OVER w AS on_time_rate_7d_avg "
     "FROM x_logday WINDOW w AS (ORDER BY order_date ROWS 6 PRECEDING)",
-)(lambda s, sf: cm.mart_logistics(Commerce(s, sf).fact))
+)(lambda s, sf: cm.mart_logistics(Commerce(s, sf).placed))
 
 register(
     "logistics_by_state",
@@ -406,7 +406,7 @@ SELECT c.state, count(*) AS total_deliveries, avg(days_to_deliver) AS avg_delive
        sum(total_freight) AS total_freight_revenue
 FROM x_fact JOIN x_c c USING (customer_id) WHERE is_delivered GROUP BY 1
 """,
-)(lambda s, sf: cm.logistics_by_state(Commerce(s, sf).fact, Commerce(s, sf).customers))
+)(lambda s, sf: cm.logistics_by_state(Commerce(s, sf).placed, Commerce(s, sf).customers))
 
 register(
     "percentile_exact",

@@ -424,9 +424,12 @@ def mart_sales_monthly(fact: DataFrame) -> DataFrame:
     )
 
 
-def daily_logistics(fact: DataFrame) -> DataFrame:
-    """Delivered orders per day: times, freight, punctuality; exact median and 95th percentile."""
-    done = fact.where(F.col("is_delivered"))
+def daily_logistics(placed: DataFrame) -> DataFrame:
+    """Delivered orders per day: times, freight, punctuality; exact median and 95th percentile.
+
+    `placed` is the enriched orders with `order_date`; no customer is needed.
+    """
+    done = placed.where(F.col("is_delivered"))
     late = F.col("delivery_delta_days") < 0
     daily = done.groupBy("order_date").agg(
         F.count("*").alias("delivered_orders"),
@@ -444,8 +447,8 @@ def daily_logistics(fact: DataFrame) -> DataFrame:
     return daily.join(middle, "order_date", "left")
 
 
-def mart_logistics(fact: DataFrame) -> DataFrame:
-    return daily_logistics(fact).withColumns(
+def mart_logistics(placed: DataFrame) -> DataFrame:
+    return daily_logistics(placed).withColumns(
         {
             "delivery_days_7d_avg": moving_avg(F.col("avg_delivery_days"), 7, "order_date"),
             "on_time_rate_7d_avg": moving_avg(F.col("on_time_rate_pct"), 7, "order_date"),
@@ -453,11 +456,11 @@ def mart_logistics(fact: DataFrame) -> DataFrame:
     )
 
 
-def logistics_by_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
+def logistics_by_state(placed: DataFrame, customers: DataFrame) -> DataFrame:
     where = customers.select("customer_id", "state")
     on_time = ratio(F.count_if(F.col("delivery_delta_days") >= 0), F.count("*")) * 100
     return (
-        fact.where(F.col("is_delivered"))
+        placed.where(F.col("is_delivered"))
         .join(where, "customer_id")
         .where(F.col("state").isNotNull())
         .groupBy("state")
@@ -474,8 +477,8 @@ def logistics_by_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def daily_revenue(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("order_date").agg(
+def daily_revenue(placed: DataFrame) -> DataFrame:
+    return placed.groupBy("order_date").agg(
         F.sum("total_order_value").alias("revenue"), F.count("*").alias("order_count")
     )
 
@@ -525,6 +528,11 @@ class Commerce:
     def enriched(self) -> DataFrame:
         return orders_enriched(self.orders, self.items, self.payments, self.reviews)
 
+    @cached_property
+    def placed(self) -> DataFrame:
+        """Enriched orders with their date: for plans that need no customer."""
+        return self.enriched.withColumn("order_date", F.to_date("purchased_at"))
+
     @cached_property
     def fact(self) -> DataFrame:
         return fct_orders(self.enriched, self.customers)

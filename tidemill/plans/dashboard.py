@@ -69,10 +69,10 @@ def kpis(orders: DataFrame, items: DataFrame, reviews: DataFrame, dedupe: bool =
     revenue = F.coalesce(F.sum(F.col("paid") * line_copies).cast("double"), F.lit(0.0))
     judged = F.col("order_delivered_customer_date").isNotNull() & F.col("order_estimated_delivery_date").isNotNull()
     on_time = F.col("order_delivered_customer_date") <= F.col("order_estimated_delivery_date")
-    return per_order.agg(
-        F.countDistinct("order_id").alias("total_orders"),
+    # The joins keep every delivered order, so both distinct counts need the orders alone.
+    found = {c: delivered.agg(F.countDistinct(c)).scalar() for c in ("order_id", "customer_id")}
+    totals = per_order.agg(
         F.round(revenue, 2).alias("total_revenue"),
-        F.countDistinct("customer_id").alias("total_customers"),
         F.round(
             F.coalesce(F.try_divide(revenue, F.sum(F.col("lines") * line_copies).cast("double")), F.lit(0.0)), 2
         ).alias("avg_order_value"),
@@ -82,6 +82,9 @@ def kpis(orders: DataFrame, items: DataFrame, reviews: DataFrame, dedupe: bool =
         ).alias("avg_review_score"),
         F.round(ratio(F.count_if(judged & on_time) * 100, F.count_if(judged)), 1).alias("on_time_delivery_pct"),
     )
+    return totals.select(
+        found["order_id"].alias("total_orders"), found["customer_id"].alias("total_customers"), *totals.columns
+    )
 
 
 def revenue_trends(
