@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,21 @@ from tidemill.schemas import CHECKPOINT, RUN_LOG
 
 EPOCH = "1970-01-01 00:00:00"
 
+# Python times without a zone are UTC here, whatever the zone of the machine.
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def as_utc(moment: datetime | None) -> datetime | None:
+    return moment.replace(tzinfo=timezone.utc) if moment is not None and moment.tzinfo is None else moment
+
+
+def at(moment: datetime) -> Column:
+    """A timestamp literal for a Python time."""
+    return F.lit(as_utc(moment).astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
 
 def incremental_filter(source: DataFrame, target: DataFrame, column: str = "ingested_at") -> DataFrame:
     """Source rows newer than the newest target row; all rows when the target is empty."""
@@ -113,14 +128,15 @@ class CheckpointStore:
     def get(self, source: str, table: str, column: str = "ingested_at") -> datetime | None:
         """Value of the current mark when its last load succeeded."""
         wanted = (F.col("source_name") == source) & (F.col("table_name") == table) & (F.col("checkpoint_column") == column)
-        row = latest_per_key(self._log().where(wanted), self.KEYS, "updated_at").where("status = 'success'").first()
-        return row["checkpoint_value"] if row else None
+        newest = latest_per_key(self._log().where(wanted), self.KEYS, "updated_at").where("status = 'success'")
+        row = newest.select(F.col("checkpoint_value").cast("timestamp_ntz").alias("v")).first()
+        return row["v"] if row else None
 
     def save(
         self, source: str, table: str, column: str, value: datetime | None, records: int,
         status: str = "success", error: str | None = None, now: datetime | None = None,
     ) -> None:
-        row = (source, table, column, value, records, status, error, now or datetime.now())
+        row = (source, table, column, as_utc(value), records, status, error, as_utc(now or utc_now()))
         self.spark.createDataFrame([row], CHECKPOINT).coalesce(1).write.mode("append").parquet(self.path)
 
     def reset(self, source: str, table: str, column: str = "ingested_at", now: datetime | None = None) -> None:
@@ -142,12 +158,12 @@ def incremental_load(
 
     A failure is recorded and raised; the next run then starts as a first run does.
     """
-    now = now or datetime.now()
+    now = now or utc_now()
     mark = store.get(source, table, column)
     start = mark - timedelta(hours=lookback_hours) if mark else now - timedelta(days=first_days)
     try:
         batch = fetch(start)
-        counted = batch.agg(F.count("*").alias("n"), F.max(column).alias("top")).first()
+        counted = batch.agg(F.count("*").alias("n"), F.max(column).cast("timestamp_ntz").alias("top")).first()
         if counted["n"] == 0:
             return {"status": "success", "records_processed": 0, "start_time": start}
         write(batch)
@@ -165,7 +181,7 @@ def incremental_load(
 
 def append_run(spark: SparkSession, path: str, **fields) -> None:
     """Add one ingestion run to the log."""
-    row = tuple(fields.get(f.name) for f in RUN_LOG)
+    row = tuple(as_utc(v) if isinstance(v, datetime) else v for v in (fields.get(f.name) for f in RUN_LOG))
     spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").parquet(path)
 
 

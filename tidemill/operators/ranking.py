@@ -11,7 +11,7 @@ Built so that no task ever has to hold or sort a whole unbounded group:
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
@@ -107,8 +107,13 @@ def add_tiles(
         return df.withColumns(
             {name: F.ntile(tiles).over(W.orderBy(*o.sort_columns())) for name, o in orders.items()}
         )
-    out = {}
+    out, columns, kinds = {}, df.columns, dict(df.dtypes)
     for name, order in orders.items():
+        if kinds[order.value] == "timestamp":
+            # Boundary values pass through the driver: as numbers they do not depend on its clock.
+            number = f"_micros_{order.value}"
+            df = df.withColumn(number, F.unix_micros(order.value))
+            order = replace(order, value=number)
         ends = tile_ends(rows, tiles)
         cuts = rows_at_ranks(df, order, ends)
         tile = F.lit(tiles)
@@ -116,7 +121,7 @@ def add_tiles(
             if end > 0:
                 tile = F.when(order.at_or_before(cuts[end]), F.lit(number)).otherwise(tile)
         out[name] = tile
-    return df.withColumns(out)
+    return df.withColumns(out).select(*columns, *out)
 
 
 def table_percentiles(

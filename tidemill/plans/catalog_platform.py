@@ -514,7 +514,7 @@ def _scd2(s, sf):
 )
 def _checkpoints(s, sf):
     store = inc.CheckpointStore(s, scratch_path(s, "marks"))
-    top = Market(s, sf, intraday=True).trades.agg(F.count("*").alias("n"), F.max("ingested_at").alias("t")).first()
+    top = Market(s, sf, intraday=True).trades.agg(F.count("*").alias("n"), F.max("ingested_at").cast("timestamp_ntz").alias("t")).first()
     early = datetime(2024, 1, 1)
     store.save("exchange", "trades", "ingested_at", early, 1, now=early)
     store.save("exchange", "trades", "ingested_at", top["t"], top["n"], now=datetime(2024, 2, 2))
@@ -535,7 +535,7 @@ def _incremental_load(s, sf):
     for now in (datetime(2024, 1, 22), datetime(2024, 2, 1)):
         inc.incremental_load(
             store, "exchange", "trades",
-            lambda start, now=now: trades.where((F.col("ingested_at") >= F.lit(start)) & (F.col("ingested_at") < F.lit(now))),
+            lambda start, now=now: trades.where((F.col("ingested_at") >= inc.at(start)) & (F.col("ingested_at") < inc.at(now))),
             lambda batch: batch.write.mode("append").parquet(path),
             now=now,
         )

@@ -238,7 +238,7 @@ def mart_customers(
     r, f, m = (F.col(f"{n}_score") for n in ("recency", "frequency", "monetary"))
     lifetime = F.col("customer_lifetime_days")
     yearly = F.round(ratio(F.col("total_spend"), lifetime) * 365, 2)
-    newest = base.agg(F.max("last_order_at")).first()[0]
+    newest = base.agg(F.max("last_order_at")).scalar()
     return scored.select(
         key, "city", "state", "customer_segment",
         "order_count", "total_spend", "avg_order_value", "total_items_bought",
@@ -249,7 +249,7 @@ def mart_customers(
         F.concat(r, f, m).alias("rfm_code"),
         labels.score_segment(r, f, m, fv.RFM_SEGMENTS, fv.RFM_REMAINDER).alias("rfm_segment"),
         F.when(lifetime > 0, yearly).otherwise(F.col("total_spend").cast("double")).alias("estimated_annual_value"),
-        (F.col("last_order_at") < F.lit(newest) - F.make_dt_interval(days=F.lit(fv.CHURN_DAYS))).alias("is_churned"),
+        (F.col("last_order_at") < newest - F.make_dt_interval(days=F.lit(fv.CHURN_DAYS))).alias("is_churned"),
     )
 
 
