@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import by_bytes, columns, read_bounded, small_batches, store, strings
-from tidemill.llm.tokenizer_files import loaded, safe_pieces
+from tidemill.llm.tokenizer_files import loaded, memory, safe_pieces
 from tidemill.session import materialize
 
 NULL_ID = -(1 << 63)
@@ -60,17 +60,21 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None, kind: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(blob, suffix)
+        if encoder.words_apart:
+            piece, pack = 1 << 19, memory(encoder, kind).packed
+        else:
+            piece, pack = 1 << 15, lambda some: [np.array(ids, kind).tobytes() for ids in encoder.encode(some)]
         for batch in batches:
-            pieces, owner, first = [], [], []
-            for k, text in enumerate(strings(batch.column(1))):
-                first.append(len(pieces))
-                found = safe_pieces(text, 1 << 15) if encoder.can_cut else [text]
+            texts = strings(batch.column(1))
+            pieces, owner = [], []
+            for k, text in enumerate(texts):
+                found = safe_pieces(text, piece) if encoder.can_cut else [text]
                 pieces += found
                 owner += [k] * len(found)
-            packed: list[list[bytes]] = [[] for _ in first]
-            for lo, hi in by_bytes([len(p) for p in pieces], 1 << 18):
-                for k, ids in zip(owner[lo:hi], encoder.encode(pieces[lo:hi]), strict=True):
-                    packed[k].append(np.array(ids, kind).tobytes())
+            packed: list[list[bytes]] = [[] for _ in texts]
+            for lo, hi in by_bytes([len(p) for p in pieces], 8 * piece):
+                for k, ids in zip(owner[lo:hi], pack(pieces[lo:hi]), strict=True):
+                    packed[k].append(ids)
             end = b"" if end_id is None else np.array([end_id], kind).tobytes()
             rows = [b"".join(parts) + end for parts in packed]
             width = np.dtype(kind).itemsize

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 from collections.abc import Callable
 
+import numpy as np
+
 # Between two ASCII letters a single space always starts a new word, whatever follows: the pattern splitters
 # used here match at most one space, and only in front of a word; no special string holds a space.
 SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -26,10 +29,98 @@ def safe_pieces(text: str, size: int) -> list[str]:
 
 
 class Encoder:
-    """encode(texts) -> a list of token ids per text; `can_cut` says whether safe_pieces may be used before."""
-
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], count: Callable[[list[str]], list[int]], can_cut: bool):
-        self.encode, self.count, self.can_cut = encode, count, can_cut
+    """encode(texts) -> a list of token ids per text.
+
+    `can_cut` says whether safe_pieces may be used before, `words_apart` whether spaces only separate words: then a
+    text's ids are those of its words, one after the other.
+    """
+
+    def __init__(
+        self,
+        encode: Callable[[list[str]], list[list[int]]],
+        count: Callable[[list[str]], list[int]],
+        can_cut: bool,
+        words_apart: bool = False,
+        placed: Callable[[str], tuple[list[int], np.ndarray]] | None = None,
+        letters_apart: bool = False,
+    ):
+        self.encode, self.count, self.can_cut, self.words_apart = encode, count, can_cut, words_apart
+        self.letters_apart = letters_apart
+        self.placed = placed  # ids of one text and the character each token starts at
+
+
+def _drops_spaces(config: dict) -> bool:
+    """Whether the file keeps only what its pattern matches, the pattern matches no white space, and neither the
+    normalizer nor a special string looks beyond a space."""
+    normalizer = (config.get("normalizer") or {}).get("normalizers") or []
+    steps = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (
+        all(step["type"] in ("NFC", "Lowercase", "Replace") for step in normalizer)
+        and steps[0].get("type") == "Split"
+        and steps[0].get("behavior") == "Removed"
+        and steps[0].get("invert") is True
+        and re.search(r" |\\s(?!\\p)", steps[0]["pattern"].get("Regex", " ")) is None
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in config["added_tokens"])
+    )
+
+
+# fixed value: a pattern under which a run of letters and a mark after it are always words of their own
+LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+class WordMemory:
+    """Packed ids of texts for an encoder whose words stand apart: each new word is encoded once.
+
+    Where the file lower-cases and its pattern parts letters from marks, the ASCII words "The", "the" and "the,"
+    share one entry of the library's making.
+    """
+
+    LIMIT = 400_000
+
+    def __init__(self, encoder: Encoder, kind: str):
+        self.encoder, self.kind = encoder, kind
+        self.known: dict[str, bytes] = {"": b""}
+        self.cores: dict[str, bytes] = {"": b""}
+        self.marks = {m: x for m, x in zip(".,;:!?", self._encoded(list(".,;:!?")), strict=True)}
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > self.LIMIT:
+            self.known = {"": b""}
+        if len(self.cores) > 2 * self.LIMIT:
+            self.cores = {"": b""}
+        known, cores = self.known, self.cores
+        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        new = [w for w in set().union(*split) if w not in known]
+        parts = [self._parts(w) for w in new]
+        missing = list({core for core, _ in parts if core not in cores})
+        for lo in range(0, len(missing), 4096):
+            some = missing[lo : lo + 4096]
+            cores.update(zip(some, self._encoded(some), strict=True))
+        known.update((w, cores[core] + mark) for w, (core, mark) in zip(new, parts, strict=True))
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for word in new:
+            if len(word) > 64:
+                del known[word]
+        for word in missing:
+            if len(word) > 64:
+                del cores[word]
+        return out
+
+    def _parts(self, word: str) -> tuple[str, bytes]:
+        if self.encoder.letters_apart and word.isascii():
+            if word.isalpha():
+                return word.lower(), b""
+            if word[-1] in self.marks and word[:-1].isalpha():
+                return word[:-1].lower(), self.marks[word[-1]]
+        return word, b""
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word: the words go to the library as one text, and the tokens' places tell whose they are."""
+        starts = np.cumsum([0] + [len(w) + 1 for w in words])
+        ids, places = self.encoder.placed(" ".join(words))
+        cuts = (np.searchsorted(places, starts) * np.dtype(self.kind).itemsize).tolist()
+        packed = np.array(ids, self.kind).tobytes()
+        return [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def load(blob: bytes, suffix: str, pattern: str | None = None) -> Encoder:
@@ -45,11 +136,20 @@ def load(blob: bytes, suffix: str, pattern: str | None = None) -> Encoder:
         def found(texts: list[str]):
             return t.encode_batch_fast(texts, add_special_tokens=False)
 
-        kind = type(t.pre_tokenizer).__name__
+        def placed(text: str) -> tuple[list[int], np.ndarray]:
+            e = t.encode(text, add_special_tokens=False)
+            return e.ids, np.array([start for start, _ in e.offsets], np.int64)
+
+        kind, config = type(t.pre_tokenizer).__name__, json.loads(blob)
         return Encoder(
             lambda texts: [e.ids for e in found(texts)],
             lambda texts: [len(e) for e in found(texts)],
-            kind in ("ByteLevel", "Sequence", "PreTokenizer"),
+            kind in ("ByteLevel", "Sequence"),
+            _drops_spaces(config),
+            placed,
+            _drops_spaces(config)
+            and config["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex") == LETTERS_APART
+            and any(step["type"] == "Lowercase" for step in config["normalizer"]["normalizers"]),
         )
     if suffix == ".model":
         import sentencepiece
@@ -77,3 +177,15 @@ def loaded(blob: bytes, suffix: str, pattern: str | None = None) -> Encoder:
         _LOADED.clear()
         _LOADED[key] = load(blob, suffix, pattern)
     return _LOADED[key]
+
+
+_MEMORIES: dict[tuple, WordMemory] = {}
+
+
+def memory(encoder: Encoder, kind: str) -> WordMemory:
+    """The word memory of an encoder, kept between the tasks of a Python worker."""
+    key = (id(encoder), kind)
+    if key not in _MEMORIES:
+        _MEMORIES.clear()
+        _MEMORIES[key] = WordMemory(encoder, kind)
+    return _MEMORIES[key]
