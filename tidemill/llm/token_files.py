@@ -31,10 +31,9 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.common import by_bytes, columns, read_bounded, small_batches, store, strings
 from tidemill.llm.tokenizer_files import loaded, memory, safe_pieces
-from tidemill.session import materialize
 
 NULL_ID = -(1 << 63)
-ENCODED = "id bigint, n_tokens bigint, ids binary"
+ENCODED = "id bigint, n_tokens bigint, ids binary, part int"
 WRITTEN = "part int, path string, n_docs bigint, n_tokens bigint"
 
 
@@ -53,7 +52,10 @@ def _numbers(fs: pafs.FileSystem, path: str, kind: str) -> np.ndarray:
         return np.frombuffer(f.read(), kind)
 
 
-def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None, kind: str, id_col: str, text_col: str) -> DataFrame:
+def encode_ids(
+    docs: DataFrame, tokenizer_path: str, end_id: int | None, kind: str, bounds: list[int], id_col: str, text_col: str
+) -> DataFrame:
+    """(id, n_tokens, ids, part) per row; `part` counts the bounds below the id, null ids going to the first."""
     blob, suffix = read_bounded(tokenizer_path), os.path.splitext(tokenizer_path)[1]
     source = columns(docs, id_col, text_col)
     source = source.select(source[0].cast("long").alias("id"), source[1].cast("string").alias("text"))
@@ -83,8 +85,9 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None, kind: s
                     batch.column(0).cast(pa.int64()),
                     pa.array([len(x) // width for x in rows], pa.int64()),
                     pa.array(rows, pa.binary()),
+                    pa.array(np.searchsorted(bounds, batch.column(0).fill_null(NULL_ID).to_numpy()), pa.int32()),
                 ],
-                names=["id", "n_tokens", "ids"],
+                names=["id", "n_tokens", "ids", "part"],
             )
 
     return small_batches(source).mapInArrow(run, ENCODED)
@@ -105,37 +108,41 @@ def write_token_files(
     fs, base = store(folder)
     fs.create_dir(base, recursive=True)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Written once: the sampling of the range partitioning would otherwise encode every text twice.
-    encoded = materialize(encode_ids(docs, tokenizer_path, end_id, kind, id_col, text_col), "ids")
-    ordered = encoded.repartitionByRange(parts, "id", "n_tokens").sortWithinPartitions("id", "n_tokens", "ids")
-    ordered = ordered.withColumn("part", F.spark_partition_id())
+    # Bounds come from the ids alone: a range partitioning would encode every text twice, once to sample it.
+    steps = [k / parts for k in range(1, parts)] or [0.5]
+    bounds = docs.agg(F.percentile_approx(F.col(f"`{id_col}`").cast("long"), steps, 100 * parts)).first()[0] or []
+    encoded = encode_ids(docs, tokenizer_path, end_id, kind, sorted(set(bounds)), id_col, text_col)
+    ordered = encoded.repartition(parts, "part").sortWithinPartitions("part", "id", "n_tokens", "ids")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_fs, out_base = store(folder)
-        counts: list[int] = []
-        ids: list[int] = []
-        part, draft, sink = -1, "", None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if sink is None:
-                part = batch.column(3)[0].as_py()
-                draft = f"{out_base}/ids-{part:05d}.bin.{uuid.uuid4().hex}"
-                sink = out_fs.open_output_stream(draft)
-            ids += batch.column(0).fill_null(NULL_ID).to_pylist()
-            counts += batch.column(1).to_pylist()
-            for x in batch.column(2).to_pylist():
+        shape = pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
+        part, draft, sink, counts, ids = -1, "", None, [], []
+
+        def close() -> pa.RecordBatch:
+            sink.close()
+            out_fs.move(draft, f"{out_base}/ids-{part:05d}.bin")
+            _write(out_fs, f"{out_base}/docs-{part:05d}.bin", iter([np.array(ids, "<i8").tobytes()]))
+            _write(out_fs, f"{out_base}/lengths-{part:05d}.bin", iter([np.array(counts, "<u8").tobytes()]))
+            row = {"part": part, "path": f"ids-{part:05d}.bin", "n_docs": len(counts), "n_tokens": sum(counts)}
+            return pa.RecordBatch.from_pylist([row], schema=shape)
+
+        for batch in batches:  # sorted by part: a task may hold several, one after the other
+            parts_of = batch.column(3).to_pylist()
+            for row, (x, n, key) in enumerate(
+                zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), batch.column(0).fill_null(NULL_ID).to_pylist(), strict=True)
+            ):
+                if parts_of[row] != part:
+                    if sink is not None:
+                        yield close()
+                    part, counts, ids = parts_of[row], [], []
+                    draft = f"{out_base}/ids-{part:05d}.bin.{uuid.uuid4().hex}"
+                    sink = out_fs.open_output_stream(draft)
                 sink.write(x)
-        if sink is None:
-            return
-        sink.close()
-        out_fs.move(draft, f"{out_base}/ids-{part:05d}.bin")
-        _write(out_fs, f"{out_base}/docs-{part:05d}.bin", iter([np.array(ids, "<i8").tobytes()]))
-        _write(out_fs, f"{out_base}/lengths-{part:05d}.bin", iter([np.array(counts, "<u8").tobytes()]))
-        yield pa.RecordBatch.from_pylist(
-            [{"part": part, "path": f"ids-{part:05d}.bin", "n_docs": len(counts), "n_tokens": sum(counts)}],
-            schema=pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]),
-        )
+                counts.append(n)
+                ids.append(key)
+        if sink is not None:
+            yield close()
 
     written = sorted(small_batches(ordered).mapInArrow(write, WRITTEN).collect())  # a row per partition
     bases = np.concatenate([[0], np.cumsum([r.n_tokens for r in written], dtype=np.int64)]).tolist()

@@ -42,10 +42,10 @@ class Encoder:
         can_cut: bool,
         words_apart: bool = False,
         placed: Callable[[str], tuple[list[int], np.ndarray]] | None = None,
-        letters_apart: bool = False,
+        model: Callable[[str], list[int]] | None = None,
     ):
         self.encode, self.count, self.can_cut, self.words_apart = encode, count, can_cut, words_apart
-        self.letters_apart = letters_apart
+        self.model = model  # ids of one lower-case word of plain letters, if the file treats those alone
         self.placed = placed  # ids of one text and the character each token starts at
 
 
@@ -68,52 +68,53 @@ def _drops_spaces(config: dict) -> bool:
 LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+
+
 class WordMemory:
     """Packed ids of texts for an encoder whose words stand apart: each new word is encoded once.
 
-    Where the file lower-cases and its pattern parts letters from marks, the ASCII words "The", "the" and "the,"
-    share one entry of the library's making.
+    Where the file lower-cases and its pattern parts letters from marks, a word of plain letters goes straight to the
+    library's model, and "The", "the" and "the," share its answer. These letters have one composed form each, and
+    one lower-case letter. All other words take the library's whole way.
     """
 
-    LIMIT = 400_000
+    LIMIT = 600_000
 
     def __init__(self, encoder: Encoder, kind: str):
         self.encoder, self.kind = encoder, kind
         self.known: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {"": b""}
-        self.marks = {m: x for m, x in zip(".,;:!?", self._encoded(list(".,;:!?")), strict=True)}
+        self.cores: dict[str, bytes] = {}
+        self.marks = dict(zip(["", *".,;:!?"], [b"", *self._encoded(list(".,;:!?"))], strict=True))
 
     def packed(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.LIMIT:
             self.known = {"": b""}
-        if len(self.cores) > 2 * self.LIMIT:
-            self.cores = {"": b""}
-        known, cores = self.known, self.cores
+            self.cores = {}
+        known, cores, marks, model = self.known, self.cores, self.marks, self.encoder.model
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = [w for w in set().union(*split) if w not in known]
-        parts = [self._parts(w) for w in new]
-        missing = list({core for core, _ in parts if core not in cores})
-        for lo in range(0, len(missing), 4096):
-            some = missing[lo : lo + 4096]
-            cores.update(zip(some, self._encoded(some), strict=True))
-        known.update((w, cores[core] + mark) for w, (core, mark) in zip(new, parts, strict=True))
+        new = set().union(*split).difference(known)
+        others = []
+        for word in new:
+            found = LETTERS.fullmatch(word) if model else None
+            if found is None:
+                others.append(word)
+                continue
+            core = found[1].lower()
+            ids = cores.get(core)
+            if ids is None:
+                ids = cores[core] = np.array(model(core), self.kind).tobytes()
+            known[word] = ids + marks[found[2]]
+        for lo in range(0, len(others), 4096):
+            some = others[lo : lo + 4096]
+            known.update(zip(some, self._encoded(some), strict=True))
         out = [b"".join(map(known.__getitem__, words)) for words in split]
         for word in new:
             if len(word) > 64:
                 del known[word]
-        for word in missing:
-            if len(word) > 64:
-                del cores[word]
+                cores.pop(word.lower(), None)
         return out
 
-    def _parts(self, word: str) -> tuple[str, bytes]:
-        if self.encoder.letters_apart and word.isascii():
-            if word.isalpha():
-                return word.lower(), b""
-            if word[-1] in self.marks and word[:-1].isalpha():
-                return word[:-1].lower(), self.marks[word[-1]]
-        return word, b""
-
     def _encoded(self, words: list[str]) -> list[bytes]:
         """Packed ids of each word: the words go to the library as one text, and the tokens' places tell whose they are."""
         starts = np.cumsum([0] + [len(w) + 1 for w in words])
@@ -141,15 +142,25 @@ def load(blob: bytes, suffix: str, pattern: str | None = None) -> Encoder:
             return e.ids, np.array([start for start, _ in e.offsets], np.int64)
 
         kind, config = type(t.pre_tokenizer).__name__, json.loads(blob)
+        letters_apart = (
+            _drops_spaces(config)
+            and config["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex") == LETTERS_APART
+            and any(step["type"] == "Lowercase" for step in config["normalizer"]["normalizers"])
+        )
+        shown = {}  # how the library writes each letter's bytes
+        if letters_apart:
+            shown = {ord(c): t.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in map(chr, range(256)) if LETTERS.fullmatch(c)}
+
+        def model(word: str) -> list[int]:
+            return [token.id for token in t.model.tokenize(word if word.isascii() else word.translate(shown))]
+
         return Encoder(
             lambda texts: [e.ids for e in found(texts)],
             lambda texts: [len(e) for e in found(texts)],
             kind in ("ByteLevel", "Sequence"),
             _drops_spaces(config),
             placed,
-            _drops_spaces(config)
-            and config["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex") == LETTERS_APART
-            and any(step["type"] == "Lowercase" for step in config["normalizer"]["normalizers"]),
+            model if letters_apart else None,
         )
     if suffix == ".model":
         import sentencepiece
