@@ -65,7 +65,7 @@ def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
     token_files.write_token_files(
         table(spark, sf, "documents"), folder, public_tokenizers.path(STORED_BY), end_id=1
     )
-    stored = token_files.read_token_files(spark, folder)
+    stored = token_files.read_token_files(spark, folder, with_ids=False)
     return stored.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 

@@ -168,8 +168,8 @@ def write_token_files(
     return folder
 
 
-def read_token_files(spark: SparkSession, folder: str, docs_per_batch: int = 256) -> DataFrame:
-    """(id, start, n_tokens, ids_crc32, ids) per document, ids as stored; a task maps one partition's files."""
+def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True, docs_per_batch: int = 256) -> DataFrame:
+    """(id, start, n_tokens, ids_crc32) per document, and the ids as stored; a task maps one partition's files."""
     fs, base = store(folder)
     with fs.open_input_stream(f"{base}/manifest.json") as f:
         manifest = json.loads(f.read())
@@ -196,12 +196,12 @@ def read_token_files(spark: SparkSession, folder: str, docs_per_batch: int = 256
                             pa.array(at[:-1], pa.int64()),
                             pa.array(np.diff(at), pa.int64()),
                             pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in rows], pa.int64()),
-                            pa.array([x.tobytes() for x in rows], pa.binary()),
+                            *([pa.array([x.tobytes() for x in rows], pa.binary())] if with_ids else []),
                         ],
-                        names=["id", "start", "n_tokens", "ids_crc32", "ids"],
+                        names=["id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids],
                     )
 
     tasks = max(1, len(shards))
     return spark.range(0, len(shards), 1, tasks).mapInArrow(
-        run, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary"
+        run, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     )

@@ -6,6 +6,7 @@ import base64
 import json
 import os
 import re
+import struct
 from collections.abc import Callable
 
 import numpy as np
@@ -92,6 +93,8 @@ class WordMemory:
             self.known = {"": b""}
             self.cores = {}
         known, cores, marks, model = self.known, self.cores, self.marks, self.encoder.model
+        letter = "H" if np.dtype(self.kind).itemsize == 2 else "I"
+        pack = lambda ids: struct.pack(f"<{len(ids)}{letter}", *ids)
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         new = set().union(*split).difference(known)
         others = []
@@ -103,7 +106,7 @@ class WordMemory:
             core = found[1].lower()
             ids = cores.get(core)
             if ids is None:
-                ids = cores[core] = np.array(model(core), self.kind).tobytes()
+                ids = cores[core] = pack(model(core))
             known[word] = ids + marks[found[2]]
         for lo in range(0, len(others), 4096):
             some = others[lo : lo + 4096]
