@@ -80,7 +80,7 @@ class WordMemory:
     one lower-case letter. All other words take the library's whole way.
     """
 
-    LIMIT = 600_000
+    LIMIT = 1_300_000
 
     def __init__(self, encoder: Encoder, kind: str):
         self.encoder, self.kind = encoder, kind
