@@ -51,6 +51,7 @@ HOT_ROWS = 100_000
 GROUP_ROWS = 128
 BLOCK_BYTES = 4 << 20
 FILTER_BYTES = 16 << 20
+BROADCAST_NODES = 200_000  # candidates whose pairs, a few numbers each, are sent to all tasks
 
 
 def overlap(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -237,21 +238,26 @@ class Lists:
         self.length = length[length > 1]
         self.start = np.cumsum(self.length) - self.length
 
-    def counted(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
+    def counted(self, i: np.ndarray, j: np.ndarray, whole: bool = False) -> tuple[np.ndarray, ...]:
         """(a, b, shared, asked) per pair of rows, from pairs of positions."""
         a, b = np.minimum(self.row[i], self.row[j]), np.maximum(self.row[i], self.row[j])
-        asked = np.minimum(self.asked[i], self.asked[j])
+        if whole:  # all shared prefix shingles are counted: those of the overlap that lie beyond a prefix are few
+            beyond = [(3 * self.n[k] + 3) // 4 - self.asked[k] for k in (i, j)]
+            asked = overlap(self.n[i], self.n[j]) - np.maximum(*beyond)
+        else:
+            asked = np.minimum(self.asked[i], self.asked[j])
         order = np.lexsort((b, a))
         a, b, asked = a[order], b[order], asked[order]
         first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
         return a[first], b[first], np.diff(np.append(first, len(a))), asked[first]
 
     def star(self) -> tuple[np.ndarray, ...]:
-        """Each holder with the first of its list."""
+        """Each holder with the first of its list; a pair missed here, as lists may start apart, is left to `between`."""
         i = np.repeat(self.start, self.length)
         j = np.arange(len(self.row))
-        good = (self.row[i] != self.row[j]) & _possible(self.n, self.asked, self.place, i, j)
-        return self.counted(i[good], j[good])
+        n_i, n_j = self.n[i], self.n[j]
+        good = (self.row[i] != self.row[j]) & (4 * np.minimum(n_i, n_j) >= 3 * np.maximum(n_i, n_j))
+        return self.counted(i[good], j[good], whole=True)
 
     def between(self, label: np.ndarray) -> tuple[np.ndarray, ...]:
         """Each holder with every other of its list that has another label, in blocks of bounded size."""
@@ -348,7 +354,7 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col
     """The pairs whose sets link."""
     pairs = materialize(pairs, "pairs")
     nodes = materialize(pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct(), "nodes")
-    total = nodes.count()
+    total = max(nodes.count(), pairs.count())
     blobs = None
     if total * 1.3 < FILTER_BYTES:  # keeps other documents' sets where they are; beyond, the join alone does it
         buckets = max(1, total // 200_000)
@@ -381,7 +387,10 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("groups"))
     members = pairs.join(groups, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("part"), F.col("b").alias("row"))
     heads = groups.select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.col("a").alias("row"))
-    asked = members.unionByName(heads).join(sets, "row")
+    asked = members.unionByName(heads)
+    if total <= BROADCAST_NODES:  # then a set is shuffled once, to its comparison; beyond, also to meet its pairs
+        asked = F.broadcast(asked)
+    asked = sets.join(asked, "row")
 
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         a = key[0]
