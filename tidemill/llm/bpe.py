@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 
 from tidemill.llm.common import by_bytes, columns, read_bounded, small_batches, strings
 
-BLOCK_BYTES = 4 << 20  # text whose words are replayed together
-CACHED_WORDS = 250_000  # words a task remembers, at most
+BLOCK_BYTES = 3 << 20  # text whose words are replayed together
+CACHED_WORDS = 150_000  # words a task remembers, at most
 CACHED_LENGTH = 64  # longer words are replayed again
 WORDS_PER_PIECE = 1 << 16
 

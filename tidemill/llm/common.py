@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of one Arrow batch: a batch of long texts must fit a Python worker.
-ROWS_PER_BATCH = "2000"
+ROWS_PER_BATCH = "1000"
 
 
 def small_batches(df: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import by_bytes, fresh_name, small_batches, utf8
 from tidemill.llm.hashing import range_hashes
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 # Bytes by class: 0 other, 1 lower-case or part of a letter beyond ASCII, 2 upper-case, 3 digit, 4 sentence mark,
 # 5 symbol, 6 white space.
 CLASS = np.zeros(256, np.uint8)

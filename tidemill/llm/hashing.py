@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be undone modulo 2**64
-LEAST = 1 << 22
+LEAST = 1 << 20
 
 _POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -32,6 +32,8 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     if not _POWERS or len(_POWERS[0][0]) <= len(data):
         _POWERS[:] = [_powers(max(len(data) + 1, LEAST))]
     up, down = _POWERS[0]
+    if len(up) > 4 * LEAST:  # those of a very long text are not kept
+        _POWERS.clear()
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
     return mixed((total[end] - total[start]) * down[start])

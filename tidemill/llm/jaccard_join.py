@@ -46,10 +46,10 @@ SKETCH_BITS = 18
 SKETCH_CHUNKS = 16
 LONGEST = 32  # shared shingles asked for, at most
 PARTITION_ROWS = 400_000  # prefix shingles of one index partition, about
-FLUSH_ROWS = 1_000_000
+FLUSH_ROWS = 300_000
 HOT_ROWS = 100_000
 GROUP_ROWS = 128
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 19
 FILTER_BYTES = 16 << 20
 BROADCAST_NODES = 200_000  # candidates whose pairs, a few numbers each, are sent to all tasks
 
