@@ -8,10 +8,10 @@ the length of its prefix, that makes its estimated cost least: candidates met al
 left to verify, which fall as more shared shingles are asked for. A shared shingle counts for a pair only
 if its places leave room for the overlap that the two sizes need.
 
-Links are looked for twice. First each shingle's holders are compared with one of them, which finds
-groups of copies at a cost in proportion to their size. Then holders that these links have not yet brought
-together are compared with each other, so no link between two components is lost, and no pair within one is
-made. Candidates are verified on whole sets. Equal sets are one node from the start.
+Links are looked for in rounds. First each shingle's holders are compared with one of them, then those not yet
+brought together with a few others, which finds groups of copies at a cost in proportion to their size. In the
+last round all holders that these links have not brought together are compared with each other, so no link between
+two components is lost, and no pair within one is made. Candidates are verified on whole sets. Equal sets are one node from the start.
 
 Shuffled are the prefixes, packed per task and index partition, and the sets of candidates. A shingle
 expected in more than HOT_ROWS prefixes is dealt over blocks of its holders, every pair of blocks being one
@@ -20,7 +20,8 @@ list; a document with many candidates is verified in groups of GROUP_ROWS.
 Only A-Z are lower-cased; words are separated by the six ASCII white-space characters. A null or empty
 text, or one without words, has an empty set and links with nothing. A text of fewer words than a shingle is
 one shingle. Null ids are kept and count last as smallest id. Repeated rows are copies of each other. An
-empty table gives an empty result. Only the id and the text are read; `docs` is a table, read three times.
+empty table gives an empty result. Only the id and the text are read; `docs` is a table, read once per
+round and twice before.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ from tidemill.session import materialize
 SKETCH_BITS = 18
 SKETCH_CHUNKS = 16
 LONGEST = 32  # shared shingles asked for, at most
-PARTITION_ROWS = 400_000  # prefix shingles of one index partition, about
+PARTITION_ROWS = 1_500_000  # prefix shingles of one index partition, about
 FLUSH_ROWS = 300_000
 HOT_ROWS = 100_000
 GROUP_ROWS = 128
@@ -259,6 +260,35 @@ class Lists:
         good = (self.row[i] != self.row[j]) & (4 * np.minimum(n_i, n_j) >= 3 * np.maximum(n_i, n_j))
         return self.counted(i[good], j[good], whole=True)
 
+    def near(self, label: np.ndarray, salt: int, tries: int = 4) -> tuple[np.ndarray, ...]:
+        """Each holder outside the commonest label of its list with a few holders of that label, which hashes choose.
+
+        The same few are chosen wherever a holder meets them. Pairs missed here are left to `between`.
+        """
+        if not len(self.row):
+            return self.counted(np.empty(0, np.int64), np.empty(0, np.int64))
+        owner = np.repeat(np.arange(len(self.length)), self.length)
+        order = np.lexsort((label, owner))
+        change = (np.diff(label[order], prepend=label[order[0]] - 1) != 0) | (np.diff(owner[order], prepend=-1) != 0)
+        run = np.flatnonzero(change)
+        size, run_owner, run_label = np.diff(np.append(run, len(order))), owner[order[run]], label[order[run]]
+        best = np.lexsort((run_label, -size, run_owner))
+        best = best[np.diff(run_owner[best], prepend=-1) != 0]
+        main = label == run_label[best][owner]
+        ring = np.lexsort((mixed(self.row.astype(np.uint64) + np.uint64(salt)), owner))
+        held = ring[main[ring]]  # by list, then by hash
+        count = np.bincount(owner[held], minlength=len(self.length))
+        start = np.cumsum(count) - count
+        ahead = np.empty(len(ring), np.int64)
+        ahead[ring] = np.cumsum(main[ring])
+        out = np.flatnonzero(~main)
+        k = np.arange(tries)
+        at = start[owner[out], None] + (ahead[out, None] - start[owner[out], None] + k) % count[owner[out], None]
+        good = k < count[owner[out], None]
+        i, j = np.broadcast_to(out[:, None], at.shape)[good], held[at[good]]
+        good = 4 * np.minimum(self.n[i], self.n[j]) >= 3 * np.maximum(self.n[i], self.n[j])
+        return self.counted(i[good], j[good], whole=True)
+
     def between(self, label: np.ndarray) -> tuple[np.ndarray, ...]:
         """Each holder with every other of its list that has another label, in blocks of bounded size."""
         done: list[tuple[np.ndarray, ...]] = []
@@ -316,8 +346,11 @@ def first_round(index: DataFrame) -> DataFrame:
     return index.groupBy("target").applyInPandas(reduce, schema)
 
 
-def second_round(live: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of holders whose labels (row, label) differ; a row without one is a component of its own."""
+def next_round(live: DataFrame, labels: DataFrame, salt: int | None = None) -> DataFrame:
+    """Pairs of holders whose labels (row, label) differ, all of them or, with `salt`, a few of each holder's.
+
+    A row without a label is a component of its own.
+    """
     held = live.drop("pairs")
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +372,7 @@ def second_round(live: DataFrame, labels: DataFrame) -> DataFrame:
             rows = known["row"].to_numpy(np.int64)
             at = np.minimum(rows.searchsorted(lists.row), len(rows) - 1)
             label = np.where(rows[at] == lists.row, known["label"].to_numpy(np.int64)[at], lists.row)
-        return pd.DataFrame(dict(zip(["a", "b", "shared", "asked"], lists.between(label), strict=True)))
+        return pd.DataFrame(dict(zip(["a", "b", "shared", "asked"], lists.between(label) if salt is None else lists.near(label, salt), strict=True)))
 
     return held.groupBy("target").cogroup(known.groupBy("target")).applyInPandas(reduce, PAIRS)
 
@@ -426,11 +459,13 @@ def jaccard_groups(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_
         both = left.join(node_of.select(F.col("row").alias("b"), F.col("node").alias("y")), "b")
         return both.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
-    first = materialize(links(live.select(F.inline("pairs"))), "links")
-    labels = connected_components(first)
-    label_of = node_of.join(labels, "node", "left").select("row", F.coalesce("label", "node").alias("label"))
-    second = links(second_round(live, label_of.where(F.col("row") != F.col("label"))))
-    labels = connected_components(first.unionByName(second))
+    found_links = materialize(links(live.select(F.inline("pairs"))), "links")
+    for salt in (1, 2, None):  # a few of each holder's pairs, twice, so that groups of copies close; then all that are left
+        labels = connected_components(found_links)
+        label_of = node_of.join(labels, "node", "left").select("row", F.coalesce("label", "node").alias("label"))
+        more = links(next_round(live, label_of.where(F.col("row") != F.col("label")), salt))
+        found_links = materialize(found_links.unionByName(more), "links")
+    labels = connected_components(found_links)
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lowest = named.groupBy("label").agg(F.min("low").alias("component_id"), F.min("node").alias("first_row"))
