@@ -185,10 +185,13 @@ def test_failed_load_is_recorded_and_raised(spark):
     with pytest.raises(RuntimeError):
         inc.incremental_load(store, "s", "t", fetch, lambda b: (_ for _ in ()).throw(RuntimeError("disk")), now=hours(11))
     assert seen == [hours(10) - dt.timedelta(days=7), hours(2)]
-    assert store.get("s", "t") is None
+    assert store.get("s", "t") == hours(3)  # the last mark that succeeded
     row = store.all().first()
     assert row["status"] == "failed" and row["error_message"] == "disk"
-    store.reset("s", "t", now=hours(12))
+    later = hours(10) + dt.timedelta(days=30)
+    inc.incremental_load(store, "s", "t", fetch, lambda b: None, now=later)
+    assert seen[-1] == hours(2)  # a month after the failure nothing since the last success is skipped
+    store.reset("s", "t", now=later + dt.timedelta(hours=1))
     assert store.get("s", "t") is None
 
 

@@ -36,7 +36,7 @@ def test_large_table_tiles_equal_ntile(scores, descending, rows):
     order = Ordering("v", "id", descending)
     part = scores.where(F.col("id") < rows)
     expected = part.withColumn("t", F.ntile(5).over(W.orderBy(*order.sort_columns())))
-    got = add_tiles(part, {"t": order}, single_task_rows=0)
+    got = add_tiles(part, {"t": order})
     assert got.exceptAll(expected).count() == 0
     assert got.count() == rows
 
@@ -52,7 +52,6 @@ def test_percentiles_of_a_column(scores):
     values = [r["v"] for r in scores.where("v is not null").collect()]
     ps = [0.0, 0.25, 0.5, 0.913, 1.0]
     expected = np.quantile(values, ps)
-    assert np.allclose(table_percentiles(scores, "v", "id", ps, single_task_rows=0), expected)
     assert np.allclose(table_percentiles(scores, "v", "id", ps), expected)
     assert table_percentiles(scores.where("v is null"), "v", "id", [0.5]) == [None]
 

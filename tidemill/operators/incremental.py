@@ -126,9 +126,10 @@ class CheckpointStore:
         return latest_per_key(self._log(), self.KEYS, "updated_at").orderBy(F.desc("updated_at"), *self.KEYS)
 
     def get(self, source: str, table: str, column: str = "ingested_at") -> datetime | None:
-        """Value of the current mark when its last load succeeded."""
+        """Value of the newest mark of a load that succeeded, if it has not been reset since."""
         wanted = (F.col("source_name") == source) & (F.col("table_name") == table) & (F.col("checkpoint_column") == column)
-        newest = latest_per_key(self._log().where(wanted), self.KEYS, "updated_at").where("status = 'success'")
+        counted = self._log().where(wanted & F.col("status").isin("success", "reset"))
+        newest = latest_per_key(counted, self.KEYS, "updated_at").where("status = 'success'")
         row = newest.select(F.col("checkpoint_value").cast("timestamp_ntz").alias("v")).first()
         return row["v"] if row else None
 
@@ -156,7 +157,7 @@ def incremental_load(
 ) -> dict:
     """Fetch from the mark less an overlap (first run: some days back), write, advance the mark.
 
-    A failure is recorded and raised; the next run then starts as a first run does.
+    A failure is recorded and raised; the next run then starts from the last mark that succeeded.
     """
     now = now or utc_now()
     mark = store.get(source, table, column)

@@ -19,10 +19,6 @@ from pyspark.sql import functions as F
 
 from tidemill.session import materialize
 
-# Up to this many rows one task may sort a table of a few narrow columns.
-SINGLE_TASK_ROWS = 1_000_000
-
-
 @dataclass(frozen=True)
 class Ordering:
     """Sort by a numeric or temporal column, ties by a unique key column.
@@ -91,22 +87,13 @@ def tile_ends(rows: int, tiles: int) -> list[int]:
     return [i * size + min(i, extra) for i in range(1, tiles)]
 
 
-def add_tiles(
-    df: DataFrame,
-    orders: dict[str, Ordering],
-    tiles: int = 5,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
+def add_tiles(df: DataFrame, orders: dict[str, Ordering], tiles: int = 5) -> DataFrame:
     """Add one exact ntile column per ordering over the whole table.
 
-    `df` is read several times: pass a materialized frame. Small tables (by count) use a plain
-    window; larger ones compare each row with the rows on the tile boundaries.
+    `df` is read several times: pass a materialized frame. Each row is compared with the rows on
+    the tile boundaries; the table is never sorted in one task.
     """
     rows = df.count()
-    if rows <= single_task_rows:
-        return df.withColumns(
-            {name: F.ntile(tiles).over(W.orderBy(*o.sort_columns())) for name, o in orders.items()}
-        )
     out, columns, kinds = {}, df.columns, dict(df.dtypes)
     for name, order in orders.items():
         if kinds[order.value] == "timestamp":
@@ -124,21 +111,12 @@ def add_tiles(
     return df.withColumns(out).select(*columns, *out)
 
 
-def table_percentiles(
-    df: DataFrame,
-    value: str,
-    key: str,
-    probabilities: list[float],
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> list[float | None]:
+def table_percentiles(df: DataFrame, value: str, key: str, probabilities: list[float]) -> list[float | None]:
     """Exact interpolated percentiles of a whole column, as numbers."""
     df = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias(value), key)
     rows = df.count()
     if rows == 0:
         return [None] * len(probabilities)
-    if rows <= single_task_rows:
-        got = df.agg(F.percentile(value, [float(p) for p in probabilities]).alias("p")).first()
-        return list(got["p"])
     spots = [(rows - 1) * p for p in probabilities]
     ranks = [r for s in spots for r in (math.floor(s) + 1, math.ceil(s) + 1)]
     found = rows_at_ranks(df, Ordering(value, key), ranks)

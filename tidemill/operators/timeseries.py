@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.functions.scalars import ratio
+from tidemill.functions.scalars import mean, ratio
 
 
 def dated(order: str, *keys: str) -> WindowSpec:
@@ -149,11 +149,15 @@ def period_start(date: Column, frequency: str) -> Column:
 
 
 def series_resample(df: DataFrame, frequency: str, method: str = "avg", keys=("series_id",), date="date") -> DataFrame:
-    """Aggregate each series to a lower frequency by avg, sum or end-of-period value."""
+    """Aggregate each series to a lower frequency by avg, sum or end-of-period value.
+
+    Sums are taken over decimals of eight digits, so they do not depend on the order of the rows.
+    """
     v = F.col("value").cast("double")
+    exact = F.col("value").cast("decimal(28,8)")
     made = {
-        "avg": F.avg(v),
-        "sum": F.sum(F.col("value")).cast("double"),
+        "avg": mean(exact),
+        "sum": F.sum(exact).cast("double"),
         "eop": F.max_by(v, F.when(v.isNotNull(), F.col(date))),
     }[method]
     return df.groupBy(*keys, period_start(F.col(date), frequency).alias("period")).agg(made.alias("value"))

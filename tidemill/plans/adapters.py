@@ -10,7 +10,6 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tidemill import fixed_values as fv
 
@@ -38,29 +37,9 @@ SERIES_SCALES = {
 }
 
 
-# Column by which a table is spread when its files have fewer splits than there are cores.
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
-
-_known: dict[tuple[str, str], tuple[StructType, bool]] = {}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table. Schema and split count are looked up once per session and path.
-
-    A file with a single row group would keep all but one core idle, so a table with fewer
-    splits than cores is hashed over them by its key; the order-grain joins then reuse that
-    partitioning. A table with at least as many splits as cores is never moved here.
-    """
-    path = f"{sf}/{name}.parquet"
-    cores = spark.sparkContext.defaultParallelism
-    known = _known.get((spark.sparkContext.applicationId, path))
-    if known is None:
-        found = spark.read.parquet(path)
-        few = name in SPREAD_KEYS and found.rdd.getNumPartitions() < cores
-        known = _known[(spark.sparkContext.applicationId, path)] = (found.schema, few)
-    schema, few = known
-    df = spark.read.schema(schema).parquet(path)
-    return df.repartition(cores, SPREAD_KEYS[name]) if few else df
+    """A given table, as it lies."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def _pick(values: list[str], index: Column) -> Column:

@@ -479,7 +479,7 @@ register("rfm_scores", _RFM, _RFM_SQL)(lambda s, sf: cm.mart_customers(Commerce(
 )
 def _rfm_large(s, sf):
     """The boundary-row path used beyond the single-task bound, forced here at any size."""
-    return cm.mart_customers(cm.dim_customers(Commerce(s, sf).metrics, single_task_rows=0), single_task_rows=0)
+    return cm.mart_customers(cm.dim_customers(Commerce(s, sf).metrics))
 
 
 # --- dashboard ----------------------------------------------------------------------------
@@ -511,18 +511,18 @@ SELECT * FROM (
   SELECT CAST(date_trunc('{unit}', o.bought) AS DATE) AS period, sum(i.price + i.freight_value) AS revenue,
          count(DISTINCT o.order_id) AS order_count
   FROM x_ro o JOIN x_ri i USING (order_id) WHERE o.order_status <> 'canceled' {where}
-  GROUP BY 1 ORDER BY 1 DESC LIMIT 60) ORDER BY period
+  GROUP BY 1 ORDER BY 1 DESC {limit}) ORDER BY period
 """
 _TREND = "d: period | f2: revenue | i: order_count"
-register("revenue_trends", _TREND, _TREND_SQL.format(unit="month", where=""))(
-    lambda s, sf: db.revenue_trends(*_raw(s, sf)[:2])
+register("revenue_trends", _TREND, _TREND_SQL.format(unit="month", where="", limit="LIMIT 60"))(
+    lambda s, sf: db.revenue_trends(*_raw(s, sf)[:2], limit=60)
 )
-register("revenue_trends_weekly", _TREND, _TREND_SQL.format(unit="week", where=""))(
-    lambda s, sf: db.revenue_trends(*_raw(s, sf)[:2], granularity="weekly")
+register("revenue_trends_weekly", _TREND, _TREND_SQL.format(unit="week", where="", limit="LIMIT 60"))(
+    lambda s, sf: db.revenue_trends(*_raw(s, sf)[:2], granularity="weekly", limit=60)
 )
 register(
     "date_range_filter", _TREND,
-    _TREND_SQL.format(unit="day", where="AND o.bought >= TIMESTAMP '1996-01-01' AND o.bought <= TIMESTAMP '1996-12-31'"),
+    _TREND_SQL.format(unit="day", where="AND o.bought >= TIMESTAMP '1996-01-01' AND o.bought <= TIMESTAMP '1996-12-31'", limit=""),
 )(
     lambda s, sf: db.revenue_trends(
         *_raw(s, sf)[:2], granularity="daily", start="1996-01-01", end="1996-12-31"

@@ -106,7 +106,7 @@ register(
     "search_series",
     "s: series_id title | d: observation_start observation_end",
     "SELECT series_id, max(series_title) AS title, min(date) AS observation_start, max(date) AS observation_end FROM x_series "
-    "WHERE series_id ILIKE '%gdp%' OR series_title ILIKE '%gdp%' GROUP BY 1 ORDER BY 1 LIMIT 20",
+    "WHERE series_id ILIKE '%gdp%' OR series_title ILIKE '%gdp%' GROUP BY 1 ORDER BY 1",
 )(lambda s, sf: mc.search_series(Macro(s, sf).metadata, "gDp"))
 register(
     "indicator_query",
@@ -132,7 +132,7 @@ register(
     "treasury_query",
     _RATE,
     "SELECT * FROM x_rate WHERE security_type = 'Treasury Notes' AND record_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' "
-    "ORDER BY record_date DESC, avg_interest_rate, security_desc, security_type LIMIT 100",
+    "ORDER BY record_date DESC, avg_interest_rate, security_desc, security_type",
 )(
     lambda s, sf: mc.treasury_query(
         Macro(s, sf).rates, "1996-01-01", "1998-12-31", security_type="Treasury Notes"
@@ -142,9 +142,8 @@ register("union_sources", _RATE, "SELECT * FROM x_rate")(lambda s, sf: mc.union_
 register(
     "rate_by_maturity",
     _RATE,
-    "SELECT * FROM (SELECT * FROM x_rate WHERE security_type = 'Treasury Notes' "
-    "ORDER BY record_date DESC, avg_interest_rate, security_desc LIMIT 10) "
-    "ORDER BY contains(security_desc, '10') DESC, record_date DESC, security_desc LIMIT 1",
+    "SELECT * FROM x_rate WHERE security_type = 'Treasury Notes' "
+    "ORDER BY coalesce(regexp_matches(security_desc, '(^|[^0-9])10([^0-9]|$)'), false) DESC, record_date DESC, security_desc LIMIT 1",
 )(lambda s, sf: mc.rate_by_maturity(Macro(s, sf).rates, 10))
 register(
     "cast_debt_amounts",
@@ -368,11 +367,11 @@ _FREQ = {
 
 @register(
     "series_resample",
-    "s: asset frequency method | d: period | f6: value",
+    "s: asset frequency method | d: period | e: value",
     " UNION ALL ".join(
         f"SELECT asset, '{f}' AS frequency, '{m}' AS method, CAST({p} AS DATE) AS period, {a} AS value FROM x_close GROUP BY 1, 4"
         for f, p in _FREQ.items()
-        for m, a in (("avg", "avg(price)"), ("sum", "sum(price)"), ("eop", "arg_max(price, date)"))
+        for m, a in (("avg", "CAST(sum(CAST(price AS DECIMAL(28,8))) AS DOUBLE) / count(price)"), ("sum", "CAST(sum(CAST(price AS DECIMAL(28,8))) AS DOUBLE)"), ("eop", "arg_max(price, date)"))
     ),
 )
 def _resampled(s, sf):

@@ -197,7 +197,8 @@ FROM x_coinstg GROUP BY 1
 register(
     "top_coins",
     "s: coin_id | d: price_date | f2: market_cap_usd",
-    "SELECT * FROM x_coinstg WHERE price_date = (SELECT max(price_date) FROM x_coinstg) ORDER BY market_cap_usd DESC LIMIT 3",
+    "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY price_date DESC) AS age FROM x_coinstg) "
+    "WHERE age = 1 ORDER BY market_cap_usd DESC, coin_id LIMIT 3",
 )(lambda s, sf: mk.top_coins(Market(s, sf).coins, 3))
 register(
     "price_history",

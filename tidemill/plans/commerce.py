@@ -18,7 +18,6 @@ from tidemill import fixed_values as fv
 from tidemill.functions import labels
 from tidemill.functions.scalars import days_between, mean, ratio
 from tidemill.operators.ranking import (
-    SINGLE_TASK_ROWS,
     Ordering,
     add_tiles,
     distinct_counts,
@@ -200,24 +199,20 @@ def dim_sellers(performance: DataFrame) -> DataFrame:
     return performance.drop("total_freight", "delivery_rate_orders")
 
 
-def dim_customers(metrics: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def dim_customers(metrics: DataFrame) -> DataFrame:
     """Customers with a spend tier by the quartiles of positive spend.
 
     `metrics` is read twice (quartiles, then rows): pass a materialized frame.
     """
     spenders = metrics.where(F.col("total_spend") > 0)
-    cuts = table_percentiles(
-        spenders, "total_spend", "customer_unique_id", [0.75, 0.5, 0.25], single_task_rows
-    )
+    cuts = table_percentiles(spenders, "total_spend", "customer_unique_id", [0.75, 0.5, 0.25])
     spend = F.col("total_spend").cast("double")
     *tiers, lowest = fv.SPEND_TIERS
     rules = [(spend >= F.lit(cut), tier) for cut, tier in zip(cuts, tiers)]
     return metrics.withColumn("customer_segment", labels.first_match(rules, lowest))
 
 
-def mart_customers(
-    base: DataFrame, recency: str = "reference", single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def mart_customers(base: DataFrame, recency: str = "reference") -> DataFrame:
     """RFM scores, segment, yearly value and churn flag per customer.
 
     recency="reference" gives the newest buyers score 1; "corrected" gives them score 5.
@@ -233,7 +228,6 @@ def mart_customers(
             "monetary_score": Ordering("total_spend", key),
         },
         tiles=5,
-        single_task_rows=single_task_rows,
     )
     r, f, m = (F.col(f"{n}_score") for n in ("recency", "frequency", "monetary"))
     lifetime = F.col("customer_lifetime_days")

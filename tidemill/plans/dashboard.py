@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemill import fixed_values as fv
 from tidemill.functions import labels
 from tidemill.functions.scalars import days_between, mean, ratio
-from tidemill.operators.ranking import SINGLE_TASK_ROWS, Ordering, add_tiles
+from tidemill.operators.ranking import Ordering, add_tiles
 from tidemill.session import materialize
 
 GRANULARITY = {"daily": "day", "weekly": "week", "monthly": "month"}
@@ -42,10 +42,6 @@ def _delivery_days() -> Column:
     return days_between(F.col("order_delivered_customer_date"), F.col("order_purchase_timestamp"))
 
 
-def _on_time_pct(on_time: Column) -> Column:
-    return ratio(F.count_if(on_time) * 100, F.count("*"))
-
-
 def kpis(orders: DataFrame, items: DataFrame, reviews: DataFrame, dedupe: bool = False, **when) -> DataFrame:
     """Headline figures of delivered orders, one row.
 
@@ -69,9 +65,10 @@ def kpis(orders: DataFrame, items: DataFrame, reviews: DataFrame, dedupe: bool =
     revenue = F.coalesce(F.sum(F.col("paid") * line_copies).cast("double"), F.lit(0.0))
     judged = F.col("order_delivered_customer_date").isNotNull() & F.col("order_estimated_delivery_date").isNotNull()
     on_time = F.col("order_delivered_customer_date") <= F.col("order_estimated_delivery_date")
-    # The joins keep every delivered order, so both distinct counts need the orders alone.
-    found = {c: delivered.agg(F.countDistinct(c)).scalar() for c in ("order_id", "customer_id")}
+    # The joins keep every delivered order once; customers are made unique before they are counted.
+    customers = delivered.groupBy("customer_id").agg(F.lit(1).alias("one")).agg(F.count("customer_id")).scalar()
     totals = per_order.agg(
+        F.count("*").alias("total_orders"),
         F.round(revenue, 2).alias("total_revenue"),
         F.round(
             F.coalesce(F.try_divide(revenue, F.sum(F.col("lines") * line_copies).cast("double")), F.lit(0.0)), 2
@@ -82,30 +79,28 @@ def kpis(orders: DataFrame, items: DataFrame, reviews: DataFrame, dedupe: bool =
         ).alias("avg_review_score"),
         F.round(ratio(F.count_if(judged & on_time) * 100, F.count_if(judged)), 1).alias("on_time_delivery_pct"),
     )
-    return totals.select(
-        found["order_id"].alias("total_orders"), found["customer_id"].alias("total_customers"), *totals.columns
-    )
+    return totals.select("total_orders", customers.alias("total_customers"), *totals.columns[1:])
 
 
 def revenue_trends(
-    orders: DataFrame, items: DataFrame, granularity: str = "monthly", limit: int = 60, **when
+    orders: DataFrame, items: DataFrame, granularity: str = "monthly", limit: int | None = None, **when
 ) -> DataFrame:
-    """Revenue and orders per period without canceled orders: the newest `limit`, oldest first."""
+    """Revenue and orders per period without canceled orders, oldest first; with `limit` the newest periods only."""
     kept = _in_range(orders.where(F.col("order_status") != "canceled"), **when)
     unit = GRANULARITY.get(granularity, "month")
     # One row per order first: the distinct order count becomes a plain count.
     per_order = items.groupBy("order_id").agg(F.sum(_paid(items)).alias("paid"))
-    return (
+    periods = (
         kept.join(per_order, "order_id")
         .groupBy(F.to_date(F.date_trunc(unit, "order_purchase_timestamp")).alias("period"))
         .agg(
             F.round(F.coalesce(F.sum("paid"), F.lit(0)).cast("double"), 2).alias("revenue"),
-            F.countDistinct("order_id").alias("order_count"),
+            F.count("*").alias("order_count"),
         )
-        .orderBy(F.desc("period"))
-        .limit(limit)
-        .orderBy("period")
     )
+    if limit is not None:
+        periods = periods.orderBy(F.desc("period")).limit(limit)
+    return periods.orderBy("period")
 
 
 def top_products(
@@ -142,14 +137,14 @@ def customer_money(orders: DataFrame, items: DataFrame) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.max("order_purchase_timestamp").alias("last_order"),
-            F.countDistinct("order_id").alias("frequency"),
+            F.count("*").alias("frequency"),
             F.sum("paid").alias("monetary"),
         )
     )
 
 
 def customer_segments(
-    orders: DataFrame, items: DataFrame, recency: str = "reference", single_task_rows: int = SINGLE_TASK_ROWS
+    orders: DataFrame, items: DataFrame, recency: str = "reference"
 ) -> DataFrame:
     """Size and mean money of the five dashboard segments, with their share in percent."""
     base = materialize(customer_money(orders, items), "customer-money")
@@ -161,7 +156,6 @@ def customer_segments(
             "f": Ordering("frequency", key),
             "m": Ordering("monetary", key),
         },
-        single_task_rows=single_task_rows,
     )
     segment = labels.score_segment(
         F.col("r"), F.col("f"), F.col("m"), fv.RFM_DASHBOARD_SEGMENTS, fv.RFM_DASHBOARD_REMAINDER

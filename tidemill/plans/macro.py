@@ -172,11 +172,12 @@ def series_query(
     return kept.select("series_id", "observation_date", "value").join(about, "series_id", "left")
 
 
-def search_series(metadata: DataFrame, text: str, limit: int = 20) -> DataFrame:
+def search_series(metadata: DataFrame, text: str, limit: int | None = None) -> DataFrame:
     """Metadata rows whose id or title contains the text, ignoring case."""
     needle = F.lit(text.lower())
     hit = F.contains(F.lower("series_id"), needle) | F.contains(F.lower("title"), needle)
-    return metadata.where(hit).orderBy("series_id").limit(limit)
+    found = metadata.where(hit).orderBy("series_id")
+    return found if limit is None else found.limit(limit)
 
 
 def indicator_query(
@@ -209,7 +210,7 @@ def compare_countries(
 
 
 def treasury_query(
-    table: DataFrame, start: str | None = None, end: str | None = None, limit: int = 100, **equals: str
+    table: DataFrame, start: str | None = None, end: str | None = None, limit: int | None = None, **equals: str
 ) -> DataFrame:
     """Rows of a treasury table by date range and exact values, newest first."""
     kept = table
@@ -220,7 +221,8 @@ def treasury_query(
     for column, value in equals.items():
         kept = kept.where(F.col(column) == value)
     rest = sorted(c for c in table.columns if c != "record_date")
-    return kept.orderBy(F.desc("record_date"), *rest).limit(limit)
+    newest = kept.orderBy(F.desc("record_date"), *rest)
+    return newest if limit is None else newest.limit(limit)
 
 
 def union_sources(rates: DataFrame, types: list[str] | None = None) -> DataFrame:
@@ -232,11 +234,11 @@ def union_sources(rates: DataFrame, types: list[str] | None = None) -> DataFrame
     return out
 
 
-def rate_by_maturity(rates: DataFrame, years: int, recent: int = 10) -> DataFrame:
+def rate_by_maturity(rates: DataFrame, years: int) -> DataFrame:
     """Newest rate of the maturity's security type whose description names it, else the newest."""
-    newest = treasury_query(rates, limit=recent, security_type=fv.MATURITY_SECURITY[years])
-    named = F.contains("security_desc", F.lit(str(years)))
-    return newest.orderBy(F.desc(named), F.desc("record_date"), "security_desc").limit(1)
+    kind = rates.where(F.col("security_type") == fv.MATURITY_SECURITY[years])
+    named = F.coalesce(F.col("security_desc").rlike(f"(^|[^0-9]){years}([^0-9]|$)"), F.lit(False))
+    return kind.orderBy(F.desc(named), F.desc("record_date"), "security_desc").limit(1)
 
 
 def cast_debt_amounts(raw: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemill import fixed_values as fv
 from tidemill.functions import labels
 from tidemill.functions.scalars import pct_change, ratio, satoshi_to_btc
+from tidemill.operators.ranking import latest_per_key
 from tidemill.operators.timeseries import dated, ema, full_moving_avg, last_rows, moving_avg
 from tidemill.plans import adapters
 from tidemill.session import materialize
@@ -284,8 +285,8 @@ def latest_day(df: DataFrame, date: str) -> DataFrame:
 
 
 def top_coins(coins: DataFrame, n: int = 100) -> DataFrame:
-    """Largest coins by market cap on the newest day."""
-    return latest_day(coins, "price_date").orderBy(F.desc("market_cap_usd"), "coin_id").limit(n)
+    """Largest coins by market cap, each by its newest row."""
+    return latest_per_key(coins, ["coin_id"], "price_date").orderBy(F.desc("market_cap_usd"), "coin_id").limit(n)
 
 
 def price_history(coins: DataFrame, coin_id: str, days: int = 30) -> DataFrame:
