@@ -43,8 +43,8 @@ from tidemill.llm.hashing import mixed
 from tidemill.llm.shingles import shingle_sets
 from tidemill.session import materialize
 
-SKETCH_BITS = 18
-SKETCH_CHUNKS = 16
+SKETCH_BITS = 20
+SKETCH_CHUNKS = 64
 LONGEST = 32  # shared shingles asked for, at most
 PARTITION_ROWS = 1_500_000  # prefix shingles of one index partition, about
 FLUSH_ROWS = 300_000
