@@ -197,6 +197,17 @@ def plain_groups(texts):
     return sets, [find(i) for i in range(len(sets))]
 
 
+@given(st.integers(0, 300), st.integers(0, 300), st.integers(0, 300), st.integers(0, 2**32))
+@settings(max_examples=200, deadline=None)
+def test_jaccard_bitmaps_bound_the_overlap(both, only_a, only_b, seed):
+    values = np.unique(np.random.default_rng(seed).integers(0, 1 << 63, both + only_a + only_b, dtype=np.uint64))
+    values = np.random.default_rng(seed).permutation(values)
+    a, b = np.sort(values[: both + only_a]), np.sort(np.concatenate([values[:both], values[both + only_a :]]))
+    bits = [np.frombuffer(jaccard_join.bitmap(x), np.uint8) for x in (a, b)]
+    assert jaccard_join.most_shared(len(a), bits[0], len(b), bits[1]) >= len(np.intersect1d(a, b))
+    assert jaccard_join.most_shared(len(a), bits[0], len(a), bits[0]) == len(a)
+
+
 def test_jaccard_groups(odd, documents, none, spark):
     r = np.random.default_rng(5)
     base = [f"w{k}" for k in range(60)]

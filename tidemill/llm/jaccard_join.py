@@ -11,11 +11,13 @@ if its places leave room for the overlap that the two sizes need.
 Links are looked for in rounds. First each shingle's holders are compared with one of them, then those not yet
 brought together with a few others, which finds groups of copies at a cost in proportion to their size. In the
 last round all holders that these links have not brought together are compared with each other, so no link between
-two components is lost, and no pair within one is made. Candidates are verified on whole sets. Equal sets are one node from the start.
+two components is lost, and no pair within one is made. Candidates are verified on whole sets, after those
+whose bitmaps of hashed shingles, at most a byte per shingle, already bound the overlap too low. Equal sets are one
+node from the start.
 
-Shuffled are the prefixes, packed per task and index partition, and the sets of candidates. A shingle
-expected in more than HOT_ROWS prefixes is dealt over blocks of its holders, every pair of blocks being one
-list; a document with many candidates is verified in groups of GROUP_ROWS.
+Shuffled are the prefixes, packed per task and index partition, the bitmaps of candidates and the sets of what is
+left. A shingle expected in more than HOT_ROWS prefixes is dealt over blocks of its holders, every pair of blocks
+being one list; a document with many candidates is compared in groups of GROUP_ROWS.
 
 Only A-Z are lower-cased; words are separated by the six ASCII white-space characters. A null or empty
 text, or one without words, has an empty set and links with nothing. A text of fewer words than a shingle is
@@ -27,7 +29,7 @@ round and twice before.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -72,6 +74,25 @@ def _key(shingles: np.ndarray) -> bytes:
     return hashlib.sha256(shingles.tobytes()).digest()[:16]
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """A bit per value of a shingle's low hash bits, from four to eight times as many bits as shingles."""
+    size = max(64, 4 << max(0, len(shingles) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(shingles & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def most_shared(n_a: int, bits_a: np.ndarray, n_b: int, bits_b: np.ndarray) -> int:
+    """An upper bound of the overlap: each bit of one set that the other lacks is a shingle that the other lacks."""
+    while len(bits_a) > len(bits_b):
+        bits_a = bits_a[: len(bits_a) // 2] | bits_a[len(bits_a) // 2 :]
+    while len(bits_b) > len(bits_a):
+        bits_b = bits_b[: len(bits_b) // 2] | bits_b[len(bits_b) // 2 :]
+    only_a = int(np.bitwise_count(bits_a & ~bits_b).sum())
+    only_b = int(np.bitwise_count(bits_b & ~bits_a).sum())
+    return min(n_a - only_a, n_b - only_b)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         texts = utf8(batch.column(2))
@@ -80,11 +101,11 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
 
 
 def profiles(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(row, id, n, key) per document, and per task the counts of its shingles by hash bucket (chunk, counts)."""
+    """(row, id, n, key, bits) per document, and per task the counts of its shingles by hash bucket (chunk, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        names = ["row", "id", "n", "key", "part", "chunk", "counts"]
+        names = ["row", "id", "n", "key", "bits", "part", "chunk", "counts"]
         for batch, sets in _sets(batches, size):
             tokens = np.concatenate(sets)
             counts += np.bincount((tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
@@ -95,19 +116,20 @@ def profiles(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
                     batch.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_key(s) for s in sets], pa.binary()),
+                    pa.array([bitmap(s) for s in sets], pa.binary()),
                     *empty,
                 ],
                 names=names,
             )
         parts = [p.tobytes() for p in np.split(counts, SKETCH_CHUNKS)]
-        none = [pa.nulls(SKETCH_CHUNKS, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        none = [pa.nulls(SKETCH_CHUNKS, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())]
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
             [*none, pa.array([part] * SKETCH_CHUNKS, pa.int32()), pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array(parts, pa.binary())],
             names=names,
         )
 
-    schema = "row bigint, id bigint, n bigint, key binary, part int, chunk int, counts binary"
+    schema = "row bigint, id bigint, n bigint, key binary, bits binary, part int, chunk int, counts binary"
     return small_batches(_source(docs, id_col, text_col)).mapInArrow(run, schema)
 
 
@@ -383,6 +405,46 @@ def enough(pairs: DataFrame) -> DataFrame:
     return summed.where("shared >= asked").select("a", "b")
 
 
+def compared(values: DataFrame, pairs: DataFrame, total: int, shared: Callable[[int, bytes, int, bytes], int]) -> DataFrame:
+    """The pairs that link by what `shared` makes of the values (row, n, value) of both."""
+    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("groups"))
+    members = pairs.join(groups, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("part"), F.col("b").alias("row"))
+    heads = groups.select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.col("a").alias("row"))
+    asked = members.unionByName(heads)
+    if total <= BROADCAST_NODES:  # then a value is shuffled once, to its comparison; beyond, also to meet its pairs
+        asked = F.broadcast(asked)
+    met = values.join(asked, "row").select("a", "part", "row", "n", "value").repartition("a", "part")
+    met = met.sortWithinPartitions("a", "part", F.col("row") != F.col("a"))  # a group's head, then its members
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, n_head, value_head = None, 0, b""
+        for batch in batches:
+            linked_a, linked_b = [], []
+            values = batch.column(4)
+            for i, (a, row, n) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True)):
+                if row == a:
+                    head, n_head, value_head = a, n, values[i].as_py()
+                elif a == head:
+                    both = shared(n_head, value_head, n, values[i].as_py())
+                    if n and 100 * both >= 75 * (n_head + n - both):
+                        linked_a.append(a)
+                        linked_b.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array(linked_a, pa.int64()), pa.array(linked_b, pa.int64())], names=["a", "b"])
+
+    return met.mapInArrow(run, "a bigint, b bigint")
+
+
+def screened(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that may link as far as the bitmaps of `profiles` tell; no pair that links is lost."""
+    pairs = materialize(pairs, "candidates")
+
+    def shared(n_a: int, bits_a: bytes, n_b: int, bits_b: bytes) -> int:
+        return most_shared(n_a, np.frombuffer(bits_a, np.uint8), n_b, np.frombuffer(bits_b, np.uint8))
+
+    values = found.where(F.col("row").isNotNull()).select("row", "n", F.col("bits").alias("value"))
+    return compared(values, pairs, pairs.count(), shared)
+
+
 def verified(docs: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs whose sets link."""
     pairs = materialize(pairs, "pairs")
@@ -412,32 +474,19 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col
                     yield batch
 
         for batch, sets in _sets(wanted(), size):
+            lengths = pa.array([len(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["row", "shingles"]
+                [batch.column(0), lengths, pa.array([s.tobytes() for s in sets], pa.binary())], names=["row", "n", "value"]
             )
 
-    sets = small_batches(_source(docs, id_col, text_col)).mapInArrow(run, "row bigint, shingles binary")
-    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("groups"))
-    members = pairs.join(groups, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("part"), F.col("b").alias("row"))
-    heads = groups.select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"), F.col("a").alias("row"))
-    asked = members.unionByName(heads)
-    if total <= BROADCAST_NODES:  # then a set is shuffled once, to its comparison; beyond, also to meet its pairs
-        asked = F.broadcast(asked)
-    asked = sets.join(asked, "row")
-
-    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        a = key[0]
-        held = {row: np.frombuffer(x, np.uint64) for row, x in zip(group["row"].tolist(), group["shingles"], strict=True)}
-        head = held.pop(a, None)
-        linked = []
-        for row, other in held.items():
-            if head is not None and len(other):
-                both = len(np.intersect1d(head, other, assume_unique=True))
-                if 100 * both >= 75 * (len(head) + len(other) - both):
-                    linked.append(row)
-        return pd.DataFrame({"a": np.full(len(linked), a, np.int64), "b": np.array(linked, np.int64)})
+    def shared(n_a: int, set_a: bytes, n_b: int, set_b: bytes) -> int:
+        a, b = np.frombuffer(set_a, np.uint64), np.frombuffer(set_b, np.uint64)
+        if not n_a or not n_b:
+            return 0
+        return int(np.count_nonzero(a[np.minimum(a.searchsorted(b), n_a - 1)] == b))
 
-    return asked.groupBy("a", "part").applyInPandas(compare, "a bigint, b bigint")
+    sets = small_batches(_source(docs, id_col, text_col)).mapInArrow(run, "row bigint, n bigint, value binary")
+    return compared(sets, pairs, total, shared)
 
 
 def jaccard_groups(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -454,7 +503,7 @@ def jaccard_groups(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_
 
     def links(pairs: DataFrame) -> DataFrame:
         """Verified pairs as edges between the first rows of equal sets."""
-        good = verified(docs, enough(pairs), size, id_col, text_col)
+        good = verified(docs, screened(found, enough(pairs)), size, id_col, text_col)
         left = good.join(node_of.select(F.col("row").alias("a"), F.col("node").alias("x")), "a")
         both = left.join(node_of.select(F.col("row").alias("b"), F.col("node").alias("y")), "b")
         return both.select(F.col("x").alias("a"), F.col("y").alias("b"))
