@@ -155,9 +155,3 @@ DATE_FORMATS = [
     "dd/MM/yyyy",
     "MM/dd/yyyy",
 ]
-
-READ_ONLY_STATEMENTS = ["select", "show", "describe", "explain", "with"]
-WRITE_KEYWORDS = [
-    "INSERT", "UPDATE", "DELETE", "DROP", "CREATE", "ALTER",
-    "TRUNCATE", "GRANT", "REVOKE", "MERGE", "CALL",
-]

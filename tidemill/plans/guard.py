@@ -1,58 +1,65 @@
-"""Read-only SQL with a row cap."""
+"""Ad-hoc SQL for readers: one query, SHOW, DESCRIBE or EXPLAIN, and a cap on its rows.
+
+What a text does is judged by the plan that Spark's parser makes of it, so words in strings, names and comments
+mean nothing here.
+"""
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+from py4j.java_gateway import JavaObject, is_instance_of
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill import fixed_values as fv
+LOGICAL = "org.apache.spark.sql.catalyst.plans.logical"
+LOOKS_ONLY = ("Show", "Describe", "Explain")  # how the parser's nodes of such statements begin
 
 
 class StatementRefused(ValueError):
-    """The statement is empty, not read-only, or more than one."""
-
-
-def check_statement(text: str) -> str:
-    """The statement without trailing semicolons, or StatementRefused."""
-    statement = text.strip().rstrip("; \n\t")
-    if not statement:
-        raise StatementRefused("empty statement")
-    if ";" in statement:
-        raise StatementRefused("only one statement is allowed")
-    first = statement.split(None, 1)[0].lower()
-    if first not in fv.READ_ONLY_STATEMENTS:
-        raise StatementRefused(f"not a read-only statement: {first.upper()}")
-    found = next((w for w in re.findall(r"\w+", statement.upper()) if w in fv.WRITE_KEYWORDS), None)
-    if found:
-        raise StatementRefused(f"keyword not allowed: {found}")
-    return statement
+    """The text is not one statement that only reads."""
 
 
-def has_limit(statement: str) -> bool:
-    return re.search(r"\blimit\s+\d+", statement, re.IGNORECASE) is not None
+def _nodes(plan: JavaObject) -> Iterator[JavaObject]:
+    yield plan
+    below = plan.children()
+    for i in range(below.size()):
+        yield from _nodes(below.apply(i))
 
 
-def with_limit(statement: str, rows: int) -> str:
-    """Add a LIMIT unless the statement has one."""
-    return statement if has_limit(statement) else f"{statement}\nLIMIT {rows}"
+def check_statement(spark: SparkSession, text: str) -> None:
+    """Raise StatementRefused unless `text` is one statement that changes nothing and starts no program."""
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    except ParseException as error:
+        raise StatementRefused(str(error)) from error
+    gateway = spark.sparkContext._gateway
+    for node in _nodes(plan):
+        kind = node.nodeName()
+        acts = any(is_instance_of(gateway, node, f"{LOGICAL}.{c}") for c in ("Command", "ParsedStatement", "ScriptTransformation", "Call"))
+        if acts and not kind.startswith(LOOKS_ONLY):
+            raise StatementRefused(f"not a read-only statement: {kind}")
 
 
 @dataclass
 class CappedResult:
+    """The first `max_rows` rows; `kept` holds them and one more, if there is one, and is to be released after use."""
+
     rows: DataFrame
-    probe: DataFrame
+    kept: DataFrame
     max_rows: int
 
     @property
     def truncated(self) -> bool:
-        """Whether the statement has more rows than the cap: reads at most one row beyond it."""
-        return self.probe.offset(self.max_rows).limit(1).count() > 0
+        return self.kept.count() > self.max_rows
+
+    def release(self) -> None:
+        self.kept.unpersist()
 
 
 def capped_query(spark: SparkSession, text: str, max_rows: int = 10_000) -> CappedResult:
-    """Run one read-only statement and keep at most `max_rows` rows."""
-    statement = check_statement(text)
-    probe = spark.sql(with_limit(statement, max_rows + 1) if statement.lower().startswith(("select", "with")) else statement)
-    return CappedResult(probe.limit(max_rows), probe, max_rows)
+    """Run one read-only statement and keep at most `max_rows` rows; their number and the rows come from one run."""
+    check_statement(spark, text)
+    kept = spark.sql(text).limit(max_rows + 1).persist()
+    return CappedResult(kept.limit(max_rows), kept, max_rows)
