@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemill.llm import bpe, crf, exact_dedup, fuse, jaccard_join, mixing, queries, secrets, token_counts, token_files, topk, warc
+from tidemill import session
+from tidemill.llm import bpe, common, crf, exact_dedup, fuse, jaccard_join, mixing, queries, secrets, token_counts, token_files, topk, warc
 from tidemill.llm.components import connected_components
 from tidemill.llm.tokenizer_files import WordMemory, load, safe_pieces
 from tidemill.session import scratch_path
@@ -235,6 +236,35 @@ def test_jaccard_groups(odd, documents, none, spark):
     assert kept.columns == odd.columns and kept.where("text like 'The quick%' or text like 'the quick%'").count() == 1
 
 
+@pytest.mark.parametrize("drop", [exact_dedup.drop_copies, jaccard_join.drop_near_copies, mixing.mixed_documents, jaccard_join.jaccard_groups])
+def test_row_numbers_outlast_other_splits(spark, drop, monkeypatch):
+    """Each written table is followed by another split plan, as when executors come or go between two jobs."""
+    texts = [f"{'same' if k % 3 else f'own{k}'} words of a text that is repeated in some rows {k % 3 and k % 5}" for k in range(120)]
+    made = spark.createDataFrame([(k, t, f"s{k % 2}") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    made.repartition(12, "doc_id").write.parquet(path := scratch_path(spark, "splits"))
+    docs = spark.read.parquet(path)
+    plain = drop(docs)
+    names = [c for c in plain.columns if c not in ("row", "first_row")]
+    want = rows(plain, *names)
+    limits, kept = ["128m", "1k", "3k"], spark.conf.get("spark.sql.files.maxPartitionBytes")
+    opens = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    def turned(df, label="stage"):
+        out = session.materialize(df, label)
+        limits.append(limits.pop(0))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limits[0])
+        return out
+
+    try:
+        for module in (common, exact_dedup, jaccard_join, mixing):
+            monkeypatch.setattr(module, "materialize", turned, raising=False)
+        assert rows(drop(docs), *names) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+        spark.conf.set("spark.sql.files.openCostInBytes", opens)
+
+
 def test_hot_shingles_are_dealt_over_blocks(documents, monkeypatch):
     want = rows(jaccard_join.jaccard_groups(documents), "id", "component_id")
     monkeypatch.setattr(jaccard_join, "HOT_ROWS", 3)

@@ -9,6 +9,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import materialize
+
 # Rows of one Arrow batch: a batch of long texts must fit a Python worker.
 ROWS_PER_BATCH = "1000"
 
@@ -27,6 +29,14 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def numbered(df: DataFrame, row: str) -> DataFrame:
+    """`df` with its rows numbered in the column `row`, as a written table.
+
+    The numbers follow the plan's splits, which may differ from one job to the next, so they are made once.
+    """
+    return materialize(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+
 def columns(df: DataFrame, *names: str) -> DataFrame:
     """Only these columns, so that extra ones can never clash with what an operator adds."""
     return df.select(*[F.col(f"`{n}`") for n in names])

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import fuse
-from tidemill.llm.common import columns, fresh_name, small_batches, utf8
+from tidemill.llm.common import columns, fresh_name, numbered, small_batches, utf8
 from tidemill.session import materialize
 
 KEYS_PER_BUCKET = 200_000
@@ -50,10 +50,12 @@ def _keys(digests: list[bytes]) -> np.ndarray:
     return np.array([int.from_bytes(d[-8:], "little") for d in digests], np.uint64)
 
 
-def digest_rows(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[bytes], bytes]) -> DataFrame:
+def digest_rows(
+    docs: DataFrame, id_col: str, text_col: str, digest: Callable[[bytes], bytes], row_col: str | None = None
+) -> DataFrame:
     """(row, id, digest) per row of `docs`."""
     source = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.monotonically_increasing_id() if row_col is None else F.col(f"`{row_col}`")).alias("row"),
         F.col(f"`{id_col}`").cast("long").alias("id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
@@ -154,14 +156,15 @@ def exact_groups(
     id_col: str = "doc_id",
     text_col: str = "text",
     digest: Callable[[bytes], bytes] = sha256,
+    row_col: str | None = None,
 ) -> DataFrame:
     """(row, id, keep_id, group_size, kept, digest) per row of `docs`.
 
     `incoming` tells the batch from the snapshot by the column `id`; by default odd ids come in. `row` is the
-    row's monotonically_increasing_id in `docs`.
+    number that `row_col` names in a written table; without it, one drawn here that cannot be joined with `docs`.
     """
     incoming = F.coalesce(F.pmod("id", F.lit(2)), F.lit(0)) == 1 if incoming is None else incoming
-    rows = digest_rows(docs, id_col, text_col, digest)
+    rows = digest_rows(docs, id_col, text_col, digest, row_col)
     rows = materialize(rows.withColumn("incoming", F.coalesce(incoming, F.lit(False))), "digests")
 
     old = materialize(grouped(rows.where(~F.col("incoming"))), "snapshot")
@@ -214,7 +217,9 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns. `docs` is a table: it is read more than once."""
+    """The rows of `docs` that stay, with all their columns."""
     row = fresh_name(docs, "row")
-    gone = exact_groups(docs, id_col=id_col, text_col=text_col).where(~F.col("kept")).select(F.col("row").alias(row))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left_anti").drop(row)
+    docs = numbered(docs, row)
+    groups = exact_groups(docs, id_col=id_col, text_col=text_col, row_col=row)
+    gone = groups.where(~F.col("kept")).select(F.col("row").alias(row))
+    return docs.join(gone, row, "left_anti").drop(row)

@@ -22,8 +22,8 @@ being one list; a document with many candidates is compared in groups of GROUP_R
 Only A-Z are lower-cased; words are separated by the six ASCII white-space characters. A null or empty
 text, or one without words, has an empty set and links with nothing. A text of fewer words than a shingle is
 one shingle. Null ids are kept and count last as smallest id. Repeated rows are copies of each other. An
-empty table gives an empty result. Only the id and the text are read; `docs` is a table, read once per
-round and twice before.
+empty table gives an empty result. Only the id and the text are read, once: they are written with a row number,
+and that table is read once per round and twice before.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import fuse
-from tidemill.llm.common import by_bytes, fresh_name, small_batches, utf8
+from tidemill.llm.common import by_bytes, fresh_name, numbered, small_batches, utf8
 from tidemill.llm.components import connected_components
 from tidemill.llm.hashing import mixed
 from tidemill.llm.shingles import shingle_sets
@@ -62,12 +62,12 @@ def overlap(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     return -(-3 * (n_a + n_b) // 7)
 
 
-def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(f"`{id_col}`").cast("long").alias("id"),
-        F.col(f"`{text_col}`").cast("string").alias("text"),
-    )
+def _source(docs: DataFrame, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
+    """(row, id, text) of a written table: every round has to find the same number on a row."""
+    known = [F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")]
+    if row_col is None:
+        return numbered(docs.select(*known), "row").select("row", "id", "text")
+    return docs.select(F.col(f"`{row_col}`").alias("row"), *known)
 
 
 def _key(shingles: np.ndarray) -> bytes:
@@ -100,7 +100,7 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
             yield batch.slice(lo, hi - lo), shingle_sets(texts[lo:hi], size)
 
 
-def profiles(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+def profiles(source: DataFrame, size: int) -> DataFrame:
     """(row, id, n, key, bits) per document, and per task the counts of its shingles by hash bucket (chunk, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +130,7 @@ def profiles(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
         )
 
     schema = "row bigint, id bigint, n bigint, key binary, bits binary, part int, chunk int, counts binary"
-    return small_batches(_source(docs, id_col, text_col)).mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(run, schema)
 
 
 def sketch(found: DataFrame) -> np.ndarray:
@@ -166,7 +166,7 @@ def prefix(shingles: np.ndarray, counts: np.ndarray, usual: float) -> tuple[np.n
     return shingles[order[:cut]], holders[:cut], asked
 
 
-def index_rows(docs: DataFrame, counts: np.ndarray, partitions: int, size: int, id_col: str, text_col: str) -> DataFrame:
+def index_rows(source: DataFrame, counts: np.ndarray, partitions: int, size: int) -> DataFrame:
     """Prefixes packed per task and index partition: (target, token, row, n, asked, place), arrays as bytes."""
     load = float(np.median(counts))
     usual = load + 3 * np.sqrt(load)
@@ -218,7 +218,7 @@ def index_rows(docs: DataFrame, counts: np.ndarray, partitions: int, size: int,
             yield from pack(*held)
 
     schema = "target int, token binary, row binary, n binary, asked binary, place binary"
-    return small_batches(_source(docs, id_col, text_col)).mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(run, schema)
 
 
 def _dealt(token: np.ndarray, holders: np.ndarray, place: np.ndarray, row: int) -> tuple[np.ndarray, np.ndarray]:
@@ -445,7 +445,7 @@ def screened(found: DataFrame, pairs: DataFrame) -> DataFrame:
     return compared(values, pairs, pairs.count(), shared)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+def verified(source: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     """The pairs whose sets link."""
     pairs = materialize(pairs, "pairs")
     nodes = materialize(pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct(), "nodes")
@@ -485,25 +485,31 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col
             return 0
         return int(np.count_nonzero(a[np.minimum(a.searchsorted(b), n_a - 1)] == b))
 
-    sets = small_batches(_source(docs, id_col, text_col)).mapInArrow(run, "row bigint, n bigint, value binary")
+    sets = small_batches(source).mapInArrow(run, "row bigint, n bigint, value binary")
     return compared(sets, pairs, total, shared)
 
 
-def jaccard_groups(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, n_shingles, component_id, first_row) per row of `docs`: the component's smallest id and first row."""
-    found = materialize(profiles(docs, size, id_col, text_col), "profiles")
+def jaccard_groups(
+    docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
+) -> DataFrame:
+    """(row, id, n_shingles, component_id, first_row) per row of `docs`: the component's smallest id and first row.
+
+    `row_col` names the row numbers of a written table; without it the rows are numbered and written here.
+    """
+    source = _source(docs, id_col, text_col, row_col)
+    found = materialize(profiles(source, size), "profiles")
     rows = found.where(F.col("row").isNotNull()).select("row", "id", "n", "key")
     total = rows.agg(F.sum("n")).first()[0] or 0
     partitions = max(16, -(-total // (4 * PARTITION_ROWS)))
     counts = sketch(found)
 
-    live = materialize(first_round(index_rows(docs, counts, partitions, size, id_col, text_col)), "lists")
+    live = materialize(first_round(index_rows(source, counts, partitions, size)), "lists")
     classes = rows.where("n > 0").groupBy("key").agg(F.min("row").alias("node"), F.min("id").alias("low"))
     node_of = materialize(rows.where("n > 0").join(classes.select("key", "node"), "key").select("row", "node"), "nodes")
 
     def links(pairs: DataFrame) -> DataFrame:
         """Verified pairs as edges between the first rows of equal sets."""
-        good = verified(docs, screened(found, enough(pairs)), size, id_col, text_col)
+        good = verified(source, screened(found, enough(pairs)), size)
         left = good.join(node_of.select(F.col("row").alias("a"), F.col("node").alias("x")), "a")
         both = left.join(node_of.select(F.col("row").alias("b"), F.col("node").alias("y")), "b")
         return both.select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -529,7 +535,8 @@ def jaccard_groups(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_
 
 
 def drop_near_copies(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` with one document per group, the first read; `docs` is a table, read more than once."""
+    """The rows of `docs` with one document per group, the first read."""
     row = fresh_name(docs, "row")
-    gone = jaccard_groups(docs, size, id_col, text_col).where("row != first_row").select(F.col("row").alias(row))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left_anti").drop(row)
+    docs = numbered(docs, row)
+    gone = jaccard_groups(docs, size, id_col, text_col, row).where("row != first_row").select(F.col("row").alias(row))
+    return docs.join(gone, row, "left_anti").drop(row)

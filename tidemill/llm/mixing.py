@@ -25,16 +25,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import fresh_name, small_batches, utf8
+from tidemill.llm.common import fresh_name, numbered, small_batches, utf8
 from tidemill.session import materialize
 
 BINS = 4096
 
 
-def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, row_col: str | None = None) -> DataFrame:
     """(row, id, source, size, quality, mark): words, the share of different words, and a hash of the text."""
     source = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.monotonically_increasing_id() if row_col is None else F.col(f"`{row_col}`")).alias("row"),
         F.col(f"`{id_col}`").cast("long").alias("id"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
@@ -98,9 +98,13 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
-    """(row, id, size, source_size, target, times) per row; `times` says how often the mix takes the document."""
-    rows = materialize(measured(docs, id_col, text_col, source_col), "sizes")
+    """(row, id, size, source_size, target, times) per row; `times` says how often the mix takes the document.
+
+    `row` is the number that `row_col` names in a written table; without it, one drawn here that cannot be joined with `docs`.
+    """
+    rows = materialize(measured(docs, id_col, text_col, source_col, row_col), "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -141,10 +145,11 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it. `docs` is a table: it is read more than once."""
+    """The rows of `docs`, each as often as the mix takes it."""
     row, times = fresh_name(docs, "row"), fresh_name(docs, "times")
-    plan = mix(docs, **how).where("times > 0").select(F.col("row").alias(row), F.col("times").alias(times))
-    found = docs.withColumn(row, F.monotonically_increasing_id()).join(plan, row)
+    docs = numbered(docs, row)
+    plan = mix(docs, **how, row_col=row).where("times > 0").select(F.col("row").alias(row), F.col("times").alias(times))
+    found = docs.join(plan, row)
     copy = fresh_name(found, "copy")
     repeated = found.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times).cast("int"))))
     return repeated.drop(row, times, copy)
