@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemill import fixed_values as fv
 from tidemill.functions import labels, nested
 from tidemill.functions import scalars as sc
-from tidemill.plans import commerce, commerce_staging, dashboard, macro, market
+from tidemill.plans import commerce, commerce_staging, cross, dashboard, macro, market
 from tidemill.plans.commerce import Commerce
 from tidemill.plans.catalog_cross import Cross
 
@@ -191,3 +191,25 @@ def test_newest_rate_falls_back_to_the_first(spark):
     rates = spark.createDataFrame(rows, "record_date date, security_type string, security_desc string, avg_interest_rate double")
     assert macro.rate_by_maturity(rates, 2).first()["avg_interest_rate"] == 4.0
     assert macro.rate_by_maturity(rates, 10).first()["avg_interest_rate"] == 5.0
+
+
+def test_inflation_hedge_spans_the_years_of_its_tables(spark):
+    closes = spark.createDataFrame(
+        [("btc", dt.date(2009, 5, 1), 50.0), ("btc", dt.date(2010, 1, 1), 100.0), ("btc", dt.date(2011, 12, 1), 150.0), ("eth", dt.date(2012, 1, 1), 1.0)],
+        "asset string, date date, price double",
+    )
+    months = [(dt.date(2010 + k // 12, k % 12 + 1, 1), 100.0 + k) for k in range(36)]
+    staged = spark.createDataFrame(
+        [("CPIAUCSL", d, d.year, v) for d, v in months], "series_id string, observation_date date, observation_year int, value double"
+    )
+    names = ["analysis_period", "btc_return_pct", "average_inflation_pct", "btc_real_return_pct", "is_positive_real_return"]
+
+    def found(*args, **how):
+        return tuple(cross.inflation_hedge(*args, **how).select(*names).first())
+
+    assert found(closes, staged) == ("2010-2011", 50.0, 11.5, 38.5, True)
+    assert found(closes, staged, start_year=2009) == ("2009-2011", 200.0, 7.67, 192.33, True)
+    assert found(closes, staged, start_year=1995, end_year=2001) == ("1995-2001", None, None, None, None)
+    assert found(closes.where("asset = 'eth'"), staged) == ("2010-2012", None, round(35 / 3, 2), None, None)
+    assert found(closes, staged.where("value < 105")) == ("2010-2010", 0.0, None, None, None)
+    assert found(closes.where("asset = 'eth'"), staged.where("value < 0")) == (None, None, None, None, None)

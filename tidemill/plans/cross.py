@@ -128,21 +128,33 @@ def pair_correlation(closes: DataFrame, a: str, b: str, days: int = 90) -> DataF
     return correlation_matrix(closes.where(F.col("asset").isin(a, b)), [a, b], days)
 
 
-def inflation_hedge(closes: DataFrame, staged: DataFrame, asset: str = "btc", start_year: int = 1995, end_year: int = 2001) -> DataFrame:
-    """Return of an asset over a span of years less the mean yearly price increase."""
-    years = end_year - start_year + 1
-    held = closes.where((F.col("asset") == asset) & F.year("date").between(start_year, end_year)).agg(
+def inflation_hedge(
+    closes: DataFrame, staged: DataFrame, asset: str = "btc", start_year: int | None = None, end_year: int | None = None
+) -> DataFrame:
+    """Return of an asset over a span of years less the mean yearly price increase.
+
+    A year not given is the first or last one that both the asset and the price index have. What cannot be
+    measured is NULL: the return without closes, the increase below twelve months of the index.
+    """
+    priced = closes.where(F.col("asset") == asset)
+    index = staged.where(F.col("series_id") == "CPIAUCSL")
+    priced_year, index_year = F.year("date"), F.col("observation_year")
+    first, last = F.lit(start_year), F.lit(end_year)
+    if start_year is None:
+        first = F.greatest(priced.agg(F.min(priced_year)).scalar(), index.agg(F.min(index_year)).scalar())
+    if end_year is None:
+        last = F.least(priced.agg(F.max(priced_year)).scalar(), index.agg(F.max(index_year)).scalar())
+    held = priced.where(priced_year.between(first, last)).agg(
         pct_change(F.max_by("price", "date"), F.min_by("price", "date")).alias("gain")
     )
-    cpi = staged.where((F.col("series_id") == "CPIAUCSL") & F.col("observation_year").between(start_year, end_year)).agg(
+    cpi = index.where(index_year.between(first, last)).agg(
         F.when(
-            F.count("*") >= 12,
-            pct_change(F.max_by("value", "observation_date"), F.min_by("value", "observation_date")) / years,
-        ).otherwise(F.lit(3.0)).alias("inflation")
+            F.count("*") >= 12, pct_change(F.max_by("value", "observation_date"), F.min_by("value", "observation_date"))
+        ).alias("inflation")
     )
-    gain, inflation = F.coalesce("gain", F.lit(0.0)), F.coalesce(cpi.scalar(), F.lit(3.0))
+    gain, inflation = F.col("gain"), cpi.scalar() / (last - first + 1)
     return held.select(
-        F.lit(f"{start_year}-{end_year}").alias("analysis_period"),
+        F.when(first <= last, F.concat_ws("-", first, last)).alias("analysis_period"),
         F.round(gain, 2).alias("btc_return_pct"),
         F.round(inflation, 2).alias("average_inflation_pct"),
         F.round(gain - inflation, 2).alias("btc_real_return_pct"),
