@@ -213,3 +213,19 @@ def test_inflation_hedge_spans_the_years_of_its_tables(spark):
     assert found(closes.where("asset = 'eth'"), staged) == ("2010-2012", None, round(35 / 3, 2), None, None)
     assert found(closes, staged.where("value < 105")) == ("2010-2010", 0.0, None, None, None)
     assert found(closes.where("asset = 'eth'"), staged.where("value < 0")) == (None, None, None, None, None)
+
+
+def test_event_impact_keeps_events_before_the_first_close(spark):
+    days = [dt.date(2020, 1, k) for k in range(1, 11)]
+    closes = spark.createDataFrame(
+        [("old", d, 100.0 + k) for k, d in enumerate(days)] + [("late", d, 50.0 + k) for k, d in enumerate(days) if k >= 5],
+        "asset string, date date, price double",
+    )
+    events = spark.createDataFrame([("e1", days[0]), ("e2", days[2]), ("e3", days[5]), ("e4", days[7])], "event_type string, event_date date")
+    found = cross.event_impact(events, closes, {"0d": 0, "2d": 2})
+    got = {(r.event_type, r.asset): (r.price_pre, r.return_0d_pct, r.return_2d_pct) for r in found.collect()}
+    gone = (None, None, None)
+    assert found.count() == len(got) == 8
+    assert [got[e, "late"] for e in ("e1", "e2", "e3")] == [gone, gone, gone] and got["e1", "old"] == gone
+    assert got["e4", "late"] == (56.0, pytest.approx(100 / 56), pytest.approx(300 / 56))
+    assert got["e2", "old"] == (101.0, pytest.approx(100 / 101), pytest.approx(300 / 101))

@@ -257,7 +257,12 @@ FROM x_event e JOIN (SELECT DISTINCT asset FROM x_close) a ON TRUE
 ASOF JOIN x_close b ON b.asset = a.asset AND b.date < e.event_date
 {_AFTER}
 """,
-)(lambda s, sf: cx.event_impact(ad.policy_events(s, sf), Cross(s, sf).market.closes, {"0d": 0, "1w": 7, "1m": 30}))
+)(
+    # The SQL's inner ASOF JOIN asks for events with a close before them only; the operator gives all.
+    lambda s, sf: cx.event_impact(
+        ad.policy_events(s, sf), Cross(s, sf).market.closes, {"0d": 0, "1w": 7, "1m": 30}
+    ).where("price_pre IS NOT NULL")
+)
 
 # --- daily context ------------------------------------------------------------------------
 

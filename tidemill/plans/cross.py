@@ -180,7 +180,7 @@ def inflation_regression(panel: DataFrame, asset: str, inflation: str) -> DataFr
 
 def event_impact(events: DataFrame, closes: DataFrame, offsets: dict[str, int]) -> DataFrame:
     """Asset returns after dated events: first close on or after event + offset days against the
-    last close before the event.
+    last close before the event. One row per event and asset; without a close before, price and returns are NULL.
 
     Closes are spread over the calendar once per asset, so every lookup is an equality join on
     (asset, day).
@@ -195,9 +195,10 @@ def event_impact(events: DataFrame, closes: DataFrame, offsets: dict[str, int])
     )
     merged = price.unionByName(tail).groupBy("asset", "date").agg(F.max("price").alias("price"))
     known = fill_calendar(merged, "date", "price", ["asset"], "forward").where(F.col("day") >= F.date_sub(oldest, 1))
-    out = events.join(
-        known.select("asset", F.date_add("day", 1).alias("event_date"), F.col("price").alias("price_pre")), "event_date"
-    )
+    assets = closes.agg(F.collect_set("asset")).scalar()  # a short list
+    before = known.select("asset", F.date_add("day", 1).alias("event_date"), F.col("price").alias("price_pre"))
+    paired = events.withColumn("_assets", assets).withColumn("asset", F.explode("_assets")).drop("_assets")
+    out = paired.join(before, ["asset", "event_date"], "left")
     for name, days in offsets.items():
         after = nearest.select("asset", F.date_sub("day", days).alias("event_date"), F.col("_p").alias(f"_{name}"))
         out = out.join(after, ["asset", "event_date"], "left")
