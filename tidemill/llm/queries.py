@@ -10,7 +10,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, crf, exact_dedup, jaccard_join, mixing, secrets, token_counts, token_files, topk, warc
+from tidemill.llm import (
+    bpe,
+    crf,
+    exact_dedup,
+    jaccard_join,
+    mixing,
+    secrets,
+    spelling,
+    token_counts,
+    token_files,
+    topk,
+    warc,
+)
 from tidemill.session import prepare, scratch_path
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -102,11 +114,16 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", crf.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf, "documents"), misspell_every=97)
+    return spelling.group_spellings(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_exact_topk, op3_warc, op4_token_files, op5_secrets, op6_jaccard_join, op7_exact_dedup,
-        op8_token_counts, op9_mixing, op10_quality,
+        op8_token_counts, op9_mixing, op10_quality, op12_spelling,
     )
 }
 
@@ -170,5 +187,48 @@ WITH texts AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
 FROM texts WINDOW same AS (PARTITION BY norm)
+""",
+    "op12_spelling": r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b::BIGINT)) AS t
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*)::BIGINT AS n, hex(encode(concat(doc_id, ':', run))) AS code FROM runs WHERE length(run) >= 5 GROUP BY ALL
+), hashed AS (
+  SELECT doc_id, run, n, xor(4294967295, list_reduce(
+    list_transform(range(len(code) // 2), lambda i: ('0x' || substr(code, 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) AS h
+  FROM counted CROSS JOIN crc_table
+), spelled AS (
+  SELECT n, CASE WHEN doc_id IS NOT NULL AND h % 97 = 0
+    THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word
+  FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM spelled WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), shorter AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS spot, left(word, spot - 1) || substr(word, spot + 1) AS less FROM words
+), inserted AS (
+  SELECT DISTINCT s.word AS long, w.word AS short FROM shorter s JOIN words w ON s.less = w.word
+), near AS (
+  SELECT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.spot = b.spot AND a.less = b.less AND a.word <> b.word
+  UNION ALL SELECT long, short FROM inserted UNION ALL SELECT short, long FROM inserted
+), best AS (
+  SELECT near.word, count(*) AS n_near, arg_min(other, (-w.n, other)) AS other, max(w.n) AS other_n
+  FROM near JOIN words w ON w.word = near.other GROUP BY near.word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+    CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), steps AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT s.word, f.form FROM steps s JOIN formed f ON f.word = s.root WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT s.word, s.root FROM steps s JOIN formed f ON f.word = s.root WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
 """,
 }
