@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import (
     bpe,
+    centroids,
     crf,
     exact_dedup,
     jaccard_join,
+    licenses,
     mixing,
     secrets,
     spelling,
@@ -114,21 +116,63 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", crf.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op11_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf, "embeddings"))
+    components = F.concat_ws(",", F.transform("centroid", lambda x: x.cast("string")))
+    return found.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", F.sha2(components, 256).alias("centroid_sha256")
+    )
+
+
 def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
     words = spelling.count_words(table(spark, sf, "documents"), misspell_every=97)
     return spelling.group_spellings(words).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf, "documents"))
+    joined = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_exact_topk, op3_warc, op4_token_files, op5_secrets, op6_jaccard_join, op7_exact_dedup,
-        op8_token_counts, op9_mixing, op10_quality, op12_spelling,
+        op8_token_counts, op9_mixing, op10_quality, op11_centroids, op12_spelling,
+        op13_licenses,
     )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _values(rows: list[tuple[str, str]], first: int, k: int) -> str:
+    quoted = [[x.replace("'", "''") for x in row] for row in rows]
+    return ", ".join(f"({first + i}, '{label}', '{text}', {k})" for i, (label, text) in enumerate(quoted))
+
+
+def _rounds(n: int) -> str:
+    """SQL of n rounds of assignment and new means, then the last assignment, on kept (r, vec_id, v) and c0 (c, v)."""
+    parts = []
+    for i in range(n + 1):
+        parts.append(f"""a{i} AS (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(x) AS x, arg_min(c, (far, c)) AS c, min(far) AS far
+  FROM (SELECT r, vec_id, k.v AS x, c, (list_inner_product(k.v, k.v) - 2 * list_inner_product(k.v, m.v)
+    + list_inner_product(m.v, m.v))::BIGINT AS far FROM kept k CROSS JOIN c{i} m) GROUP BY r
+)""")
+        if i < n:
+            parts.append(f"""c{i + 1} AS (
+  SELECT m.c, coalesce(moved.v, m.v) AS v FROM c{i} m LEFT JOIN (
+    SELECT c, list(floor_mean::DOUBLE ORDER BY d) AS v FROM (
+      SELECT c, d, (s - ((s % n) + n) % n) // n AS floor_mean FROM (
+        SELECT c, d, sum(x[d]::BIGINT) AS s, count(*) AS n FROM a{i}, unnest(range(1, 65)) AS t(d) GROUP BY c, d))
+    GROUP BY c) moved ON moved.c = m.c
+)""")
+    return ", ".join(parts)
+
+
 SQL = {
     "op2_exact_topk": """
 WITH good AS (
@@ -187,6 +231,20 @@ WITH texts AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
 FROM texts WINDOW same AS (PARTITION BY norm)
+""",
+    "op11_centroids": f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept QUALIFY c < 16
+), {_rounds(3)}, digests AS (
+  SELECT c, sha256(array_to_string(list_transform(v, lambda x: x::BIGINT), ',')) AS centroid_sha256 FROM c3
+)
+SELECT vec_id, c::INTEGER AS cluster, far AS distance, (sum(far) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(far) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a3 JOIN digests USING (c)
 """,
     "op12_spelling": r"""
 WITH RECURSIVE crc_table AS (
@@ -230,5 +288,41 @@ WITH RECURSIVE crc_table AS (
   SELECT s.word, s.root FROM steps s JOIN formed f ON f.word = s.root WHERE f.form IS NULL
 )
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+""",
+    "op13_licenses": f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), listed(t, label, body, k) AS (
+  VALUES {_values(licenses.TEMPLATES, 0, 3)}, {_values(licenses.PHRASES, len(licenses.TEMPLATES), 2)}
+), known AS (
+  SELECT t, label, k, regexp_extract_all(lower(body), '[a-z0-9]+') AS w FROM listed
+), template_grams AS (
+  SELECT t, label, k, len(w) AS size, unnest(range(0, len(w) - k + 1)) AS place, array_to_string(w[place + 1:place + k], ' ') AS gram FROM known
+), grams AS (
+  SELECT r, k, unnest(range(0, len(w) - k + 1)) AS pos, array_to_string(w[pos + 1:pos + k], ' ') AS gram
+  FROM texts CROSS JOIN (VALUES (2), (3)) AS sizes(k)
+), hits AS (
+  SELECT r, t, label, g.k, size, pos, place, pos - place AS diagonal FROM grams g JOIN template_grams USING (gram, k)
+), apart AS (
+  SELECT *, diagonal - lag(diagonal) OVER same AS gap FROM hits WINDOW same AS (PARTITION BY r, t ORDER BY diagonal)
+), numbered AS (
+  SELECT *, sum(CASE WHEN gap IS NULL OR gap > CASE WHEN k = 2 THEN 0 ELSE 3 END THEN 1 ELSE 0 END)
+    OVER (PARTITION BY r, t ORDER BY diagonal RANGE UNBOUNDED PRECEDING) AS span FROM apart
+), covering AS (
+  SELECT r, t, label, k, size, span, min(pos) AS low, max(pos) + k AS high, list(place) AS places FROM numbered GROUP BY r, t, label, k, size, span
+), verified AS (
+  SELECT *, len(list_distinct(flatten(list_transform(places, lambda p: range(p, p + k))))) AS covered FROM covering
+), good AS (
+  SELECT *, k = 2 AS phrase FROM verified
+  WHERE CASE WHEN k = 2 THEN covered = size ELSE 4 * covered >= 3 * size AND 2 * covered >= high - low END
+), found AS (
+  SELECT r, count(*) FILTER (phrase) AS n_base, min(low) FILTER (phrase) AS first_word, max(low) FILTER (phrase) AS last_word,
+    list_sort(list(DISTINCT label) FILTER (phrase)) AS base_labels, list_sort(list(DISTINCT label)) AS labels, max(covered / size) AS score
+  FROM good GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(array_to_string(base_labels, ','), '') AS base_labels,
+  coalesce(array_to_string(labels, ','), '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM texts LEFT JOIN found USING (r)
 """,
 }
