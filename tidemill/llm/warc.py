@@ -30,11 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
 from tidemill.llm.common import columns, small_batches, store
+from tidemill.session import materialize
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_BYTES = 256 << 20  # an archive is closed once it is this long
 HEAD_BYTES = 4096  # read at once to parse a record's headers
 PAGE = "urn:page:"
+LOWEST = -(1 << 63)
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, payload_digest string, refers_to string, "
@@ -61,8 +63,10 @@ def base32(hex_digest: Column) -> Column:
 def assign_records(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, payload_col: str) -> DataFrame:
     """Each page with its digest, its record type and, for revisits, the page of the response.
 
-    The page with the largest id of equal payloads is the response. Groups are reduced to one row before they
-    are joined back, so a payload that a third of the pages share costs no more than others.
+    Of equal payloads the page with the largest id is the response, among rows of that id the one with the largest URL,
+    and of rows equal in all three, one: decided by their values alone, so that every plan of the input gives the same.
+    Groups are reduced to one row before they are joined back, so a payload that a third of the pages share costs no
+    more than others; only rows that are equal in all three are put together.
     """
     source = columns(pages, id_col, url_col, payload_col)
     text = F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit(""))
@@ -73,22 +77,28 @@ def assign_records(pages: DataFrame, min_bytes: int, id_col: str, url_col: str,
         text.alias("payload"),
         F.octet_length(text).cast("long").alias("n_bytes"),
         F.sha1(text.cast("binary")).alias("sha1"),
-        F.monotonically_increasing_id().alias("row"),
+        F.struct(F.coalesce(page, F.lit(LOWEST)).alias("page"), F.col(f"`{url_col}`").cast("string").alias("url")).alias("place"),
     )
-    best = (
-        source.select("sha1", "n_bytes", "page_id", "row")
-        .groupBy("sha1", "n_bytes")
-        .agg(F.max(F.coalesce("page_id", F.lit(-(1 << 63)))).alias("page"), F.max_by("row", F.struct(F.coalesce("page_id", F.lit(-(1 << 63))), "row")).alias("kept"))
-    )
-    repeated = (F.col("n_bytes") >= min_bytes) & (F.col("row") != F.col("kept"))
-    return source.join(best, ["sha1", "n_bytes"]).select(
+    places = source.where(F.col("n_bytes") >= min_bytes).groupBy("sha1", "n_bytes", "place").agg(F.count("*").alias("rows"))
+    best = places.groupBy("sha1", "n_bytes").agg(F.max("place").alias("last"), F.max_by("rows", "place").alias("rows"))
+    best = materialize(best, "responses")
+    met = source.join(best, ["sha1", "n_bytes"], "left").withColumn("first", F.col("last").isNull() | F.col("place").eqNullSafe(F.col("last")))
+    named = met.where(~F.col("first") | (F.coalesce("rows", F.lit(1)) == 1))
+    named = named.withColumn("again", ~F.col("first"))
+    tied = best.where("rows > 1")
+    if not tied.isEmpty():  # some rows are equal in page, URL and payload: one of them is the response
+        equal = source.join(tied, ["sha1", "n_bytes"]).where(F.col("place").eqNullSafe(F.col("last")))
+        equal = equal.groupBy("sha1", "n_bytes", "page_id", "url", "last").agg(F.any_value("payload").alias("payload"), F.count("*").alias("rows"))
+        equal = equal.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+        named = named.unionByName(equal.withColumn("again", F.col("copy") > 1), allowMissingColumns=True)
+    return named.select(
         "page_id",
         "url",
-        F.when(~repeated, F.col("payload")).alias("payload"),
+        F.when(~F.col("again"), F.col("payload")).alias("payload"),
         "n_bytes",
         base32(F.col("sha1")).alias("digest"),
-        F.when(repeated, "revisit").otherwise("response").alias("record_type"),
-        F.when(repeated & (F.col("page") != -(1 << 63)), F.col("page")).alias("refers_to"),
+        F.when(F.col("again"), "revisit").otherwise("response").alias("record_type"),
+        F.when(F.col("again") & (F.col("last.page") != LOWEST), F.col("last.page")).alias("refers_to"),
     )
 
 
@@ -307,7 +317,9 @@ class WarcSource(DataSource):
 def read_archives(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
+    records = spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
+    # A plan without any predicate would be read by those that an earlier plan of the same frame pushed down.
+    return records.where("record_id IS NOT NULL")
 
 
 def page_of(uri: Column) -> Column:
