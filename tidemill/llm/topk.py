@@ -7,7 +7,8 @@ dimensions of the query's component times the list's value at the depth reached,
 Blocks' results are merged. Queries are stated by a condition and also handled in blocks; every pair of
 blocks is one group, so neither side is held whole.
 
-Components become floor(scale * x). A vector that is null or holds a null or non-finite component takes no
+Components become floor(scale * x), and count as LARGEST beyond it. Scores are exact, in the narrowest type that holds
+them; where some may exceed 64 bits, ranks are still right and a score that does is NULL. A vector that is null or holds a null or non-finite component takes no
 part; shorter vectors count as ending in zeros, so an empty one scores 0 with all. A null id is handled as the largest 64-bit number, which is no query.
 Rows are told apart even with equal ids: a query leaves out its own row only. Ties go to the smaller id, then to the row read first. Fewer candidates than k give all. An empty table, or one without queries, gives no rows.
 Only the id and the vector are read.
@@ -15,6 +16,8 @@ Only the id and the vector are read.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +29,14 @@ BLOCK_ROWS = 16_384
 QUERY_ROWS = 1_024
 FIRST_DEPTH = 1 / 64  # of a block's rows; doubled each time
 LAST_ID = (1 << 63) - 1
+LARGEST = 1 << 56  # products of 2**14 such components can be added up in 38 digits
+
+
+def best_first(scores: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The order by falling score, then rising place."""
+    if scores.dtype == object:  # whole numbers of any size
+        return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], places[i])), np.int64)
+    return np.lexsort((places, -scores))
 
 
 class SortedLists:
@@ -62,7 +73,7 @@ class SortedLists:
                     kth = np.partition(scores, len(scores) - k)[len(scores) - k]
                     good = scores >= kth
                     best, scores = best[good], scores[good]
-                    order = np.lexsort((best, -scores))[:k]
+                    order = best_first(scores, best)[:k]
                     best, scores = best[order], scores[order]
             if depth == n:
                 return best, scores
@@ -74,7 +85,7 @@ class SortedLists:
 
 
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width), np.float64)
+    out = np.zeros((len(vectors), width), np.int64)
     for k, v in enumerate(vectors):
         out[k, : len(v)] = v
     return out
@@ -91,7 +102,7 @@ def quantized(table: DataFrame, scale: float, id_col: str, vector_col: str) -> D
         .select(
             F.monotonically_increasing_id().alias("row"),
             F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("id"),
-            F.transform(vector, lambda x: F.floor(value(x) * float(scale)).cast("long")).alias("vector"),
+            F.transform(vector, lambda x: F.greatest(F.least(F.floor(value(x) * float(scale)).cast("long"), F.lit(LARGEST)), F.lit(-LARGEST))).alias("vector"),
         )
     )
 
@@ -118,14 +129,17 @@ def top_k(
     groups = max(1, -(-(seen.q or 0) // QUERY_ROWS))
     # Sums of products must be exact: the narrowest type that holds them all.
     exact = width * high * high
-    kind = np.float32 if exact < 1 << 24 else np.float64 if exact < 1 << 53 else None
-    if kind is None:
-        raise ValueError("scores of more than 53 bits are not supported")
+    kind = np.float32 if exact < 1 << 24 else np.float64 if exact < 1 << 53 else np.int64 if exact < 1 << 63 else object
+    score_type = "bigint" if kind is not object else "decimal(38,0)"
 
     deal = lambda n, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    candidates = rows.withColumn("block", deal(blocks, 1)).withColumn("part", each(groups))
-    queries = rows.where(asks).withColumn("part", deal(groups, 2)).withColumn("block", each(blocks))
+    asked_columns = [F.col(c).alias(f"asked_{c}") for c in ("row", "id", "vector")]  # no name or column of both sides
+    candidates = rows.select("row", "id", "vector", deal(blocks, 1).alias("block"), each(groups).alias("part"))
+    queries = rows.where(asks).select(deal(groups, 2).alias("asked_part"), each(blocks).alias("asked_block"), *asked_columns)
+
+    def scored(values: np.ndarray) -> np.ndarray | list[Decimal]:
+        return values.astype(np.int64) if kind is not object else [Decimal(int(v)) for v in values]
 
     def search(key: tuple, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         names = ["row", "query_id", "other", "id", "score"]
@@ -135,25 +149,25 @@ def top_k(
         others, ids = held["row"].to_numpy(np.int64), held["id"].to_numpy(np.int64)
         place = dict(zip(others.tolist(), range(len(held)), strict=True))
         lists = SortedLists(_matrix(held["vector"], width).astype(kind))
-        wanted = _matrix(asked["vector"], width).astype(kind)
-        found = [lists.top(q, k, place.get(row)) for row, q in zip(asked["row"].tolist(), wanted, strict=True)]
+        wanted = _matrix(asked["asked_vector"], width).astype(kind)
+        found = [lists.top(q, k, place.get(row)) for row, q in zip(asked["asked_row"].tolist(), wanted, strict=True)]
         counts = [len(best) for best, _ in found]
         best = np.concatenate([x for x, _ in found])
         return pd.DataFrame(
             {
-                "row": np.repeat(asked["row"].to_numpy(np.int64), counts),
-                "query_id": np.repeat(asked["id"].to_numpy(np.int64), counts),
+                "row": np.repeat(asked["asked_row"].to_numpy(np.int64), counts),
+                "query_id": np.repeat(asked["asked_id"].to_numpy(np.int64), counts),
                 "other": others[best],
                 "id": ids[best],
-                "score": np.concatenate([x for _, x in found]).astype(np.int64),
+                "score": scored(np.concatenate([x for _, x in found])),
             }
         )[names]
 
     found = (
-        queries.groupBy("block", "part")
+        queries.groupBy("asked_block", "asked_part")
         .cogroup(candidates.groupBy("block", "part"))
-        .applyInPandas(search, "row bigint, query_id bigint, other bigint, id bigint, score bigint")
+        .applyInPandas(search, f"row bigint, query_id bigint, other bigint, id bigint, score {score_type}")
     )
     order = Window.partitionBy("row").orderBy(F.desc("score"), "id", "other")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return best.select("query_id", "rank", F.nullif("id", F.lit(LAST_ID)).alias("id"), "score")
+    return best.select("query_id", "rank", F.nullif("id", F.lit(LAST_ID)).alias("id"), F.expr("try_cast(score AS bigint)").alias("score"))
