@@ -40,6 +40,18 @@ def first_known(value: str, by: str) -> Column:
     return F.min_by(value, F.when(F.col(value).isNotNull(), F.col(by)))
 
 
+def time_key(moment: str, tie: str) -> Column:
+    """A time and a whole number, by which ties are told apart, as one number of the same order; nulls come first.
+
+    A number of fixed width can be the state of a hash aggregate, so `min_by` and `max_by` over it reduce raw rows where
+    they lie; over a struct they sort them all first.
+    """
+    wide = "decimal(38,0)"
+    micros = F.coalesce(F.unix_micros(F.col(moment).cast("timestamp")), F.lit(-(10**17)))  # before the year 1
+    place = F.coalesce(F.col(tie).cast("long").cast(wide) + F.expr("9223372036854775809BD"), F.lit(0).cast(wide))
+    return (micros.cast(wide) * F.expr("100000000000000000000BD") + place).cast(wide)
+
+
 def days_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(86_400e6)
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.ranking import latest_per_key
 from tidemill.schemas import CHECKPOINT, RUN_LOG
+from tidemill.session import materialize
+from tidemill.sources.keyed import KeyedTable, State
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -44,10 +46,11 @@ def incremental_lookback(source: DataFrame, target: DataFrame, column: str = "in
 def merge_by_key(target: DataFrame, updates: DataFrame, keys: list[str], *version: str) -> DataFrame:
     """Target with updates applied: an update replaces the row of its key, others are added.
 
-    Columns new in the updates are appended, NULL for old rows. With version columns given, only
-    the newest update of each key is used.
+    Columns new in the updates are appended, NULL for old rows. Of repeated keys in the updates the newest by the
+    version columns is used, without those the greatest row. `sources.keyed` does the same to a stored table and
+    writes only the buckets that change.
     """
-    new = latest_per_key(updates, keys, *version) if version else updates
+    new = latest_per_key(updates, keys, *version)
     untouched = target.join(new.select(*keys), keys, "left_anti")
     return untouched.unionByName(new, allowMissingColumns=True)
 
@@ -100,6 +103,34 @@ def scd2_snapshot(
     return state.withColumn("is_current", F.col("valid_to").isNull())
 
 
+def scd2_apply(
+    table: KeyedTable, source: DataFrame, updated_at: str, as_of: Column, close_deleted: bool = True
+) -> State:
+    """Bring a stored history (a `KeyedTable` with several rows per key) to its next state.
+
+    Only buckets with a changed, new or closed key are rewritten. Closing keys that are gone needs the open rows of all
+    buckets; without it, the buckets of the source's keys are all that is read.
+    """
+    keys, history = table.keys, table.read()
+    source = materialize(source, "snapshot")
+    if history is None:
+        rows = scd2_snapshot(None, source, keys, updated_at, as_of)
+        return table.rewrite(rows, [r[0] for r in source.select(table.bucket).distinct().collect()])
+    newest = latest_per_key(source.select(*keys, updated_at), keys, updated_at)
+    if not close_deleted:
+        history = table.read([r[0] for r in newest.select(table.bucket).distinct().collect()])
+    open_rows = history.where(F.col("valid_to").isNull()).select(*keys, F.col(updated_at).alias("_open"))
+    both = open_rows.join(newest, keys, "full")
+    changed = F.col("_open").isNull() | (F.col(updated_at) > F.col("_open"))
+    if close_deleted:
+        changed = changed | F.col(updated_at).isNull()
+    touched = [r[0] for r in both.where(changed).select(table.bucket).distinct().collect()]
+    if not touched:
+        return table.state()
+    part = source.where(table.bucket.isin(touched))
+    return table.rewrite(scd2_snapshot(table.read(touched), part, keys, updated_at, as_of, close_deleted), touched)
+
+
 # --- checkpoints --------------------------------------------------------------------------
 
 

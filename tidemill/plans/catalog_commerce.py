@@ -13,6 +13,8 @@ from tidemill.plans import dashboard as db
 from tidemill.plans.commerce import Commerce
 from tidemill.plans.oracle_tables import segment_case
 from tidemill.plans.registry import register
+from tidemill.session import scratch_path
+from tidemill.sources.keyed import KeyedTable
 
 # --- staging ------------------------------------------------------------------------------
 
@@ -376,11 +378,24 @@ register("mom_growth", "d: month | f1: revenue_mom_pct orders_mom_pct", _MONTHLY
     lambda s, sf: cm.mart_sales_monthly(Commerce(s, sf).fact)
 )
 
-register(
+@register(
     "mv_daily_revenue",
     "d: order_date | f2: revenue | i: order_count",
     "SELECT order_date, sum(total_order_value) AS revenue, count(*) AS order_count FROM x_fact GROUP BY 1",
-)(lambda s, sf: cm.daily_revenue(Commerce(s, sf).placed))
+)
+def _daily_revenue(s, sf):
+    """Most orders as they were first seen, then the rest and the corrected ones; the view follows both steps."""
+    placed = Commerce(s, sf).placed.select("order_id", "order_date", "total_order_value")
+    orders = KeyedTable(s, scratch_path(s, "orders"), ["order_id"], buckets=16)
+    early = F.pmod(F.xxhash64("order_id"), F.lit(10))
+    wrong = early == 1  # seen first with another day and value
+    first = placed.where(early > 0).withColumns(
+        {
+            "order_date": F.when(wrong, F.date_add("order_date", 1)).otherwise(F.col("order_date")),
+            "total_order_value": F.when(wrong, F.col("total_order_value") * 2).otherwise(F.col("total_order_value")).cast(placed.schema["total_order_value"].dataType),
+        }
+    )
+    return cm.maintained_daily_revenue(orders, [first, placed.where(early <= 1)], scratch_path(s, "revenue"))
 
 _LOGDAY = (
     "d: order_date | i: delivered_orders | f: avg_delivery_days median_delivery_days p95_delivery_days "

@@ -25,6 +25,7 @@ from tidemill.plans.registry import register
 from tidemill.session import scratch_path
 from tidemill.sources import sinks
 from tidemill.sources import tables as tb
+from tidemill.sources.keyed import KeyedTable
 from tidemill.streaming import bars as sbars
 from tidemill.streaming import ingest
 
@@ -471,7 +472,11 @@ def _merge(s, sf):
     batch = trades.where("trade_timestamp >= '2024-01-15'")
     stale = batch.withColumns({"v": F.lit(1), "note": F.lit("stale")})
     fresh = batch.withColumns({"v": F.lit(2), "note": F.lit("updated"), "price": (F.col("price") * 2).cast("decimal(18,8)")})
-    return inc.merge_by_key(target, stale.unionByName(fresh), ["trade_id"], "v")
+    table = KeyedTable(s, scratch_path(s, "merged"), ["trade_id"])
+    table.merge(target)
+    # The batch's own versions only decide between its rows; the stored rows have none.
+    table.merge(inc.latest_per_key(stale.unionByName(fresh), ["trade_id"], "v").drop("v"))
+    return table.read()
 
 
 @register(
@@ -497,12 +502,10 @@ def _scd2(s, sf):
         (coins.where((day >= "1997-01-01") & (day < "1999-01-01") & (key != "dxy")), "1999-01-01"),
         (coins.where((day >= "1999-01-01") & (key != "xau")), "2002-01-01"),
     ]
-    history = None
+    table = KeyedTable(s, scratch_path(s, "history"), ["coin_id"], buckets=16)
     for rows, as_of in batches:
-        history = inc.scd2_snapshot(
-            history, rows.drop("price_date"), ["coin_id"], "last_updated_at", F.lit(as_of).cast("timestamp")
-        )
-    return history
+        inc.scd2_apply(table, rows.drop("price_date"), "last_updated_at", F.lit(as_of).cast("timestamp"))
+    return table.read()
 
 
 @register(
@@ -708,6 +711,7 @@ def _stream_upsert(s, sf):
     path = scratch_path(s, "versions")
     stream = ingest.parse_prices(ingest.read_message_files(s, topic, files_per_trigger=1))
     ingest.upsert_stream(stream, path, scratch_path(s, "progress")).awaitTermination()
+    ingest.merge_batches(s, path, ["coin_id"], "timestamp_ms")
     return ingest.read_versioned(s, path, ["coin_id"], "timestamp_ms")
 
 

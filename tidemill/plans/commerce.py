@@ -28,6 +28,7 @@ from tidemill.operators.ranking import (
 from tidemill.operators.timeseries import dated, moving_avg
 from tidemill.plans import adapters, commerce_staging
 from tidemill.session import materialize
+from tidemill.sources.keyed import KeyedTable, follow, summed_view
 
 
 # --- order grain ------------------------------------------------------------------------
@@ -477,6 +478,15 @@ def daily_revenue(placed: DataFrame) -> DataFrame:
     )
 
 
+def maintained_daily_revenue(orders: KeyedTable, batches: list[DataFrame], path: str) -> DataFrame:
+    """`daily_revenue` kept up to date while batches of orders are merged: each reads and writes the months of its own days only."""
+    view = summed_view(orders.spark, path, "order_date", F.year("order_date") * 12 + F.month("order_date"))
+    for batch in batches:
+        orders.merge(batch)
+        follow(orders, view, {"revenue": "total_order_value"})
+    return view.read().select("order_date", "revenue", F.col("row_count").alias("order_count"))
+
+
 # --- the model as one object ---------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemill import fixed_values as fv
 from tidemill.functions import labels
-from tidemill.functions.scalars import pct_change, ratio, satoshi_to_btc
+from tidemill.functions.scalars import pct_change, ratio, satoshi_to_btc, time_key
 from tidemill.operators.ranking import latest_per_key
 from tidemill.operators.timeseries import dated, ema, full_moving_avg, last_rows, moving_avg
 from tidemill.plans import adapters
@@ -73,7 +73,7 @@ def stg_coin_prices(raw: DataFrame) -> DataFrame:
 
 def bar_aggregates(price: str, ts: str, tie: str) -> dict[str, Column]:
     """Open, high, low, close: first and last by time, ties by a unique column."""
-    moment = F.struct(ts, tie)
+    moment = time_key(ts, tie)
     return {
         "open_price": F.min_by(price, moment),
         "high_price": F.max(price),

@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.scalars import time_key
+
 
 def hourly_bars(trades: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Hourly bars per symbol; open and close by trade time, ties by trade id."""
-    moment = F.struct("trade_time", "trade_id")
+    moment = time_key("trade_time", "trade_id")
     value = F.col("price") * F.col("quantity")
     return (
         trades.withWatermark("trade_time", delay)

@@ -15,6 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemill import schemas
 from tidemill.functions.scalars import decimal_or_null
 from tidemill.operators.ranking import latest_per_key
+from tidemill.sources.keyed import KeyedTable, delete
+from tidemill.sources.tables import partition_values
 
 # Trigger interval and largest batch per topic.
 FLUSH_SECONDS = {"trades": 1, "prices": 5, "sentiment": 10, "series": 10}
@@ -112,26 +114,66 @@ def ingest_price_files(spark: SparkSession, directory: str, schema) -> DataFrame
 # --- versioned table ----------------------------------------------------------------------
 
 
+def base_table(spark: SparkSession, path: str, keys: list[str], version: str) -> KeyedTable:
+    """The merged part of a replace-by-version table; its state says through which batch."""
+    return KeyedTable(spark, f"{path}/_base", keys, (version,))
+
+
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str, seconds: int | None = None) -> StreamingQuery:
     """Feed a replace-by-version table: every micro-batch lands in its own `batch` partition.
 
-    A batch that is replayed after a failure overwrites its own partition, so rows are never
-    doubled. Older versions of a key are dropped on read and by `compact`.
+    A batch that is replayed after a failure overwrites its own partition, or is skipped if it has been merged already,
+    so rows are never doubled. Older versions of a key are dropped on read and by `merge_batches`.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        through = KeyedTable(spark, f"{path}/_base", []).state().through
+        if through is None or batch_id > through:
+            batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def waiting_batches(spark: SparkSession, path: str, through: int | None) -> list[int]:
+    """Complete batches that are not merged yet."""
+    found = sorted(int(b) for b in partition_values(spark, path, "batch"))
+    return [b for b in found if through is None or b > through]
+
+
 def read_versioned(spark: SparkSession, path: str, keys: list[str], version: str) -> DataFrame:
-    """Newest version of each key over all landed batches."""
-    return latest_per_key(spark.read.parquet(path).drop("batch"), keys, version)
+    """Newest version of each key, from the merged base and the batches that came after it."""
+    base = base_table(spark, path, keys, version)
+    state = base.state()
+    merged = base.read()
+    waiting = waiting_batches(spark, path, state.through)
+    if not waiting:
+        return merged if merged is not None else spark.read.parquet(path).drop("batch")
+    landed = spark.read.parquet(*[f"{path}/batch={b}" for b in waiting])
+    rows = landed if merged is None else merged.unionByName(landed, allowMissingColumns=True)
+    return latest_per_key(rows, keys, version)
+
+
+def merge_batches(spark: SparkSession, path: str, keys: list[str], version: str) -> int | None:
+    """Merge the waiting batches into the base, in one step, and drop them; the last batch that is merged.
+
+    The base's new state and the mark of what it holds are one write. If the job is lost before it, the batches are
+    still waiting; if it is lost after it, the merged batches are not read any more and go the next time.
+    """
+    base = base_table(spark, path, keys, version)
+    state = base.state()
+    waiting = waiting_batches(spark, path, state.through)
+    if waiting:
+        landed = spark.read.parquet(*[f"{path}/batch={b}" for b in waiting])
+        state = base.merge(landed, through=waiting[-1])
+    for b in partition_values(spark, path, "batch"):
+        if state.through is not None and int(b) <= state.through:
+            delete(spark, f"{path}/batch={b}")
+    return state.through
 
 
 def compact(spark: SparkSession, path: str, target: str, keys: list[str], version: str) -> None:
-    """Write the newest versions as one table."""
+    """Export the newest versions as a plain table."""
     read_versioned(spark, path, keys, version).write.mode("overwrite").parquet(target)
