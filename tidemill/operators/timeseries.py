@@ -6,12 +6,12 @@ callers aggregate to that grain first, so a window holds days, never raw rows.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.scalars import mean, ratio
+from tidemill.operators.blocked import ema as ema  # spread over tasks; named here with its kin
 
 
 def dated(order: str, *keys: str) -> WindowSpec:
@@ -90,24 +90,6 @@ def streaks(df: DataFrame, order: str, label: str, out: str = "streak", keys: li
     return run.withColumn(out, F.row_number().over(dated(order, *keys, "_run"))).drop("_changed")
 
 
-def ema(df: DataFrame, keys: list[str], order: str, value: str, spans: dict[str, int]) -> DataFrame:
-    """Exponential moving averages, alpha = 2 / (span + 1), started at the first value.
-
-    A recursion, so each key's bars are read in order by one Arrow function; a key holds one
-    row per hour or day.
-    """
-    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in df.schema], *[f"{n} double" for n in spans]])
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        closes = pdf[value].astype("float64")
-        for name, span in spans.items():
-            pdf[name] = closes.ewm(span=span, adjust=False).mean()
-        return pdf
-
-    return df.groupBy(*keys).applyInPandas(smooth, schema)
-
-
 # --- unit transforms and resampling of long series ----------------------------------------
 
 

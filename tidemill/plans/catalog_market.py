@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill import fixed_values as fv
+from tidemill.operators import blocked
 from tidemill.operators.ranking import latest_per_key
 from tidemill.plans import adapters as ad
 from tidemill.plans import market as mk
@@ -49,6 +50,88 @@ register(
     "win_first_last", "s: symbol | d: trade_date | e: open_price close_price", "SELECT * FROM x_bar"
 )(lambda s, sf: Market(s, sf).bars)
 
+# --- one symbol over many tasks ---------------------------------------------------------
+
+TABLES["x_hour"] = """
+SELECT symbol, date_trunc('hour', trade_time) AS price_hour, CAST(arg_max(price, (trade_time, trade_id)) AS DOUBLE) AS close_price
+FROM x_est GROUP BY 1, 2
+"""
+
+
+@register(
+    "hourly_averages",
+    "s: symbol | t: price_hour | f6: sma_24h sma_168h volatility_24h change_24h",
+    """
+SELECT symbol, price_hour, CASE WHEN count(*) OVER d = 24 THEN avg(close_price) OVER d END AS sma_24h,
+       CASE WHEN count(*) OVER w = 168 THEN avg(close_price) OVER w END AS sma_168h, stddev_samp(close_price) OVER d AS volatility_24h,
+       close_price - lag(close_price, 24) OVER (PARTITION BY symbol ORDER BY price_hour) AS change_24h
+FROM x_hour WINDOW d AS (PARTITION BY symbol ORDER BY price_hour ROWS 23 PRECEDING),
+                   w AS (PARTITION BY symbol ORDER BY price_hour ROWS 167 PRECEDING)
+""",
+)
+def _hourly_averages(s, sf):
+    bars = mk.hourly_ohlcv(Market(s, sf, intraday=True).trades).select("symbol", "price_hour", "close_price")
+    close = F.col("close_price")
+
+    def made(window):
+        day, week = window.rowsBetween(-23, 0), window.rowsBetween(-167, 0)
+        return {
+            "sma_24h": F.when(F.count("*").over(day) == 24, F.avg(close).over(day)),
+            "sma_168h": F.when(F.count("*").over(week) == 168, F.avg(close).over(week)),
+            "volatility_24h": F.stddev_samp(close).over(day),
+            "change_24h": close - F.lag(close, 24).over(window),
+        }
+
+    return blocked.sliding(bars, ["symbol"], ["price_hour"], 167, made)
+
+
+@register(
+    "running_volume",
+    "i: trade_id | s: symbol | e: running_quantity running_value | i: trade_number",
+    """
+SELECT trade_id, symbol, CAST(sum(quantity) OVER w AS DOUBLE) AS running_quantity, CAST(sum(trade_value_usd) OVER w AS DOUBLE) AS running_value,
+       count(*) OVER w AS trade_number
+FROM x_est WINDOW w AS (PARTITION BY symbol ORDER BY trade_time, trade_id ROWS UNBOUNDED PRECEDING)
+""",
+)
+def _running_volume(s, sf):
+    order = ["trade_timestamp", "trade_id"]
+    parts = blocked.dealt(Market(s, sf, intraday=True).trades, ["symbol"], *order)
+    sums = {"running_quantity": F.col("quantity"), "running_value": F.col("trade_value_usd"), "trade_number": F.lit(1).cast("long")}
+    return blocked.running_sums(parts, ["symbol"], order, sums)
+
+
+@register(
+    "side_streaks",
+    "i: trade_id | s: symbol trade_side | i: streak",
+    """
+SELECT trade_id, symbol, trade_side, row_number() OVER (PARTITION BY symbol, run ORDER BY trade_time, trade_id) AS streak
+FROM (SELECT *, sum(CASE WHEN trade_side IS DISTINCT FROM side_before THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY trade_time, trade_id) AS run
+      FROM (SELECT *, lag(trade_side) OVER (PARTITION BY symbol ORDER BY trade_time, trade_id) AS side_before FROM x_est))
+""",
+)
+def _side_streaks(s, sf):
+    trades = Market(s, sf, intraday=True).trades.select("trade_id", "symbol", "trade_timestamp", "trade_side")
+    return blocked.streaks(trades, ["symbol"], ["trade_timestamp", "trade_id"], "trade_side")
+
+
+@register(
+    "sell_asof_buy",
+    "i: trade_id | s: symbol | e: price buy_price",
+    """
+WITH buys AS (SELECT symbol, trade_time, max(price) AS buy_price FROM x_est WHERE trade_side = 'buy' GROUP BY 1, 2)
+SELECT s.trade_id, s.symbol, CAST(s.price AS DOUBLE) AS price, CAST(b.buy_price AS DOUBLE) AS buy_price
+FROM (SELECT * FROM x_est WHERE trade_side = 'sell') s ASOF LEFT JOIN buys b ON s.symbol = b.symbol AND s.trade_time >= b.trade_time
+""",
+)
+def _sell_asof_buy(s, sf):
+    """Each sale with the price of the last purchase of its symbol, at the grain of trades."""
+    trades = Market(s, sf, intraday=True).trades
+    sells = trades.where("trade_side = 'sell'").select("trade_id", "symbol", "price", "trade_timestamp")
+    buys = trades.where("trade_side = 'buy'").select("symbol", "trade_timestamp", F.col("price").alias("buy_price"))
+    return blocked.asof_join(sells, buys, ["symbol"], "trade_timestamp", ["buy_price"])
+
+
 register(
     "hourly_ohlcv",
     "s: symbol | t: price_hour | e: open_price high_price low_price close_price volume_usd | i: trades_count "
