@@ -2,9 +2,9 @@
 
 Each text is scanned for candidates of the base kinds and for other long mixed strings. A candidate is
 known only by a hash of its value. Hashes are counted over distinct repositories and owners of the
-whole corpus: a value that many owners hold is a widely copied example; one that a single owner holds
-and that looks random is a live-looking credential. Base spans always stay and get that verdict; a
-mixed string becomes a span only if it is live-looking.
+whole corpus: a value that many owners or many repositories hold is a widely copied example; any other that
+looks random is a live-looking credential, also where a few owners or copies of one document hold it. Base spans
+always stay and get that verdict; a mixed string becomes a span only if it is live-looking.
 
 Counting reduces in steps, (value, owner, repository), (value, owner), value, each combined before its
 shuffle, so a value that a third of the rows hold is a few rows per task.
@@ -153,21 +153,23 @@ def ownership(candidates: DataFrame) -> DataFrame:
 def find_secrets(
     docs: DataFrame,
     copied_owners: int = 3,
+    copied_repositories: int = 20,
     id_col: str = "doc_id",
     text_col: str = "text",
     owner_col: str = "source",
     repository_col: str = "doc_id",
 ) -> DataFrame:
-    """(id, n_assign, n_access, n_hex, base_sha256, spans, n_copied, n_live) per row of `docs`.
+    """(id, n_assign, n_access, n_hex, base_sha256, spans, n_copied, n_live, n_owners, n_repositories) per row of `docs`.
 
     `spans` lists kind:start:end of all spans; n_copied counts those whose value `copied_owners` owners or
-    more hold, n_live those that look random and that one owner holds.
+    `copied_repositories` repositories or more hold, n_live the others that look random. n_owners and n_repositories
+    are those of the most widely held value of the row's spans, 0 without spans.
     """
     scanned = materialize(scan(docs, id_col, text_col, owner_col, repository_col), "scanned")
     candidates = scanned.where(F.size("spans") > 0).select("row", "owner", "repository", F.inline("spans"))
     counts = ownership(candidates)
-    copied = F.col("n_owners") >= copied_owners
-    live = (F.col("n_owners") == 1) & F.col("random")
+    copied = (F.col("n_owners") >= copied_owners) | (F.col("n_repositories") >= copied_repositories)
+    live = ~copied & F.col("random")
     judged = candidates.join(counts, "value").withColumn("copied", copied).withColumn("live", live)
     judged = judged.where((F.col("kind") < KINDS.index("mixed")) | F.col("live"))
     name = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
@@ -176,6 +178,8 @@ def find_secrets(
         F.array_sort(F.collect_list(F.struct("start", "kind", label.alias("label")))).alias("found"),
         F.sum(F.col("copied").cast("long")).alias("n_copied"),
         F.sum(F.col("live").cast("long")).alias("n_live"),
+        F.max("n_owners").alias("n_owners"),
+        F.max("n_repositories").alias("n_repositories"),
     )
     return scanned.drop("spans").join(lists, "row", "left").select(
         "id",
@@ -185,5 +189,5 @@ def find_secrets(
         "base_sha256",
         F.coalesce(F.array_join(F.col("found.label"), ","), F.lit("")).alias("spans"),
         F.coalesce("n_copied", F.lit(0)).alias("n_copied"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_live", "n_owners", "n_repositories")],
     )
