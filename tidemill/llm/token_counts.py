@@ -1,8 +1,9 @@
 """Token counts of whole texts: only lengths leave the Arrow functions.
 
 Texts are handed to the library in batches of about equal bytes; a long text is first split at
-places where no token can cross, so that neither a batch nor a single call grows with the longest
-text. Null and empty texts count 0 tokens; repeated rows give a row each; only the id and the text
+places where no token can cross: where a space stands between two letters and, for files whose words are runs
+of letters, of numbers or of neither, wherever the class changes, so texts of any script are cut at marks and spaces.
+A single run of one class, such as a million letters without a mark, is one word to those files and goes whole. Null and empty texts count 0 tokens; repeated rows give a row each; only the id and the text
 are read.
 """
 
@@ -39,7 +40,7 @@ def count_tokens(
         for batch in batches:
             pieces, owner, sizes, n_bytes = [], [], [], [0] * batch.num_rows
             for k, text in enumerate(strings(batch.column(1))):
-                for piece in safe_pieces(text, piece_chars) if encoder.can_cut else [text]:
+                for piece in safe_pieces(text, piece_chars, encoder.cuts, encoder.whole) if encoder.can_cut else [text]:
                     pieces.append(piece)
                     owner.append(k)
                     sizes.append(len(piece) if piece.isascii() else len(piece.encode()))

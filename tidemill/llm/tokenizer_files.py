@@ -15,12 +15,32 @@ import numpy as np
 # used here match at most one space, and only in front of a word; no special string holds a space.
 SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
+# fixed values: characters that all versions of Unicode count as letters, as numbers, as neither, or as white space
+LETTER_CHARS = "A-Za-zÀ-ÖØ-öø-ÿА-яぁ-ゖァ-ヺ一-龥가-힣"
+NUMBER_CHARS = "0-9"
+OTHER_CHARS = "!\"#$%&()*+,\\-./:;<=>?@\\[\\]^_`{|}~、。「」，！？；：（）"
+SPACE_CHARS = " \\t\\n\\r"
 
-def safe_pieces(text: str, size: int) -> list[str]:
-    """Pieces of about `size` characters, cut only where no token can cross; longer where there is no such place."""
+# Where words are runs of letters, of numbers or of neither, with at most one space before, a word ends where the class
+# changes. An apostrophe is left out before letters, as it may begin a short ending.
+CLASS_CUT = re.compile(
+    f"(?<=[{LETTER_CHARS}{NUMBER_CHARS}{OTHER_CHARS}'])(?=[{SPACE_CHARS}])|(?<=[{LETTER_CHARS}])(?=[{NUMBER_CHARS}{OTHER_CHARS}'])"
+    f"|(?<=[{NUMBER_CHARS}])(?=[{LETTER_CHARS}{OTHER_CHARS}'])|(?<=[{OTHER_CHARS}])(?=[{LETTER_CHARS}{NUMBER_CHARS}])"
+)
+
+
+def safe_pieces(text: str, size: int, cuts: re.Pattern = SAFE_CUT, whole: tuple[str, ...] = ()) -> list[str]:
+    """Pieces of about `size` characters, cut only where no token can cross; longer where there is no such place.
+
+    No string of `whole` is cut through.
+    """
     out, start = [], 0
     while len(text) - start > size:
-        cut = SAFE_CUT.search(text, start + size)
+        at = start + size
+        while (cut := cuts.search(text, at)) is not None and any(
+            w in text[max(start, cut.start() - len(w) + 1) : cut.start() + len(w) - 1] for w in whole
+        ):
+            at = cut.start() + 1
         if cut is None:
             break
         out.append(text[start : cut.start()])
@@ -44,8 +64,11 @@ class Encoder:
         words_apart: bool = False,
         placed: Callable[[str], tuple[list[int], np.ndarray]] | None = None,
         model: Callable[[str], list[int]] | None = None,
+        cuts: re.Pattern = SAFE_CUT,
+        whole: tuple[str, ...] = (),
     ):
         self.encode, self.count, self.can_cut, self.words_apart = encode, count, can_cut, words_apart
+        self.cuts, self.whole = cuts, whole  # where a text may be cut, and what may not be cut through
         self.model = model  # ids of one lower-case word of plain letters, if the file treats those alone
         self.placed = placed  # ids of one text and the character each token starts at
 
@@ -72,6 +95,18 @@ LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 
 
+def _classes_apart(config: dict) -> bool:
+    """Whether words are runs of one class of characters and nothing looks beyond a word."""
+    steps = config.get("pre_tokenizer") or {}
+    return (
+        not config.get("normalizer")
+        and steps.get("type") == "ByteLevel"
+        and steps.get("use_regex") is True
+        and steps.get("add_prefix_space") is False
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in config["added_tokens"])
+    )
+
+
 class WordMemory:
     """Packed ids of texts for an encoder whose words stand apart: each new word is encoded once.
 
@@ -164,6 +199,8 @@ def load(blob: bytes, suffix: str, pattern: str | None = None) -> Encoder:
             _drops_spaces(config),
             placed,
             model if letters_apart else None,
+            CLASS_CUT if _classes_apart(config) else SAFE_CUT,
+            tuple(token["content"] for token in config["added_tokens"]),
         )
     if suffix == ".model":
         import sentencepiece
@@ -181,6 +218,18 @@ def load(blob: bytes, suffix: str, pattern: str | None = None) -> Encoder:
     raise ValueError(f"unknown tokenizer file {suffix}")
 
 
+def vocabulary_size(blob: bytes, suffix: str) -> int:
+    """One more than the largest id."""
+    if suffix == ".json":
+        config = json.loads(blob)
+        return 1 + max([*config["model"]["vocab"].values(), *(t["id"] for t in config["added_tokens"])])
+    if suffix == ".model":
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_proto=blob).get_piece_size()
+    return 1 + max(int(line.split()[1]) for line in blob.splitlines())
+
+
 _LOADED: dict[tuple, Encoder] = {}
 
 
