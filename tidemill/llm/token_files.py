@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import by_bytes, columns, read_bounded, small_batches, store, strings
-from tidemill.llm.tokenizer_files import loaded, memory, safe_pieces
+from tidemill.llm.tokenizer_files import loaded, memory, safe_pieces, vocabulary_size
 
 NULL_ID = -(1 << 63)
-ENCODED = "id bigint, n_tokens bigint, ids binary, part int"
+ENCODED = "id bigint, n_tokens bigint, ids binary, part int, mark bigint"
 WRITTEN = "part int, path string, n_docs bigint, n_tokens bigint"
 
 
@@ -55,10 +55,15 @@ def _numbers(fs: pafs.FileSystem, path: str, kind: str) -> np.ndarray:
 def encode_ids(
     docs: DataFrame, tokenizer_path: str, end_id: int | None, kind: str, bounds: list[int], id_col: str, text_col: str
 ) -> DataFrame:
-    """(id, n_tokens, ids, part) per row; `part` counts the bounds below the id, null ids going to the first."""
+    """(id, n_tokens, ids, part, mark) per row; `part` counts the bounds below the id.
+
+    An id that is several bounds at once holds as many parts' rows; they are dealt over these by a hash of the text.
+    """
     blob, suffix = read_bounded(tokenizer_path), os.path.splitext(tokenizer_path)[1]
     source = columns(docs, id_col, text_col)
-    source = source.select(source[0].cast("long").alias("id"), source[1].cast("string").alias("text"))
+    text = source[1].cast("string")
+    source = source.select(source[0].cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("mark"))
+    edges = np.array(bounds, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(blob, suffix)
@@ -70,7 +75,7 @@ def encode_ids(
             texts = strings(batch.column(1))
             pieces, owner = [], []
             for k, text in enumerate(texts):
-                found = safe_pieces(text, piece) if encoder.can_cut else [text]
+                found = safe_pieces(text, piece, encoder.cuts, encoder.whole) if encoder.can_cut else [text]
                 pieces += found
                 owner += [k] * len(found)
             packed: list[list[bytes]] = [[] for _ in texts]
@@ -80,14 +85,19 @@ def encode_ids(
             end = b"" if end_id is None else np.array([end_id], kind).tobytes()
             rows = [b"".join(parts) + end for parts in packed]
             width = np.dtype(kind).itemsize
+            keys, marks = batch.column(0).fill_null(NULL_ID).to_numpy(), batch.column(2).to_numpy()
+            first, last = np.searchsorted(edges, keys), np.searchsorted(edges, keys, "right")
+            share = (marks / 2.0**64 + 0.5).clip(0, 1 - 2.0**-32)  # in the order of the marks
+            part = first + (np.maximum(last - first, 1) * share).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
                     pa.array([len(x) // width for x in rows], pa.int64()),
                     pa.array(rows, pa.binary()),
-                    pa.array(np.searchsorted(bounds, batch.column(0).fill_null(NULL_ID).to_numpy()), pa.int32()),
+                    pa.array(part, pa.int32()),
+                    batch.column(2),
                 ],
-                names=["id", "n_tokens", "ids", "part"],
+                names=["id", "n_tokens", "ids", "part", "mark"],
             )
 
     return small_batches(source).mapInArrow(run, ENCODED)
@@ -98,21 +108,29 @@ def write_token_files(
     folder: str,
     tokenizer_path: str,
     end_id: int | None = None,
-    kind: str = "<u2",
+    kind: str | None = None,
     partitions: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> str:
-    """Encode `docs` and write them in ascending id order; returns the folder."""
+    """Encode `docs` and write them in ascending id order; returns the folder.
+
+    Rows of one id are in the order of a hash of their texts. Without a `kind`, ids take two bytes if all of the
+    vocabulary's do, else four.
+    """
+    if kind is None:
+        largest = max(vocabulary_size(read_bounded(tokenizer_path), os.path.splitext(tokenizer_path)[1]), (end_id or 0) + 1)
+        kind = "<u2" if largest <= 1 << 16 else "<u4"
     spark = docs.sparkSession
     fs, base = store(folder)
     fs.create_dir(base, recursive=True)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Bounds come from the ids alone: a range partitioning would encode every text twice, once to sample it.
     steps = [k / parts for k in range(1, parts)] or [0.5]
-    bounds = docs.agg(F.percentile_approx(F.col(f"`{id_col}`").cast("long"), steps, 100 * parts)).first()[0] or []
-    encoded = encode_ids(docs, tokenizer_path, end_id, kind, sorted(set(bounds)), id_col, text_col)
-    ordered = encoded.repartition(parts, "part").sortWithinPartitions("part", "id", "n_tokens", "ids")
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID))
+    bounds = docs.agg(F.percentile_approx(key, steps, 100 * parts)).first()[0] or []
+    encoded = encode_ids(docs, tokenizer_path, end_id, kind, sorted(bounds), id_col, text_col)
+    ordered = encoded.repartitionById(parts, "part").sortWithinPartitions("part", "id", "mark", "n_tokens", "ids")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_fs, out_base = store(folder)
