@@ -300,3 +300,85 @@ def test_mixing_holds_rare_quality_in_many_bins(spark, monkeypatch):
     assert all(abs(words - target) <= 6 for (_, target), words in taken.items())
     ids = Counter(r.doc_id for r in mixing.mixed_documents(docs, quality_col="good").collect())
     assert ids == Counter({r.id: r.times for r in found if r.times})
+
+
+# Long texts, hot ids and ownership
+
+
+def test_long_texts_are_cut_where_classes_change(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tidemill.llm import token_counts
+    from tidemill.llm.tokenizer_files import load, safe_pieces
+
+    path = public_tokenizers.path(queries.COUNTED_BY)
+    library, encoder = Tokenizer.from_file(path), load(open(path, "rb").read(), ".json")
+    chinese = "今天天气很好，我们去公园散步。" * 70_000  # over 1,000,000 characters without a space
+    texts = [chinese, "x1" * 200_000, "a<|endoftext|>b," * 9_000, "don't we'll 'tis\n\n  x\t1,5 é!'s " * 5_000, "7" * 70_000, "word" * 9_000]
+    for text in texts[:4]:
+        found = safe_pieces(text, 1 << 10, encoder.cuts, encoder.whole)
+        assert "".join(found) == text and max(map(len, found)) < 1 << 11
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, path, piece_chars=1 << 10).collect()} == want
+
+
+@given(st.text(alphabet=st.sampled_from("ab1 '\n\t.,!<|>é漢字。、ßs-_́\x1c"), max_size=200))
+@settings(max_examples=150, deadline=None)
+def test_class_cuts_never_change_ids(text):
+    import public_tokenizers
+
+    from tidemill.llm.tokenizer_files import loaded, safe_pieces
+
+    encoder = loaded(open(public_tokenizers.path(queries.COUNTED_BY), "rb").read(), ".json")
+    pieces = safe_pieces(text + "<|endoftext|>" + text, 3, encoder.cuts, encoder.whole)
+    assert [i for ids in encoder.encode(pieces) for i in ids] == encoder.encode([text + "<|endoftext|>" + text])[0]
+
+
+def test_hot_ids_fill_several_token_files(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tidemill.llm import token_files
+
+    path = public_tokenizers.path(queries.STORED_BY)
+    made = [(k, f"text number {k}") for k in range(200)] + [(50, f"hot {k}") for k in range(300)] + [(None, f"none {k}") for k in range(300)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    folder = token_files.write_token_files(docs, scratch_path(spark, "tokens"), path, end_id=1, partitions=16)
+    shards = [s["n_docs"] for s in __import__("json").loads(open(f"{folder.removeprefix('file:')}/manifest.json").read())["shards"]]
+    assert sum(shards) == len(made) and max(shards) < 150
+    read = sorted(token_files.read_token_files(spark, folder).collect(), key=lambda r: r.start)
+    ids = [r.id for r in read]
+    assert ids == sorted(ids, key=lambda x: (x is not None, x))
+    library, start, want = Tokenizer.from_file(path), 0, Counter()
+    for i, text in made:
+        want[(i, np.array([*library.encode(text, add_special_tokens=False).ids, 1], "<u2").tobytes())] += 1
+    for r in read:
+        assert r.start == start
+        start += r.n_tokens
+    assert Counter((r.id, bytes(r.ids)) for r in read) == want
+    with pytest.raises(Exception, match="out of bounds|out of range|overflow"):
+        token_files.write_token_files(docs, scratch_path(spark, "tokens"), path, kind="u1")
+
+
+def test_ownership_verdicts_against_plain_counts(spark):
+    from tidemill.llm import secrets
+
+    r = np.random.default_rng(9)
+    letters = np.array(list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"))
+    value = lambda: "".join(r.choice(letters, 24)) + "1aZ"
+    one, two, three, spread, dull = value(), value(), value(), value(), "aaaa1111aaaa1111aaaaA1"
+    rows_ = [(1, one, "a", "r1"), (2, two, "a", "r1"), (3, two, "b", "r2"), (4, three, "a", "r1"), (5, three, "b", "r1"), (6, three, None, "r1")]
+    rows_ += [(100 + k, spread, "a", f"r{k}") for k in range(20)] + [(200, dull, "a", "r1"), (201, None, "a", "r1")]
+    docs = spark.createDataFrame([(i, None if t is None else f"see {t} here", o, p) for i, t, o, p in rows_], "doc_id long, text string, source string, repo string")
+    holders = defaultdict(set)
+    for _, t, o, p in rows_:
+        holders[t].add((o, p))
+    for x in secrets.find_secrets(docs, repository_col="repo").collect():
+        t = next(t for i, t, _, _ in rows_ if i == x.id)
+        owners, repositories = len({o for o, _ in holders[t]}), len(holders[t])
+        live = t not in (None, dull) and owners < 3 and repositories < 20
+        assert (x.spans != "") == live == bool(x.n_live)
+        if live:
+            assert (x.n_owners, x.n_repositories) == (owners, repositories)
