@@ -222,4 +222,4 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     docs = numbered(docs, row)
     groups = exact_groups(docs, id_col=id_col, text_col=text_col, row_col=row)
     gone = groups.where(~F.col("kept")).select(F.col("row").alias(row))
-    return docs.join(gone, row, "left_anti").drop(row)
+    return docs.join(materialize(gone, "gone"), row, "left_anti").drop(row)  # written, so that the join knows its size

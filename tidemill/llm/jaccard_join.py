@@ -11,7 +11,8 @@ if its places leave room for the overlap that the two sizes need.
 Links are looked for in rounds. First each shingle's holders are compared with one of them, then those not yet
 brought together with a few others, which finds groups of copies at a cost in proportion to their size. In the
 last round all holders that these links have not brought together are compared with each other, so no link between
-two components is lost, and no pair within one is made. Candidates are verified on whole sets, after those
+two components is lost, and no pair within one is made; a pair becomes a row only if the outlines of both, one or two bits
+per shingle sent along with the lists, leave room for the overlap. Candidates are verified on whole sets, after those
 whose bitmaps of hashed shingles, at most a byte per shingle, already bound the overlap too low. Equal sets are one
 node from the start.
 
@@ -48,11 +49,15 @@ from tidemill.session import materialize
 SKETCH_BITS = 20
 SKETCH_CHUNKS = 64
 LONGEST = 32  # shared shingles asked for, at most
-PARTITION_ROWS = 1_500_000  # prefix shingles of one index partition, about
-FLUSH_ROWS = 300_000
+PARTITION_ROWS = 500_000  # prefix shingles of one index partition, about
+LEAST_PARTITIONS = 64
+FLUSH_ROWS = 200_000
 HOT_ROWS = 100_000
 GROUP_ROWS = 128
 BLOCK_BYTES = 1 << 19
+PAIR_BYTES = 1 << 22  # of bitmaps compared at once
+PAIRS_HELD = 1 << 18
+PAIR_ROWS = 1 << 14
 FILTER_BYTES = 16 << 20
 BROADCAST_NODES = 200_000  # candidates whose pairs, a few numbers each, are sent to all tasks
 
@@ -84,31 +89,76 @@ def bitmap(shingles: np.ndarray) -> bytes:
 
 def most_shared(n_a: int, bits_a: np.ndarray, n_b: int, bits_b: np.ndarray) -> int:
     """An upper bound of the overlap: each bit of one set that the other lacks is a shingle that the other lacks."""
-    while len(bits_a) > len(bits_b):
-        bits_a = bits_a[: len(bits_a) // 2] | bits_a[len(bits_a) // 2 :]
-    while len(bits_b) > len(bits_a):
-        bits_b = bits_b[: len(bits_b) // 2] | bits_b[len(bits_b) // 2 :]
+    bits_a, bits_b = folded(bits_a, len(bits_b)), folded(bits_b, len(bits_a))
     only_a = int(np.bitwise_count(bits_a & ~bits_b).sum())
     only_b = int(np.bitwise_count(bits_b & ~bits_a).sum())
     return min(n_a - only_a, n_b - only_b)
 
 
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps, along the last axis, at no more than this width: upper halves are laid over lower ones."""
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] | bits[..., half:]
+    return bits
+
+
+def outline(bits: bytes) -> bytes:
+    """The bitmap at a quarter of its width: one or two bits per shingle tell sets apart that share a passage only."""
+    return folded(np.frombuffer(bits, np.uint8), max(8, len(bits) // 4)).tobytes()
+
+
+class Bitmaps:
+    """Bitmaps and set sizes of many rows, those of equal width together."""
+
+    def __init__(self, rows: np.ndarray, sizes: np.ndarray, bits: list[bytes]):
+        order = np.argsort(rows, kind="stable")
+        self.rows, self.sizes = rows[order], sizes[order]
+        widths = np.array([len(b) for b in bits], np.int64)[order]
+        self.width, self.place, self.tables = widths, np.zeros(len(rows), np.int64), {}
+        for width in np.unique(widths).tolist():
+            at = np.flatnonzero(widths == width)
+            self.place[at] = np.arange(len(at))
+            self.tables[width] = np.frombuffer(b"".join(bits[order[i]] for i in at), np.uint64).reshape(len(at), -1)
+
+    def may_link(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the bitmaps of each pair of rows leave room for the overlap that a link needs."""
+        i, j = self.rows.searchsorted(a), self.rows.searchsorted(b)
+        good = np.zeros(len(a), bool)
+        classes = self.width[i] * (1 << 40) + self.width[j]
+        for both in np.unique(classes).tolist():
+            narrow = min(both >> 40, both & (1 << 40) - 1)
+            left, right = (folded(self.tables[w], narrow // 8) for w in (both >> 40, both & (1 << 40) - 1))
+            at = np.flatnonzero(classes == both)
+            step = max(1, PAIR_BYTES // narrow)
+            for k in range(0, len(at), step):
+                some = at[k : k + step]
+                x, y = left[self.place[i[some]]], right[self.place[j[some]]]
+                n_x, n_y = self.sizes[i[some]], self.sizes[j[some]]
+                only_x = np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+                only_y = np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+                good[some] = np.minimum(n_x - only_x, n_y - only_y) >= overlap(n_x, n_y)
+        return good
+
+
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         texts = utf8(batch.column(2))
         for lo, hi in by_bytes([len(t) for t in texts], BLOCK_BYTES):
             yield batch.slice(lo, hi - lo), shingle_sets(texts[lo:hi], size)
+    pa.default_memory_pool().release_unused()  # the worker waits for its next task
 
 
 def profiles(source: DataFrame, size: int) -> DataFrame:
-    """(row, id, n, key, bits) per document, and per task the counts of its shingles by hash bucket (chunk, counts)."""
+    """(row, id, n, key, bits, outline) per document, and per task the counts of its shingles by hash bucket (chunk, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        names = ["row", "id", "n", "key", "bits", "part", "chunk", "counts"]
+        names = ["row", "id", "n", "key", "bits", "outline", "part", "chunk", "counts"]
         for batch, sets in _sets(batches, size):
             tokens = np.concatenate(sets)
             counts += np.bincount((tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
+            bits = [bitmap(s) for s in sets]
             empty = [pa.nulls(len(sets), t) for t in (pa.int32(), pa.int32(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -116,20 +166,21 @@ def profiles(source: DataFrame, size: int) -> DataFrame:
                     batch.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_key(s) for s in sets], pa.binary()),
-                    pa.array([bitmap(s) for s in sets], pa.binary()),
+                    pa.array(bits, pa.binary()),
+                    pa.array([outline(b) for b in bits], pa.binary()),
                     *empty,
                 ],
                 names=names,
             )
         parts = [p.tobytes() for p in np.split(counts, SKETCH_CHUNKS)]
-        none = [pa.nulls(SKETCH_CHUNKS, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+        none = [pa.nulls(SKETCH_CHUNKS, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())]
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
             [*none, pa.array([part] * SKETCH_CHUNKS, pa.int32()), pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array(parts, pa.binary())],
             names=names,
         )
 
-    schema = "row bigint, id bigint, n bigint, key binary, bits binary, part int, chunk int, counts binary"
+    schema = "row bigint, id bigint, n bigint, key binary, bits binary, outline binary, part int, chunk int, counts binary"
     return small_batches(source).mapInArrow(run, schema)
 
 
@@ -311,18 +362,27 @@ class Lists:
         good = 4 * np.minimum(self.n[i], self.n[j]) >= 3 * np.maximum(self.n[i], self.n[j])
         return self.counted(i[good], j[good], whole=True)
 
-    def between(self, label: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Each holder with every other of its list that has another label, in blocks of bounded size."""
+    def between(self, label: np.ndarray, bitmaps: Bitmaps) -> tuple[np.ndarray, ...]:
+        """Each holder with every other of its list that has another label, as far as bitmaps let them link.
+
+        Pairs are made and screened in blocks of bounded size.
+        """
         done: list[tuple[np.ndarray, ...]] = []
         found_i, found_j, waiting = [], [], 0
+
+        def screen() -> None:
+            pairs = self.counted(np.concatenate(found_i), np.concatenate(found_j))
+            good = bitmaps.may_link(pairs[0], pairs[1])
+            done.append(tuple(column[good] for column in pairs))
+
         for length in np.unique(self.length).tolist():
             starts = self.start[self.length == length]
-            rows_at_once = max(1, min(length, (1 << 20) // length))
+            rows_at_once = max(1, min(length, PAIRS_HELD // length))
             for lo in range(0, length, rows_at_once):
                 left, right = np.meshgrid(np.arange(lo, min(length, lo + rows_at_once)), np.arange(length), indexing="ij")
                 upper = left < right
                 left, right = left[upper], right[upper]
-                lists = max(1, (1 << 20) // max(1, len(left)))
+                lists = max(1, PAIRS_HELD // max(1, len(left)))
                 for k in range(0, len(starts), lists):
                     at = starts[k : k + lists, None]
                     i, j = (at + left).ravel(), (at + right).ravel()
@@ -332,71 +392,130 @@ class Lists:
                     found_i.append(i[good])
                     found_j.append(j[good])
                     waiting += len(good)
-                    if waiting > 1 << 21:
-                        done.append(self.counted(np.concatenate(found_i), np.concatenate(found_j)))
+                    if waiting > PAIRS_HELD:
+                        screen()
                         found_i, found_j, waiting = [], [], 0
         if found_i:
-            done.append(self.counted(np.concatenate(found_i), np.concatenate(found_j)))
+            screen()
         return tuple(np.concatenate(c) for c in zip(*done, strict=True)) if done else tuple(np.empty(0, np.int64) for _ in range(4))
 
-    def packed(self) -> dict[str, bytes]:
-        return {name: getattr(self, name).tobytes() for name in ("token", "row", "n", "asked", "place")}
-
+    def mixed(self, label: np.ndarray) -> np.ndarray:
+        """Which positions belong to lists of two labels and more."""
+        if not len(label):
+            return np.empty(0, bool)
+        low, high = np.minimum.reduceat(label, self.start), np.maximum.reduceat(label, self.start)
+        return np.repeat(low != high, self.length)
 
-def _unpacked(group: pd.DataFrame, kinds: dict[str, type]) -> Lists:
-    return Lists(*(np.concatenate([np.frombuffer(b, kind) for b in group[name]] or [np.empty(0, kind)]) for name, kind in kinds.items()))
+    def packed(self) -> dict[str, bytes]:
+        return {name: getattr(self, name).astype(kind).tobytes() for name, kind in PACKED.items()}
 
 
 PACKED = {"token": np.uint64, "row": np.int64, "n": np.uint32, "asked": np.uint8, "place": np.uint32}
-LIVE = {"token": np.uint64, "row": np.int64, "n": np.int64, "asked": np.int64, "place": np.int64}
+LISTS = "target int, token binary, row binary, n binary, asked binary, place binary"
 PAIRS = "a bigint, b bigint, shared bigint, asked bigint"
+PACKED_PAIRS = ("pair_a", "pair_b", "pair_shared", "pair_asked")
 
 
-def _pair_rows(pairs: tuple[np.ndarray, ...]) -> list[dict]:
-    return [[{"a": a, "b": b, "shared": s, "asked": k} for a, b, s, k in zip(*(c.tolist() for c in pairs), strict=True)]]
+def _unpacked(group: pd.DataFrame) -> Lists:
+    return Lists(*(np.concatenate([np.frombuffer(b, kind) for b in group[name]] or [np.empty(0, kind)]) for name, kind in PACKED.items()))
 
 
 def first_round(index: DataFrame) -> DataFrame:
-    """Per index partition its lists of two and more holders, packed, and the pairs of the first comparison."""
+    """Per index partition its lists of two and more holders and the pairs of the first comparison, all packed."""
 
     def reduce(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        lists = _unpacked(group, PACKED)
-        return pd.DataFrame({"target": [key[0]], **{k: [v] for k, v in lists.packed().items()}, "pairs": _pair_rows(lists.star())})
+        lists = _unpacked(group)
+        pairs = dict(zip(PACKED_PAIRS, (column.astype(np.int64).tobytes() for column in lists.star()), strict=True))
+        return pd.DataFrame({"target": [key[0]], **{k: [v] for k, v in (lists.packed() | pairs).items()}})
 
-    schema = "target int, token binary, row binary, n binary, asked binary, place binary, "
-    schema += "pairs array<struct<a:bigint,b:bigint,shared:bigint,asked:bigint>>"
+    schema = ", ".join([LISTS, *(f"{name} binary" for name in PACKED_PAIRS)])
     return index.groupBy("target").applyInPandas(reduce, schema)
 
 
-def next_round(live: DataFrame, labels: DataFrame, salt: int | None = None) -> DataFrame:
-    """Pairs of holders whose labels (row, label) differ, all of them or, with `salt`, a few of each holder's.
+def unpacked_pairs(live: DataFrame) -> DataFrame:
+    """The pairs of `first_round` as rows."""
 
-    A row without a label is a component of its own.
-    """
-    held = live.drop("pairs")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                columns = [np.frombuffer(column[i].as_py(), np.int64) for column in batch.columns]
+                for k in range(0, len(columns[0]), PAIR_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[k : k + PAIR_ROWS]) for c in columns], names=["a", "b", "shared", "asked"])
+
+    return live.select(*PACKED_PAIRS).mapInArrow(run, PAIRS)
 
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def rows_of(live: DataFrame) -> DataFrame:
+    """(target, row) of the holders in each index partition's lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for target, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                distinct = np.unique(np.frombuffer(rows, np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(distinct), target, np.int32)), pa.array(distinct)], names=["target", "row"]
-                )
+            for target, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                distinct = np.unique(np.frombuffer(rows.as_py(), np.int64))
+                for k in range(0, len(distinct), PAIR_ROWS):
+                    some = distinct[k : k + PAIR_ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), target, np.int32)), pa.array(some)], names=["target", "row"])
+
+    return live.select("target", "row").mapInArrow(run, "target int, row bigint")
 
-    used = held.select("target", "row").mapInArrow(rows_of, "target int, row bigint")
-    known = used.join(labels, "row").select("target", "row", "label")
+
+def mixed_lists(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists whose holders' labels (row, label) differ, with the label of each; once alike, they stay alike.
+
+    A row without a label is a component of its own.
+    """
+    held = live.select("target", *PACKED)
+    known = rows_of(held).join(labels, "row").select("target", "row", "label")
 
     def reduce(key: tuple, group: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        lists = _unpacked(group, LIVE)
+        lists = _unpacked(group)
         label = lists.row.copy()
-        if len(known):
+        if len(known) and len(label):
             known = known.sort_values("row")
             rows = known["row"].to_numpy(np.int64)
             at = np.minimum(rows.searchsorted(lists.row), len(rows) - 1)
             label = np.where(rows[at] == lists.row, known["label"].to_numpy(np.int64)[at], lists.row)
-        return pd.DataFrame(dict(zip(["a", "b", "shared", "asked"], lists.between(label) if salt is None else lists.near(label, salt), strict=True)))
+        kept = lists.mixed(label)
+        if not kept.any():
+            return pd.DataFrame({name: [] for name in ("target", *PACKED, "label")})
+        cells = {name: getattr(lists, name)[kept].astype(kind) for name, kind in PACKED.items()} | {"label": label[kept]}
+        return pd.DataFrame({"target": [key[0]], **{name: [cell.tobytes()] for name, cell in cells.items()}})
+
+    return held.groupBy("target").cogroup(known.groupBy("target")).applyInPandas(reduce, f"{LISTS}, label binary")
+
+
+def _labelled(group: pd.DataFrame) -> tuple[Lists, np.ndarray]:
+    """The lists of one partition of `mixed_lists`, and the labels in their order, which that function has kept."""
+    return _unpacked(group), np.concatenate([np.frombuffer(b, np.int64) for b in group["label"]])
+
+
+def _pair_frame(pairs: tuple[np.ndarray, ...]) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip(["a", "b", "shared", "asked"], pairs, strict=True)))
+
+
+def near_pairs(mixed: DataFrame, salt: int) -> DataFrame:
+    """Pairs of holders whose labels differ, a few of each holder's."""
+
+    def reduce(group: pd.DataFrame) -> pd.DataFrame:
+        lists, label = _labelled(group)
+        return _pair_frame(lists.near(label, salt))
+
+    return mixed.groupBy("target").applyInPandas(reduce, PAIRS)
+
+
+def all_pairs(mixed: DataFrame, found: DataFrame) -> DataFrame:
+    """All pairs of holders whose labels differ and whose outlines, in `profiles`, let them link."""
+    known = found.where(F.col("row").isNotNull()).select("row", "n", "outline")
+    known = rows_of(mixed).join(known, "row").select("target", "row", "n", "outline")
+
+    def reduce(key: tuple, group: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(group):
+            return _pair_frame(tuple(np.empty(0, np.int64) for _ in range(4)))
+        lists, label = _labelled(group)
+        bitmaps = Bitmaps(known["row"].to_numpy(np.int64), known["n"].to_numpy(np.int64), known["outline"].tolist())
+        return _pair_frame(lists.between(label, bitmaps))
 
-    return held.groupBy("target").cogroup(known.groupBy("target")).applyInPandas(reduce, PAIRS)
+    return mixed.groupBy("target").cogroup(known.groupBy("target")).applyInPandas(reduce, PAIRS)
 
 
 def enough(pairs: DataFrame) -> DataFrame:
@@ -500,7 +619,7 @@ def jaccard_groups(
     found = materialize(profiles(source, size), "profiles")
     rows = found.where(F.col("row").isNotNull()).select("row", "id", "n", "key")
     total = rows.agg(F.sum("n")).first()[0] or 0
-    partitions = max(16, -(-total // (4 * PARTITION_ROWS)))
+    partitions = max(LEAST_PARTITIONS, -(-total // (4 * PARTITION_ROWS)))
     counts = sketch(found)
 
     live = materialize(first_round(index_rows(source, counts, partitions, size)), "lists")
@@ -509,17 +628,18 @@ def jaccard_groups(
 
     def links(pairs: DataFrame) -> DataFrame:
         """Verified pairs as edges between the first rows of equal sets."""
-        good = verified(source, screened(found, enough(pairs)), size)
+        good = verified(source, pairs, size)
         left = good.join(node_of.select(F.col("row").alias("a"), F.col("node").alias("x")), "a")
         both = left.join(node_of.select(F.col("row").alias("b"), F.col("node").alias("y")), "b")
         return both.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
-    found_links = materialize(links(live.select(F.inline("pairs"))), "links")
+    found_links = materialize(links(screened(found, enough(unpacked_pairs(live)))), "links")
     for salt in (1, 2, None):  # a few of each holder's pairs, twice, so that groups of copies close; then all that are left
         labels = connected_components(found_links)
         label_of = node_of.join(labels, "node", "left").select("row", F.coalesce("label", "node").alias("label"))
-        more = links(next_round(live, label_of.where(F.col("row") != F.col("label")), salt))
-        found_links = materialize(found_links.unionByName(more), "links")
+        live = materialize(mixed_lists(live, label_of.where(F.col("row") != F.col("label"))), "mixed")
+        pairs = all_pairs(live, found) if salt is None else near_pairs(live, salt)
+        found_links = materialize(found_links.unionByName(links(screened(found, enough(pairs)))), "links")
     labels = connected_components(found_links)
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -539,4 +659,4 @@ def drop_near_copies(docs: DataFrame, size: int = 5, id_col: str = "doc_id", tex
     row = fresh_name(docs, "row")
     docs = numbered(docs, row)
     gone = jaccard_groups(docs, size, id_col, text_col, row).where("row != first_row").select(F.col("row").alias(row))
-    return docs.join(gone, row, "left_anti").drop(row)
+    return docs.join(materialize(gone, "gone"), row, "left_anti").drop(row)  # written, so that the join knows its size
