@@ -111,13 +111,20 @@ def check_allowed(name: str, df: DataFrame, column: str, allowed: list[str]) ->
 
 
 def expect_suite(df: DataFrame, suite: list[dict]) -> DataFrame:
-    """Evaluate a suite of {"type", ...} expectations in one aggregate.
+    """Evaluate a suite of {"type", ...} expectations: all rules on single rows in one aggregate, and each uniqueness
+    rule from the number of rows per value, so that no row is repeated for it.
 
     Types: row_count_between, column_exists, not_null, unique, in_set, between,
     unique_combination. NULL passes in_set, between and unique. An unknown type passes with a
     note.
     """
     rules: dict[str, tuple[Column, Column, str]] = {}
+    repeated: list[DataFrame] = []
+
+    def add_repeated(label: str, rows: DataFrame, columns: list[str], details: str) -> None:
+        counts = rows.groupBy(*columns).agg(F.count("*").alias("_n"))
+        repeated.append(_wide_to_checks(counts, {label: (F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)), _none(), details)}))
+
     for number, e in enumerate(suite):
         kind, column = e["type"], e.get("column")
         label = f"{number + 1}:{kind}" + (f":{column}" if column else "")
@@ -133,10 +140,9 @@ def expect_suite(df: DataFrame, suite: list[dict]) -> DataFrame:
         elif kind == "not_null":
             rules[label] = (F.count_if(F.col(column).isNull()), _none(), "NULLs")
         elif kind == "unique":
-            rules[label] = (F.count(column) - F.countDistinct(column), _none(), "repeated values")
+            add_repeated(label, df.where(F.col(column).isNotNull()), [column], "repeated values")
         elif kind == "unique_combination":
-            columns = [F.col(c) for c in e["columns"]]
-            rules[label] = (F.count("*") - F.countDistinct(F.struct(*columns)), _none(), "repeated combinations")
+            add_repeated(label, df, e["columns"], "repeated combinations")
         elif kind == "in_set":
             rules[label] = (bad_count(~F.col(column).isin(e["value_set"])), _none(), "values outside the set")
         elif kind == "between":
@@ -146,7 +152,9 @@ def expect_suite(df: DataFrame, suite: list[dict]) -> DataFrame:
             rules[label] = (bad_count(below | above), _none(), "values outside")
         else:
             rules[label] = (F.max(F.lit(0)), F.lit(True), "unknown expectation, skipped")
-    return _wide_to_checks(df, rules).withColumns(
+    parts = ([_wide_to_checks(df, rules)] if rules else []) + repeated
+    results = union_checks(parts).orderBy(F.substring_index("check", ":", 1).cast("int"))  # one row per rule
+    return results.withColumns(
         {"passed": F.coalesce("passed", F.lit(True)), "observed": F.coalesce("observed", F.lit(0.0))}
     )
 

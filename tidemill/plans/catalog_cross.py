@@ -312,11 +312,11 @@ _CMD = (
 register("crypto_macro_daily", _CMD, "SELECT * FROM x_cmd")(lambda s, sf: Cross(s, sf).daily)
 
 TABLES["x_regime"] = """
-SELECT date, CASE WHEN fed_rate > 4.5 THEN 'hawkish' WHEN fed_rate > 2 THEN 'neutral' ELSE 'dovish' END AS fed_stance,
-       fed_rate AS fed_funds_rate, CASE WHEN mood >= 60 THEN 'risk-on' WHEN mood <= 40 THEN 'risk-off' ELSE 'neutral' END AS risk_appetite,
+SELECT date, CASE WHEN fed_rate > 4.5 THEN 'hawkish' WHEN fed_rate > 2 THEN 'neutral' WHEN fed_rate <= 2 THEN 'dovish' END AS fed_stance,
+       fed_rate AS fed_funds_rate, CASE WHEN mood >= 60 THEN 'risk-on' WHEN mood <= 40 THEN 'risk-off' WHEN mood > 40 THEN 'neutral' END AS risk_appetite,
        mood AS fear_greed_value,
-       CASE WHEN mood >= 70 THEN 'euphoria' WHEN mood >= 50 THEN 'optimism' WHEN mood >= 30 THEN 'anxiety' ELSE 'panic' END AS crypto_phase
-FROM (SELECT date, coalesce(fed_funds_rate, 5.0) AS fed_rate, coalesce(fear_greed_value, 50) AS mood FROM x_cmd)
+       CASE WHEN mood >= 70 THEN 'euphoria' WHEN mood >= 50 THEN 'optimism' WHEN mood >= 30 THEN 'anxiety' WHEN mood < 30 THEN 'panic' END AS crypto_phase
+FROM (SELECT date, fed_funds_rate AS fed_rate, fear_greed_value AS mood FROM x_cmd)
 """
 register(
     "market_regime",

@@ -269,16 +269,15 @@ def crypto_macro_daily(
 
 
 def market_regime(daily: DataFrame) -> DataFrame:
-    """Policy stance, risk appetite and market mood per day from rate and sentiment."""
-    rate = F.coalesce("fed_funds_rate", F.lit(5.0))
-    mood = F.coalesce("fear_greed_value", F.lit(50))
+    """Policy stance, risk appetite and market mood per day; what is not known is NULL, and so is its label."""
+    rate, mood = F.col("fed_funds_rate"), F.col("fear_greed_value")
     return daily.select(
         "date",
-        labels.fed_stance(rate).alias("fed_stance"),
-        rate.alias("fed_funds_rate"),
-        labels.risk_appetite(mood).alias("risk_appetite"),
-        mood.alias("fear_greed_value"),
-        labels.crypto_phase(mood).alias("crypto_phase"),
+        F.when(rate.isNotNull(), labels.fed_stance(rate)).alias("fed_stance"),
+        rate,
+        F.when(mood.isNotNull(), labels.risk_appetite(mood)).alias("risk_appetite"),
+        mood,
+        F.when(mood.isNotNull(), labels.crypto_phase(mood)).alias("crypto_phase"),
     )
 
 
