@@ -59,6 +59,7 @@ PAIR_BYTES = 1 << 22  # of bitmaps compared at once
 PAIRS_HELD = 1 << 18
 PAIR_ROWS = 1 << 14
 FILTER_BYTES = 16 << 20
+LAST_ID = (1 << 63) - 1
 BROADCAST_NODES = 200_000  # candidates whose pairs, a few numbers each, are sent to all tasks
 
 
@@ -611,7 +612,9 @@ def verified(source: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
 def jaccard_groups(
     docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
 ) -> DataFrame:
-    """(row, id, n_shingles, component_id, first_row) per row of `docs`: the component's smallest id and first row.
+    """(row, id, n_shingles, component_id, first_row) per row of `docs`: the component's smallest id and the row that has it.
+
+    Of rows that share it, that with the smallest hash of its set counts, and of equal sets the first read.
 
     `row_col` names the row numbers of a written table; without it the rows are numbered and written here.
     """
@@ -623,7 +626,9 @@ def jaccard_groups(
     counts = sketch(found)
 
     live = materialize(first_round(index_rows(source, counts, partitions, size)), "lists")
-    classes = rows.where("n > 0").groupBy("key").agg(F.min("row").alias("node"), F.min("id").alias("low"))
+    classes = rows.where("n > 0").groupBy("key").agg(
+        F.min("row").alias("node"), F.min("id").alias("low"), F.min(F.struct(F.coalesce("id", F.lit(LAST_ID)).alias("id"), "row")).alias("first")
+    )
     node_of = materialize(rows.where("n > 0").join(classes.select("key", "node"), "key").select("row", "node"), "nodes")
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -643,8 +648,9 @@ def jaccard_groups(
     labels = connected_components(found_links)
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    lowest = named.groupBy("label").agg(F.min("low").alias("component_id"), F.min("node").alias("first_row"))
-    named = named.join(lowest, "label").select("key", "component_id", "first_row")
+    first = F.min(F.struct("first.id", "key", "first.row")).alias("first_of_all")
+    lowest = named.groupBy("label").agg(F.min("low").alias("component_id"), first)
+    named = named.join(lowest, "label").select("key", "component_id", F.col("first_of_all.row").alias("first_row"))
     return rows.join(named, "key", "left").select(
         "row",
         "id",
@@ -655,7 +661,7 @@ def jaccard_groups(
 
 
 def drop_near_copies(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` with one document per group, the first read."""
+    """The rows of `docs` with one document per group, that with the smallest id."""
     row = fresh_name(docs, "row")
     docs = numbered(docs, row)
     gone = jaccard_groups(docs, size, id_col, text_col, row).where("row != first_row").select(F.col("row").alias(row))
