@@ -382,3 +382,68 @@ def test_ownership_verdicts_against_plain_counts(spark):
         assert (x.spans != "") == live == bool(x.n_live)
         if live:
             assert (x.n_owners, x.n_repositories) == (owners, repositories)
+
+
+# The pipeline as a whole
+
+
+def test_pipeline_run_equals_plain_composition(spark, small, tmp_path):
+    import hashlib
+    import os
+    import shutil
+
+    import public_tokenizers
+    import tiktoken
+
+    import corpus_pipeline
+    from tidemill.llm import bpe, crf
+
+    shutil.copy(f"{small}/labels.parquet", tmp_path / "labels.parquet")
+    given_docs = spark.read.parquet(f"{small}/documents.parquet")
+    base = given_docs.collect()
+    more = [r for r in base if r.doc_id % 9 == 0]
+    made = [tuple(r) for r in base] + [(5000 + r.doc_id, r.text.upper(), *r[2:]) for r in more] + [(7000 + r.doc_id, r.text + " one more word at the end", *r[2:]) for r in more]
+    made += [(9000, None, "en", None, 0), (9001, "", "en", None, 0)]
+    spark.createDataFrame(made, given_docs.schema).repartition(4).write.parquet(path := str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(path)
+
+    chain = crf.train(docs, spark.read.parquet(str(tmp_path / "labels.parquet")))
+    kept = [r for r in crf.score_documents(docs, chain).collect() if r.score >= 0.5]
+    last = {}
+    for r in kept:
+        text = (r.text or "").encode().lower()
+        if text not in last or r.doc_id > last[text].doc_id:
+            last[text] = r
+    unique = list(last.values())
+    sets = []
+    for r in unique:
+        words = (r.text or "").encode().lower().split()
+        sets.append({b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    group = list(range(len(unique)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(unique)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((top(i), top(j)), key=lambda k: unique[k].doc_id)
+                group[b] = a
+    alone = [r for i, r in enumerate(unique) if top(i) == i]
+    assert len(base) > 100 and 0 < len(alone) < len(unique) < len(kept) < len(made)
+
+    mixed = mixing.mix(spark.createDataFrame([tuple(r)[:5] for r in alone], given_docs.schema))
+    times = {r.id: r.times for r in mixed.collect()}
+    ranks = bpe.parse_ranks(open(public_tokenizers.path(queries.BPE_RANKS), "rb").read())
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = Counter()
+    for r in alone:
+        ids = library.encode_ordinary(r.text or "")
+        digest = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        want[(r.doc_id, len(ids), digest, hashlib.sha256((r.text or "").encode()).hexdigest())] += times[r.doc_id]
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert Counter(tuple(r)[:4] for r in found.collect()) == +want
+    assert os.path.isdir(path)
