@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again
 as the next one's `docs`. All but the last return the columns of `documents`.
+
+A null text counts as empty throughout: it is scored as an empty line, is a copy of other empty texts, has no shingles and
+so no near copies, has no words to mix and no ids. A null id is kept; of copies it counts as the smallest in the exact
+stage and as the largest in the near one. A null source is a source of its own, after the others. Repeated rows are
+copies. Extra columns pass through, whatever their names. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group that Jaccard links connect."""
+    """Keep one document of each group that Jaccard links connect, that with the smallest id."""
     prepare(spark)
     return jaccard_join.drop_near_copies(docs)
 
