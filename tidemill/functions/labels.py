@@ -113,6 +113,23 @@ def change_label(change: Column, limit: float, up: str, down: str, flat: str) ->
     return first_match([(change > limit, up), (change < -limit, down)], flat)
 
 
+def inflation_regime(inflation: Column, rising: Column) -> Column:
+    """high above 4 percent; above 2, disinflation where it falls and moderate where not; low else; NULL if unknown."""
+    above = first_match([(inflation > 4, "high"), ((inflation > 2) & ~rising, "disinflation"), (inflation > 2, "moderate")], "low")
+    return F.when(inflation.isNotNull(), above)
+
+
+def growth_trend(growth: Column, before: Column) -> Column:
+    """Growth against the figure before; NULL if either is unknown."""
+    moved = first_match([(growth > before, "accelerating"), (growth < before, "decelerating")], "stable")
+    return F.when(growth.isNotNull() & before.isNotNull(), moved)
+
+
+def volatility_regime(rank: Column) -> Column:
+    """Thirds of the percent rank of volatility within its year; NULL if unknown."""
+    return F.when(rank.isNotNull(), first_match([(rank > 66.7, "high"), (rank < 33.3, "low")], "normal"))
+
+
 def inflation_asset_relation(inflation: Column, change: Column) -> Column:
     up, down = change > 0, change < 0
     return first_match(

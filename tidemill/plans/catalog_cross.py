@@ -269,6 +269,7 @@ ASOF JOIN x_close b ON b.asset = a.asset AND b.date < e.event_date
 _FILL = {
     "unemployment_rate": "unemployment_rate",
     "cpi_yoy": "inflation_rate_yoy",
+    "core_cpi_yoy": "core_cpi_yoy",
     "fed_funds_rate": "federal_funds_rate",
     "treasury_10y": "treasury_10y_rate",
     "yield_curve_spread": "treasury_10y_rate - treasury_2y_rate",
@@ -276,6 +277,9 @@ _FILL = {
     "m2_growth_yoy": "m2_growth_rate_yoy",
     "gdp_growth_yoy": "gdp_growth_rate_yoy",
 }
+TABLES["x_core"] = """
+SELECT *, (cpi_less_food_energy / lag(cpi_less_food_energy, 12) OVER (ORDER BY observation_date) - 1) * 100 AS core_cpi_yoy FROM x_yoy
+"""
 TABLES["x_cmd"] = (
     "WITH w AS (SELECT date, max(price) FILTER (asset = 'btc') AS btc_price_usd, max(price) FILTER (asset = 'sp500') AS sp500_close, "
     "max(price) FILTER (asset = 'gold') AS gold_price_usd, max(price) FILTER (asset = 'dxy') AS dxy_index FROM x_close GROUP BY 1), "
@@ -299,7 +303,7 @@ TABLES["x_cmd"] = (
     + " FROM c LEFT JOIN x_bar b ON b.symbol = 'BTCUSDT' AND b.trade_date = c.date "
     "LEFT JOIN x_coinstg k ON k.coin_id = 'bitcoin' AND k.price_date = c.date LEFT JOIN x_feel f ON f.value_date = c.date "
     + " ".join(
-        f"ASOF LEFT JOIN (SELECT observation_date AS d, {e} AS v FROM x_yoy WHERE ({e}) IS NOT NULL) g{i} ON c.date >= g{i}.d"
+        f"ASOF LEFT JOIN (SELECT observation_date AS d, {e} AS v FROM x_core WHERE ({e}) IS NOT NULL) g{i} ON c.date >= g{i}.d"
         for i, e in enumerate(_FILL.values())
     )
 )
@@ -307,7 +311,7 @@ _CMD = (
     "d: date | e: btc_price_usd sp500_close gold_price_usd dxy_index | f: btc_return_daily_pct sp500_return_daily_pct "
     "gold_return_daily_pct | f6: btc_volatility_30d btc_sp500_corr_30d btc_gold_corr_30d btc_dxy_corr_30d "
     "| e: btc_volume_usd | f2: btc_market_cap_usd | i: fear_greed_value | s: fear_greed_classification "
-    "| f: unemployment_rate cpi_yoy fed_funds_rate treasury_10y yield_curve_spread | f6: m2_billions | f: m2_growth_yoy"
+    "| f: unemployment_rate cpi_yoy core_cpi_yoy fed_funds_rate treasury_10y yield_curve_spread | f6: m2_billions | f: m2_growth_yoy"
 )
 register("crypto_macro_daily", _CMD, "SELECT * FROM x_cmd")(lambda s, sf: Cross(s, sf).daily)
 
@@ -324,6 +328,42 @@ register(
     "SELECT * FROM x_regime",
 )(lambda s, sf: cx.market_regime(Cross(s, sf).daily))
 
+register(
+    "inflation_hedge_daily",
+    "d: date | e: btc_price_usd | f6: btc_return_1y_pct cpi_yoy core_cpi_yoy btc_real_return_1y_pct gold_real_return_1y_pct "
+    "sp500_real_return_1y_pct btc_vs_gold_return inflation_hedge_score",
+    """
+WITH r AS (
+  SELECT c.asset, c.date, (c.price / p.price - 1) * 100 AS gain
+  FROM (SELECT *, CAST(date - INTERVAL 1 YEAR AS DATE) AS ago FROM x_close WHERE asset IN ('btc', 'gold', 'sp500')) c
+  ASOF LEFT JOIN x_close p ON p.asset = c.asset AND c.ago >= p.date),
+w AS (SELECT date, max(gain) FILTER (asset = 'btc') AS b, max(gain) FILTER (asset = 'gold') AS g, max(gain) FILTER (asset = 'sp500') AS s FROM r GROUP BY 1)
+SELECT d.date, btc_price_usd, b AS btc_return_1y_pct, cpi_yoy, core_cpi_yoy, b - cpi_yoy AS btc_real_return_1y_pct, g - cpi_yoy AS gold_real_return_1y_pct,
+       s - cpi_yoy AS sp500_real_return_1y_pct, b - g AS btc_vs_gold_return,
+       avg(CASE WHEN b > cpi_yoy THEN 1.0 WHEN b <= cpi_yoy THEN 0.0 END) OVER (ORDER BY d.date ROWS 364 PRECEDING) AS inflation_hedge_score
+FROM x_cmd d LEFT JOIN w ON w.date = d.date
+""",
+)(lambda s, sf: cx.inflation_hedge_daily(Cross(s, sf).daily, Market(s, sf).closes_of("btc", "gold", "sp500")))
+
+register(
+    "rate_analysis",
+    "d: date | e: btc_price_usd | f6: btc_return_mtd_pct btc_return_ytd_pct fed_funds_rate fed_funds_change_mtd treasury_10y real_rate_10y "
+    "btc_rate_sensitivity",
+    """
+WITH m AS (SELECT CAST(date_trunc('month', date) + INTERVAL 1 MONTH AS DATE) AS month, arg_max(btc_price_usd, date) AS p, max_by(fed_funds_rate, date) AS f FROM x_cmd GROUP BY 1),
+     l AS (SELECT CAST(date_trunc('month', date) + INTERVAL 1 MONTH AS DATE) AS month, fed_funds_rate AS f FROM x_cmd
+           QUALIFY row_number() OVER (PARTITION BY date_trunc('month', date) ORDER BY date DESC) = 1),
+     y AS (SELECT year(date) + 1 AS year, arg_max(btc_price_usd, date) AS p FROM x_cmd GROUP BY 1),
+     d AS (SELECT *, treasury_10y - lag(treasury_10y) OVER (ORDER BY date) AS moved FROM x_cmd),
+     v AS (SELECT *, CASE WHEN btc_return_daily_pct IS NOT NULL THEN moved END AS x, CASE WHEN moved IS NOT NULL THEN btc_return_daily_pct END AS r FROM d)
+SELECT v.date, btc_price_usd, (btc_price_usd / m.p - 1) * 100 AS btc_return_mtd_pct, (btc_price_usd / y.p - 1) * 100 AS btc_return_ytd_pct,
+       fed_funds_rate, fed_funds_rate - l.f AS fed_funds_change_mtd, treasury_10y, treasury_10y - cpi_yoy AS real_rate_10y,
+       CASE WHEN var_pop(x) OVER w > 1e-12 THEN covar_pop(r, x) OVER w / var_pop(x) OVER w END AS btc_rate_sensitivity
+FROM v LEFT JOIN m ON m.month = date_trunc('month', v.date) LEFT JOIN l ON l.month = date_trunc('month', v.date) LEFT JOIN y ON y.year = year(v.date)
+WINDOW w AS (ORDER BY v.date ROWS 89 PRECEDING)
+""",
+)(lambda s, sf: cx.rate_analysis(Cross(s, sf).daily))
+
 TABLES["x_scores"] = f"""
 WITH f AS (
   SELECT *, avg(btc_price_usd) OVER (ORDER BY date ROWS 49 PRECEDING) AS s50, avg(btc_price_usd) OVER (ORDER BY date ROWS 199 PRECEDING) AS s200,
@@ -332,12 +372,18 @@ WITH f AS (
   FROM x_cmd),
 g AS (SELECT gdp_growth_yoy AS growth, min(date) AS since, lag(gdp_growth_yoy) OVER (ORDER BY min(date)) AS growth_before
       FROM x_cmd WHERE gdp_growth_yoy IS NOT NULL GROUP BY 1),
-h AS (SELECT f.*, g.growth_before,
+i AS (SELECT cpi_yoy AS cpi, lag(cpi_yoy) OVER (ORDER BY min(date)) AS cpi_before FROM x_cmd WHERE cpi_yoy IS NOT NULL GROUP BY 1),
+h AS (SELECT f.*, g.growth_before, i.cpi_before,
              CASE WHEN btc_volatility_30d IS NOT NULL AND len(vols) > 1
                   THEN 100.0 * len(list_filter(vols, lambda x: x < btc_volatility_30d)) / (len(vols) - 1) END AS a,
              100 - fear_greed_value AS b, CASE WHEN yield_curve_spread < 0 THEN 100 ELSE 0 END AS c
-      FROM f LEFT JOIN g ON g.growth = f.gdp_growth_yoy)
+      FROM f LEFT JOIN g ON g.growth = f.gdp_growth_yoy LEFT JOIN i ON i.cpi = f.cpi_yoy)
 SELECT date AS regime_date,
+       CASE WHEN gdp_growth_yoy > growth_before THEN 'accelerating' WHEN gdp_growth_yoy < growth_before THEN 'decelerating'
+            WHEN gdp_growth_yoy = growth_before THEN 'stable' END AS gdp_growth_trend,
+       CASE WHEN cpi_yoy > 4 THEN 'high' WHEN cpi_yoy > 2 AND cpi_yoy < cpi_before THEN 'disinflation' WHEN cpi_yoy > 2 THEN 'moderate'
+            WHEN cpi_yoy <= 2 THEN 'low' END AS inflation_regime,
+       CASE WHEN a > 66.7 THEN 'high' WHEN a < 33.3 THEN 'low' WHEN a IS NOT NULL THEN 'normal' END AS volatility_regime,
        CASE WHEN gdp_growth_yoy > 0 AND gdp_growth_yoy >= growth_before THEN 'expansion' WHEN gdp_growth_yoy > 0 AND gdp_growth_yoy < growth_before THEN 'peak'
             WHEN gdp_growth_yoy <= 0 AND gdp_growth_yoy < growth_before THEN 'contraction' WHEN gdp_growth_yoy <= 0 AND gdp_growth_yoy >= growth_before THEN 'trough' END AS economic_cycle,
        CASE WHEN fed_funds_rate > 4.5 THEN 'hawkish' WHEN fed_funds_rate > 2 THEN 'neutral' ELSE 'dovish' END AS fed_stance,
@@ -351,7 +397,7 @@ FROM h
 """
 register(
     "market_regime_scores",
-    "d: regime_date | s: economic_cycle fed_stance liquidity_conditions risk_appetite btc_trend crypto_market_phase "
+    "d: regime_date | s: economic_cycle gdp_growth_trend inflation_regime volatility_regime fed_stance liquidity_conditions risk_appetite btc_trend crypto_market_phase "
     "| f6: risk_score opportunity_score",
     "SELECT * FROM x_scores",
 )(lambda s, sf: cx.market_regime_scores(Cross(s, sf).daily))

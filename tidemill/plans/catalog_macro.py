@@ -8,6 +8,7 @@ from tidemill import fixed_values as fv
 from tidemill.operators.timeseries import fill_calendar, series_resample, series_transform
 from tidemill.plans import macro as mc
 from tidemill.plans.macro import Macro
+from tidemill.plans.market import Market
 from tidemill.plans.oracle_tables import TABLES, case_of, sql_list
 from tidemill.plans.registry import register
 
@@ -203,15 +204,23 @@ def _debt_changes(s, sf):
 
 register(
     "us_monthly",
-    "i: year month | f: gdp_growth_yoy unemployment_rate cpi_yoy fed_funds_rate_avg treasury_10y_avg | f4: payrolls_change",
+    "i: year month | f: gdp_growth_yoy unemployment_rate cpi_yoy core_cpi_yoy pce_yoy fed_funds_rate_avg treasury_10y_avg "
+    "| f4: payrolls_change | f: sp500_return_pct",
     """
+WITH p AS (SELECT *, (cpi_less_food_energy / lag(cpi_less_food_energy, 12) OVER w - 1) * 100 AS core, (pce_price_index / lag(pce_price_index, 12) OVER w - 1) * 100 AS pce
+           FROM x_yoy WINDOW w AS (ORDER BY observation_date)),
+     s AS (SELECT year(date) AS sy, month(date) AS sm, arg_max(price, date) AS c FROM x_close WHERE asset = 'sp500' GROUP BY 1, 2),
+     r AS (SELECT sy, sm, (c / lag(c) OVER (ORDER BY sy, sm) - 1) * 100 AS sp500_return_pct FROM s),
+     m AS (
 SELECT observation_year AS year, observation_month AS month, avg(gdp_growth_rate_yoy) AS gdp_growth_yoy,
        avg(unemployment_rate) AS unemployment_rate, avg(inflation_rate_yoy) AS cpi_yoy, avg(federal_funds_rate) AS fed_funds_rate_avg,
        avg(treasury_10y_rate) AS treasury_10y_avg,
-       max(nonfarm_payroll) - lag(max(nonfarm_payroll)) OVER (ORDER BY observation_year, observation_month) AS payrolls_change
-FROM x_yoy GROUP BY 1, 2
+       max(nonfarm_payroll) - lag(max(nonfarm_payroll)) OVER (ORDER BY observation_year, observation_month) AS payrolls_change,
+       avg(core) AS core_cpi_yoy, avg(pce) AS pce_yoy
+FROM p GROUP BY 1, 2)
+SELECT m.*, r.sp500_return_pct FROM m LEFT JOIN r ON r.sy = m.year AND r.sm = m.month
 """,
-)(lambda s, sf: mc.us_monthly(Macro(s, sf).yoy))
+)(lambda s, sf: mc.us_monthly(Macro(s, sf).yoy, Market(s, sf).closes_of("sp500")))
 register(
     "us_quarterly",
     "i: year quarter | e: gdp_billions real_gdp_billions | f: unemployment_rate_avg inflation_avg fed_funds_rate_avg "
@@ -228,16 +237,22 @@ WINDOW w AS (ORDER BY year, quarter)
 register(
     "us_annual",
     "i: year | f6: gdp_billions real_gdp_billions unemployment_rate_avg total_jobs_added cpi_annual_avg fed_funds_rate_avg "
-    "fed_funds_rate_eoy gdp_growth_pct",
+    "fed_funds_rate_eoy gdp_growth_pct national_debt_billions debt_to_gdp_ratio sp500_return_pct",
     """
+WITH owed AS (SELECT year(record_date) AS dy, CAST(arg_max(total, record_date) AS DOUBLE) / 1e9 AS national_debt_billions FROM x_debt GROUP BY 1),
+     s AS (SELECT year(date) AS sy, arg_max(price, date) AS c FROM x_close WHERE asset = 'sp500' GROUP BY 1),
+     r AS (SELECT sy, (c / lag(c) OVER (ORDER BY sy) - 1) * 100 AS sp500_return_pct FROM s),
+     a AS (
 SELECT *, (real_gdp_billions / lag(real_gdp_billions) OVER (ORDER BY year) - 1) * 100 AS gdp_growth_pct
 FROM (SELECT observation_year AS year, avg(gdp_current_dollars) AS gdp_billions, avg(gdp_real_chained) AS real_gdp_billions,
              avg(unemployment_rate) AS unemployment_rate_avg,
              arg_max(nonfarm_payroll, observation_date) - arg_min(nonfarm_payroll, observation_date) AS total_jobs_added,
              avg(cpi_all_urban) AS cpi_annual_avg, avg(federal_funds_rate) AS fed_funds_rate_avg,
-             arg_max(federal_funds_rate, observation_date) AS fed_funds_rate_eoy FROM x_yoy GROUP BY 1)
+             arg_max(federal_funds_rate, observation_date) AS fed_funds_rate_eoy FROM x_yoy GROUP BY 1))
+SELECT a.*, national_debt_billions, national_debt_billions / gdp_billions AS debt_to_gdp_ratio, sp500_return_pct
+FROM a LEFT JOIN owed ON dy = a.year LEFT JOIN r ON sy = a.year
 """,
-)(lambda s, sf: mc.us_annual(Macro(s, sf).yoy))
+)(lambda s, sf: mc.us_annual(Macro(s, sf).yoy, Macro(s, sf).debt, Market(s, sf).closes_of("sp500")))
 register(
     "us_indicators_wide",
     "d: observation_date | e: gdp_billions real_gdp_billions unemployment_rate nonfarm_payrolls_thousands labor_force_participation "

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tidemill import fixed_values as fv
 from tidemill.functions import labels
 from tidemill.functions.scalars import last_known, pct_change, ratio
+from tidemill.operators.blocked import asof_join
 from tidemill.operators.timeseries import asof_last_known, dated, fill_calendar, last_rows, moving_avg, safe_corr, streaks
+from tidemill.plans.macro import price_changes
 
 MACRO_CONTEXT = [
     "cpi_all_urban", "inflation_rate_yoy", "unemployment_rate", "federal_funds_rate", "treasury_10y_rate",
@@ -253,10 +255,11 @@ def crypto_macro_daily(
         F.col("value").alias("fear_greed_value"),
         labels.sentiment_class(F.col("value")).alias("fear_greed_classification"),
     )
-    figures = macro.select(
+    figures = price_changes(macro).select(
         F.col("observation_date").alias("date"),
         "unemployment_rate",
         F.col("inflation_rate_yoy").alias("cpi_yoy"),
+        "core_cpi_yoy",
         F.col("federal_funds_rate").alias("fed_funds_rate"),
         F.col("treasury_10y_rate").alias("treasury_10y"),
         (F.col("treasury_10y_rate") - F.col("treasury_2y_rate")).alias("yield_curve_spread"),
@@ -281,21 +284,78 @@ def market_regime(daily: DataFrame) -> DataFrame:
     )
 
 
+def inflation_hedge_daily(daily: DataFrame, closes: DataFrame) -> DataFrame:
+    """Returns over a year, less inflation, of three assets per day, and how often the first beat inflation.
+
+    A year ago is the last close on or before that day. The score is the share of the last 365 rows with both figures.
+    """
+    back = closes.select("asset", "date", "price", F.add_months("date", -12).alias("day"))
+    then = closes.select("asset", F.col("date").alias("day"), F.col("price").alias("price_before"))
+    found = asof_join(back, then, ["asset"], "day", ["price_before"])
+    gains = found.groupBy("date").pivot("asset", ["btc", "gold", "sp500"]).agg(F.max(pct_change(F.col("price"), F.col("price_before"))))
+    both = daily.join(gains, "date", "left")
+    cpi = F.col("cpi_yoy")
+    beat = F.when(F.col("btc") > cpi, 1.0).when(F.col("btc") <= cpi, 0.0)
+    return both.select(
+        "date",
+        "btc_price_usd",
+        F.col("btc").alias("btc_return_1y_pct"),
+        "cpi_yoy",
+        "core_cpi_yoy",
+        *[(F.col(a) - cpi).alias(f"{a}_real_return_1y_pct") for a in ("btc", "gold", "sp500")],
+        (F.col("btc") - F.col("gold")).alias("btc_vs_gold_return"),
+        F.avg(beat).over(last_rows(365, "date")).alias("inflation_hedge_score"),
+    )
+
+
+def rate_analysis(daily: DataFrame) -> DataFrame:
+    """Returns and rate changes since the last row of the month and the year before, the real ten-year rate, and the slope
+    of daily returns on moves of the ten-year rate over 90 rows."""
+    month, year = F.trunc("date", "month"), F.year("date")
+    last = F.max_by(F.struct(F.col("btc_price_usd").alias("price"), F.col("fed_funds_rate").alias("rate")), "date")
+    months = daily.groupBy(F.add_months(month, 1).alias("_month")).agg(last.alias("_m"))
+    years = daily.groupBy((year + 1).alias("_year")).agg(F.max_by("btc_price_usd", "date").alias("_y"))
+    move = F.col("treasury_10y") - F.lag("treasury_10y").over(dated("date"))
+    rows = daily.withColumns({"_month": month, "_year": year, "_move": move})
+    rows = rows.join(months, "_month", "left").join(years, "_year", "left")
+    frame = last_rows(90, "date")
+    x = F.when(F.col("btc_return_daily_pct").isNotNull(), F.col("_move"))
+    r = F.when(F.col("_move").isNotNull(), F.col("btc_return_daily_pct"))
+    varies = F.var_pop(x).over(frame)
+    price, rate = F.col("btc_price_usd"), F.col("fed_funds_rate")
+    return rows.select(
+        "date",
+        price,
+        pct_change(price, F.col("_m.price")).alias("btc_return_mtd_pct"),
+        pct_change(price, F.col("_y")).alias("btc_return_ytd_pct"),
+        rate,
+        (rate - F.col("_m.rate")).alias("fed_funds_change_mtd"),
+        "treasury_10y",
+        (F.col("treasury_10y") - F.col("cpi_yoy")).alias("real_rate_10y"),
+        F.when(varies > 1e-12, F.covar_pop(r, x).over(frame) / varies).alias("btc_rate_sensitivity"),
+    )
+
+
 def market_regime_scores(daily: DataFrame) -> DataFrame:
     """Cycle, trend, phase and two scores from 0 to 100 per day."""
     w = dated("date")
     price = F.col("btc_price_usd")
     year = last_rows(365, "date")
-    growth_before = F.last(
-        F.when(F.col("gdp_growth_yoy") != F.coalesce(F.lead("gdp_growth_yoy").over(w), F.col("gdp_growth_yoy")), F.col("gdp_growth_yoy")),
-        ignorenulls=True,
-    ).over(w.rowsBetween(W.unboundedPreceding, -1))
+
+    def figure_before(c: str) -> Column:
+        """The last figure that differs from the one that followed it: figures are carried from day to day."""
+        ends = F.col(c) != F.coalesce(F.lead(c).over(w), F.col(c))
+        return F.last(F.when(ends, F.col(c)), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+
+    growth_before = figure_before("gdp_growth_yoy")
     featured = daily.withColumns(
         {
             "_sma50": moving_avg(price, 50, "date"),
             "_sma200": moving_avg(price, 200, "date"),
             "_month": pct_change(price, F.lag(price, 30).over(w)),
             "_rising": F.col("gdp_growth_yoy") >= growth_before,
+            "_growth_before": growth_before,
+            "_cpi_before": figure_before("cpi_yoy"),
             "_vols": F.collect_list("btc_volatility_30d").over(year),
         }
     )
@@ -320,6 +380,9 @@ def market_regime_scores(daily: DataFrame) -> DataFrame:
     scored = featured.select(
         F.col("date").alias("regime_date"),
         cycle.alias("economic_cycle"),
+        labels.growth_trend(growth, F.col("_growth_before")).alias("gdp_growth_trend"),
+        labels.inflation_regime(F.col("cpi_yoy"), F.coalesce(F.col("cpi_yoy") >= F.col("_cpi_before"), F.lit(True))).alias("inflation_regime"),
+        labels.volatility_regime(vol_rank).alias("volatility_regime"),
         labels.fed_stance(F.col("fed_funds_rate")).alias("fed_stance"),
         labels.money_regime(F.col("m2_growth_yoy")).alias("liquidity_conditions"),
         labels.risk_appetite(F.col("fear_greed_value")).alias("risk_appetite"),

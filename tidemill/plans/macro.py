@@ -307,18 +307,40 @@ def debt_changes(debt: DataFrame, gdp: DataFrame, population: float = 330e6) ->
 # --- rollups and wide tables ----------------------------------------------------------------
 
 
-def us_monthly(yoy: DataFrame) -> DataFrame:
+def price_changes(yoy: DataFrame) -> DataFrame:
+    """With core and consumption price changes over twelve rows."""
+    w = dated("observation_date")
+    return yoy.withColumns(
+        {
+            "core_cpi_yoy": pct_change(F.col("cpi_less_food_energy"), F.lag("cpi_less_food_energy", 12).over(w)),
+            "pce_yoy": pct_change(F.col("pce_price_index"), F.lag("pce_price_index", 12).over(w)),
+        }
+    )
+
+
+def period_returns(closes: DataFrame, periods: dict[str, Column]) -> DataFrame:
+    """Return of the last close of each period over that of the period before that has one."""
+    last = closes.groupBy(*[c.alias(n) for n, c in periods.items()]).agg(F.max_by("price", "date").alias("_close"))
+    before = F.lag("_close").over(W.orderBy(*periods))  # a row per period
+    return last.select(*periods, pct_change(F.col("_close"), before).alias("sp500_return_pct"))
+
+
+def us_monthly(yoy: DataFrame, sp500: DataFrame) -> DataFrame:
+    """Monthly averages of the indicators; `sp500` has (date, price) of the index."""
     payroll = F.max("nonfarm_payroll")
-    rolled = yoy.groupBy(F.col("observation_year").alias("year"), F.col("observation_month").alias("month")).agg(
+    rolled = price_changes(yoy).groupBy(F.col("observation_year").alias("year"), F.col("observation_month").alias("month")).agg(
         F.avg("gdp_growth_rate_yoy").alias("gdp_growth_yoy"),
         F.avg("unemployment_rate").alias("unemployment_rate"),
         payroll.alias("_payroll"),
         F.avg("inflation_rate_yoy").alias("cpi_yoy"),
+        F.avg("core_cpi_yoy").alias("core_cpi_yoy"),
+        F.avg("pce_yoy").alias("pce_yoy"),
         F.avg("federal_funds_rate").alias("fed_funds_rate_avg"),
         F.avg("treasury_10y_rate").alias("treasury_10y_avg"),
     )
     before = F.lag("_payroll").over(W.orderBy("year", "month"))
-    return rolled.withColumn("payrolls_change", F.col("_payroll") - before).drop("_payroll")
+    out = rolled.withColumn("payrolls_change", F.col("_payroll") - before).drop("_payroll")
+    return out.join(period_returns(sp500, {"year": F.year("date"), "month": F.month("date")}), ["year", "month"], "left")
 
 
 def us_quarterly(yoy: DataFrame) -> DataFrame:
@@ -340,7 +362,8 @@ def us_quarterly(yoy: DataFrame) -> DataFrame:
     )
 
 
-def us_annual(yoy: DataFrame) -> DataFrame:
+def us_annual(yoy: DataFrame, debt: DataFrame, sp500: DataFrame) -> DataFrame:
+    """Yearly summary; the debt is that of the year's last record, its ratio that to the year's mean product."""
     day = "observation_date"
     rolled = yoy.groupBy(F.col("observation_year").alias("year")).agg(
         F.avg("gdp_current_dollars").alias("gdp_billions"),
@@ -352,7 +375,12 @@ def us_annual(yoy: DataFrame) -> DataFrame:
         last_known("federal_funds_rate", day).alias("fed_funds_rate_eoy"),
     )
     real = F.col("real_gdp_billions")
-    return rolled.withColumn("gdp_growth_pct", pct_change(real, F.lag(real).over(W.orderBy("year"))))
+    grown = rolled.withColumn("gdp_growth_pct", pct_change(real, F.lag(real).over(W.orderBy("year"))))
+    owed = cast_debt_amounts(debt).groupBy(F.year("record_date").alias("year")).agg(
+        (last_known("tot_pub_debt_out_amt", "record_date") / 1e9).alias("national_debt_billions")
+    )
+    out = grown.join(owed, "year", "left").join(period_returns(sp500, {"year": F.year("date")}), "year", "left")
+    return out.withColumn("debt_to_gdp_ratio", ratio(F.col("national_debt_billions"), F.col("gdp_billions")))
 
 
 def us_indicators_wide(yoy: DataFrame) -> DataFrame:

@@ -480,6 +480,14 @@ class Market:
         asset = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("symbol")]
         return self.bar_table.select(asset.alias("asset"), F.col("trade_date").alias("date"), F.col("close_price").alias("price"))
 
+    def closes_of(self, *assets: str) -> DataFrame:
+        """Closes of some assets only, from their own trades."""
+        names = dict(zip(["btc", "eth", "sp500", "gold", "dxy"], adapters.MARKET_SYMBOLS))
+        chosen = {a: names[a] for a in assets}
+        asset = F.create_map(*[F.lit(x) for a, symbol in chosen.items() for x in (symbol, a)])[F.col("symbol")]
+        bars = daily_ohlcv(self.trades.where(F.col("symbol").isin(list(chosen.values()))))
+        return bars.select(asset.alias("asset"), F.col("trade_date").alias("date"), F.col("close_price").alias("price"))
+
     @cached_property
     def sentiment(self) -> DataFrame:
         return adapters.sentiment_index(self.spark, self.sf)
