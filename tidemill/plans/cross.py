@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -107,22 +105,29 @@ def returns_panel(closes: DataFrame, assets: list[str]) -> DataFrame:
 
 
 def correlation_matrix(closes: DataFrame, assets: list[str], lookback_days: int | None = None) -> DataFrame:
-    """Pairwise correlation of daily returns of a short asset list over a look-back.
+    """Pairwise correlation of daily returns of any number of assets over a look-back, on dates both trade.
 
-    All pairs are computed in one aggregate over the date panel; no self-join.
+    The returns of a date are brought together, a row per date, and paired there; pairs are reduced to their moments in
+    the same task, so what is shuffled after is a row per pair and task, and the plan does not grow with the assets.
     """
-    panel = returns_panel(closes, assets)
+    number = F.create_map(*[x for i, a in enumerate(assets) for x in (F.lit(a), F.lit(i))])[F.col("asset")]
+    before = F.lag("price").over(dated("date", "asset"))
+    returned = closes.where(F.col("asset").isin(assets)).withColumn("r", (ratio(F.col("price"), before) - 1) * 100)
     if lookback_days:
-        panel = panel.where(F.col("date") > F.date_sub(panel.agg(F.max("date")).scalar(), lookback_days))
-    pairs = list(combinations(assets, 2))
-    one = panel.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs])
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("asset_a"), F.lit(b).alias("asset_b"), F.col(f"`{a}|{b}`").alias("correlation"))
-            for a, b in pairs
-        ]
+        returned = returned.where(F.col("date") > F.date_sub(closes.agg(F.max("date")).scalar(), lookback_days))
+    returned = returned.groupBy("date", number.alias("i")).agg(F.max("r").alias("r")).where("r IS NOT NULL")
+    dates = returned.groupBy("date").agg(F.sort_array(F.collect_list(F.struct("i", "r"))).alias("day"))
+    firsts = dates.select(F.posexplode("day").alias("at", "a"), "day")
+    others = F.explode(F.slice("day", F.col("at") + 2, F.size("day")))
+    found = firsts.select("a", others.alias("b")).groupBy(F.col("a.i").alias("i"), F.col("b.i").alias("j")).agg(
+        safe_corr(F.col("a.r"), F.col("b.r")).alias("correlation")
+    )
+    spark, names = closes.sparkSession, F.array(*[F.lit(a) for a in assets])
+    last = F.lit(len(assets) - 1)
+    pairs = spark.range(max(0, len(assets) - 1)).select(F.col("id").cast("int").alias("i"), F.explode(F.sequence(F.col("id").cast("int") + 1, last)).alias("j"))
+    return pairs.join(found, ["i", "j"], "left").select(
+        F.get(names, F.col("i")).alias("asset_a"), F.get(names, F.col("j")).alias("asset_b"), "correlation"
     )
-    return one.select(F.inline(cells))
 
 
 def pair_correlation(closes: DataFrame, a: str, b: str, days: int = 90) -> DataFrame:
