@@ -277,3 +277,23 @@ def test_stream_skips_merged_batches(spark):
     ingest.upsert_stream(stream(), path, scratch_path(spark, "progress")).awaitTermination()  # its marks are lost: batch 0 again
     assert not [n for n in os.listdir(path.removeprefix("file:")) if n.startswith("batch=")]
     assert [tuple(r) for r in ingest.read_versioned(spark, path, ["k"], "v").collect()] == [("a", 1)]
+
+
+def test_rows_that_arrive_during_a_load_are_left_to_the_next(spark):
+    inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "loaded")
+    arrive = lambda *moments: spark.createDataFrame([(m,) for m in moments], "ingested_at timestamp").write.mode("append").parquet(inbox)
+    arrive(hours(1), hours(2))
+    store = inc.CheckpointStore(spark, scratch_path(spark, "marks"))
+
+    def fetch(start):
+        return spark.read.parquet(inbox).where(F.col("ingested_at") >= inc.at(start))
+
+    def write(batch):
+        arrive(hours(9))
+        batch.write.mode("append").parquet(out)
+
+    first = inc.incremental_load(store, "s", "t", fetch, write, now=hours(10))
+    assert first["records_processed"] == 2 == spark.read.parquet(out).count()
+    assert store.get("s", "t") == hours(2)
+    second = inc.incremental_load(store, "s", "t", fetch, lambda b: b.write.mode("append").parquet(out), lookback_hours=0, now=hours(20))
+    assert second["checkpoint_value"] == hours(9)

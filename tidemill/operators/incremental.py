@@ -188,13 +188,14 @@ def incremental_load(
 ) -> dict:
     """Fetch from the mark less an overlap (first run: some days back), write, advance the mark.
 
-    A failure is recorded and raised; the next run then starts from the last mark that succeeded.
+    The source is read once, so rows that arrive meanwhile are left to the next run. A failure is recorded and raised;
+    the next run then starts from the last mark that succeeded.
     """
     now = now or utc_now()
     mark = store.get(source, table, column)
     start = mark - timedelta(hours=lookback_hours) if mark else now - timedelta(days=first_days)
     try:
-        batch = fetch(start)
+        batch = materialize(fetch(start), "load")  # the source is read once: what is counted is what is written
         counted = batch.agg(F.count("*").alias("n"), F.max(column).cast("timestamp_ntz").alias("top")).first()
         if counted["n"] == 0:
             return {"status": "success", "records_processed": 0, "start_time": start}
