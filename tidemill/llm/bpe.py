@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidemill.llm.common import by_bytes, columns, read_bounded, small_batches, strings
+from tidemill.llm.common import by_bytes, columns, give_back, read_bounded, small_batches, strings, tidy
 
 BLOCK_BYTES = 3 << 20  # text whose words are replayed together
 CACHED_WORDS = 150_000  # words a task remembers, at most
@@ -195,7 +195,7 @@ class CorpusEncoder:
 
     def _finish(self, held: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
         known = self.known
-        new = [w for w in set().union(*(piece for _, piece in held)) if w not in known]
+        new = list(set().union(*(piece for _, piece in held)).difference(known))
         ids = self.replay.encode([word.encode() for word in new])
         known.update(zip(new, ids, strict=True))
         for k, piece in held:
@@ -243,8 +243,10 @@ def encode_documents(
                     ],
                     names=[id_col, "n_tokens", "ids"],
                 )
+                del ids
+                give_back()  # a block leaves many small objects behind
 
-    return small_batches(source).mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(tidy(run), schema)
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -265,5 +267,6 @@ def decode_documents(encoded: DataFrame, ranks_path: str, ids_col: str = "ids")
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in kept), pa.array(texts, pa.binary())], names=[*kept, "decoded"]
                 )
+            give_back()
 
-    return small_batches(encoded).mapInArrow(run, schema)
+    return small_batches(encoded).mapInArrow(tidy(run), schema)

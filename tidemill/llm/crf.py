@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import by_bytes, fresh_name, small_batches, utf8
+from tidemill.llm.common import by_bytes, fresh_name, small_batches, tidy, utf8
 from tidemill.llm.hashing import range_hashes
 
 BLOCK_BYTES = 1 << 19
@@ -251,7 +251,7 @@ def train(
                 names=["id", "label", "features", "length"],
             )
 
-    rows = small_batches(sample).mapInArrow(run, "id bigint, label int, features binary, length binary").collect()
+    rows = small_batches(sample).mapInArrow(tidy(run), "id bigint, label int, features binary, length binary").collect()
     rows.sort(key=lambda r: r.id)
     y = np.array([r.label for r in rows], float)
     if not rows or y.min() == y.max():
@@ -284,4 +284,4 @@ def score_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_
                     names.append(line_col)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return small_batches(docs).mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(tidy(run), schema)

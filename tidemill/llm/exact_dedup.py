@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import fuse
-from tidemill.llm.common import columns, fresh_name, numbered, small_batches, utf8
+from tidemill.llm.common import columns, fresh_name, numbered, small_batches, tidy, utf8
 from tidemill.session import materialize
 
 KEYS_PER_BUCKET = 200_000
@@ -67,7 +67,7 @@ def digest_rows(
                 [batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["row", "id", "digest"]
             )
 
-    return small_batches(source).mapInArrow(run, "row bigint, id bigint, digest binary")
+    return small_batches(source).mapInArrow(tidy(run), "row bigint, id bigint, digest binary")
 
 
 def bucket_of(digest: Column, buckets: int) -> Column:
@@ -147,7 +147,7 @@ def texts_of(docs: DataFrame, repeated: DataFrame, text_col: str, id_col: str, d
                 names=["digest", "id", "text"],
             )
 
-    return small_batches(source).mapInArrow(run, "digest binary, id bigint, text binary")
+    return small_batches(source).mapInArrow(tidy(run), "digest binary, id bigint, text binary")
 
 
 def exact_groups(

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import fuse
-from tidemill.llm.common import by_bytes, fresh_name, numbered, small_batches, utf8
+from tidemill.llm.common import by_bytes, fresh_name, give_back, numbered, small_batches, tidy, utf8
 from tidemill.llm.components import connected_components
 from tidemill.llm.hashing import mixed
 from tidemill.llm.shingles import shingle_sets
@@ -147,7 +147,6 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
         texts = utf8(batch.column(2))
         for lo, hi in by_bytes([len(t) for t in texts], BLOCK_BYTES):
             yield batch.slice(lo, hi - lo), shingle_sets(texts[lo:hi], size)
-    pa.default_memory_pool().release_unused()  # the worker waits for its next task
 
 
 def profiles(source: DataFrame, size: int) -> DataFrame:
@@ -182,7 +181,7 @@ def profiles(source: DataFrame, size: int) -> DataFrame:
         )
 
     schema = "row bigint, id bigint, n bigint, key binary, bits binary, outline binary, part int, chunk int, counts binary"
-    return small_batches(source).mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(tidy(run), schema)
 
 
 def sketch(found: DataFrame) -> np.ndarray:
@@ -270,7 +269,7 @@ def index_rows(source: DataFrame, counts: np.ndarray, partitions: int, size: int
             yield from pack(*held)
 
     schema = "target int, token binary, row binary, n binary, asked binary, place binary"
-    return small_batches(source).mapInArrow(run, schema)
+    return small_batches(source).mapInArrow(tidy(run), schema)
 
 
 def _dealt(token: np.ndarray, holders: np.ndarray, place: np.ndarray, row: int) -> tuple[np.ndarray, np.ndarray]:
@@ -425,6 +424,7 @@ def first_round(index: DataFrame) -> DataFrame:
     """Per index partition its lists of two and more holders and the pairs of the first comparison, all packed."""
 
     def reduce(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         lists = _unpacked(group)
         pairs = dict(zip(PACKED_PAIRS, (column.astype(np.int64).tobytes() for column in lists.star()), strict=True))
         return pd.DataFrame({"target": [key[0]], **{k: [v] for k, v in (lists.packed() | pairs).items()}})
@@ -443,7 +443,7 @@ def unpacked_pairs(live: DataFrame) -> DataFrame:
                 for k in range(0, len(columns[0]), PAIR_ROWS):
                     yield pa.RecordBatch.from_arrays([pa.array(c[k : k + PAIR_ROWS]) for c in columns], names=["a", "b", "shared", "asked"])
 
-    return live.select(*PACKED_PAIRS).mapInArrow(run, PAIRS)
+    return live.select(*PACKED_PAIRS).mapInArrow(tidy(run), PAIRS)
 
 
 def rows_of(live: DataFrame) -> DataFrame:
@@ -457,7 +457,7 @@ def rows_of(live: DataFrame) -> DataFrame:
                     some = distinct[k : k + PAIR_ROWS]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), target, np.int32)), pa.array(some)], names=["target", "row"])
 
-    return live.select("target", "row").mapInArrow(run, "target int, row bigint")
+    return live.select("target", "row").mapInArrow(tidy(run), "target int, row bigint")
 
 
 def mixed_lists(live: DataFrame, labels: DataFrame) -> DataFrame:
@@ -469,6 +469,7 @@ def mixed_lists(live: DataFrame, labels: DataFrame) -> DataFrame:
     known = rows_of(held).join(labels, "row").select("target", "row", "label")
 
     def reduce(key: tuple, group: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         lists = _unpacked(group)
         label = lists.row.copy()
         if len(known) and len(label):
@@ -551,7 +552,7 @@ def compared(values: DataFrame, pairs: DataFrame, total: int, shared: Callable[[
                         linked_b.append(row)
             yield pa.RecordBatch.from_arrays([pa.array(linked_a, pa.int64()), pa.array(linked_b, pa.int64())], names=["a", "b"])
 
-    return met.mapInArrow(run, "a bigint, b bigint")
+    return met.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def screened(found: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -605,7 +606,7 @@ def verified(source: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
             return 0
         return int(np.count_nonzero(a[np.minimum(a.searchsorted(b), n_a - 1)] == b))
 
-    sets = small_batches(source).mapInArrow(run, "row bigint, n bigint, value binary")
+    sets = small_batches(source).mapInArrow(tidy(run), "row bigint, n bigint, value binary")
     return compared(sets, pairs, total, shared)
 
 

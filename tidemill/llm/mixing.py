@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from tidemill.llm.common import fresh_name, small_batches, utf8
+from tidemill.llm.common import fresh_name, small_batches, tidy, utf8
 from tidemill.session import materialize
 
 ROWS_PER_BIN = 250_000
@@ -61,7 +61,7 @@ def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, quali
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64())], names=[*(f.name for f in kept), names["size"]])
 
     schema = StructType(list(kept)).add(names["size"], LongType())
-    return materialize(small_batches(rows).mapInArrow(run, schema), "measured"), names
+    return materialize(small_batches(rows).mapInArrow(tidy(run), schema), "measured"), names
 
 
 def narrow(table: DataFrame, names: dict[str, str], *more: Column) -> DataFrame:
