@@ -397,7 +397,14 @@ class Lists:
                         found_i, found_j, waiting = [], [], 0
         if found_i:
             screen()
-        return tuple(np.concatenate(c) for c in zip(*done, strict=True)) if done else tuple(np.empty(0, np.int64) for _ in range(4))
+        if not done:
+            return tuple(np.empty(0, np.int64) for _ in range(4))
+        a, b, shared, asked = (np.concatenate(c) for c in zip(*done, strict=True))
+        order = np.lexsort((b, a))
+        a, b, shared, asked = (c[order] for c in (a, b, shared, asked))
+        first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.empty(0, np.int64)
+        total = np.add.reduceat(shared, first) if len(a) else shared  # blocks have met some pairs more than once
+        return a[first], b[first], total, asked[first]
 
     def mixed(self, label: np.ndarray) -> np.ndarray:
         """Which positions belong to lists of two labels and more."""
@@ -487,8 +494,11 @@ def mixed_lists(live: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _labelled(group: pd.DataFrame) -> tuple[Lists, np.ndarray]:
-    """The lists of one partition of `mixed_lists`, and the labels in their order, which that function has kept."""
-    return _unpacked(group), np.concatenate([np.frombuffer(b, np.int64) for b in group["label"]])
+    """The lists of one or more partitions of `mixed_lists`, and the label at each place; a row has the same everywhere."""
+    lists = _unpacked(group)
+    rows, first = np.unique(np.concatenate([np.frombuffer(b, np.int64) for b in group["row"]]), return_index=True)
+    labels = np.concatenate([np.frombuffer(b, np.int64) for b in group["label"]])[first]
+    return lists, labels[rows.searchsorted(lists.row)]
 
 
 def _pair_frame(pairs: tuple[np.ndarray, ...]) -> pd.DataFrame:
@@ -505,10 +515,15 @@ def near_pairs(mixed: DataFrame, salt: int) -> DataFrame:
     return mixed.groupBy("target").applyInPandas(reduce, PAIRS)
 
 
-def all_pairs(mixed: DataFrame, found: DataFrame) -> DataFrame:
-    """All pairs of holders whose labels differ and whose outlines, in `profiles`, let them link."""
+def all_pairs(mixed: DataFrame, found: DataFrame, groups: int) -> DataFrame:
+    """All pairs of holders whose labels differ and whose outlines, in `profiles`, let them link.
+
+    The lists that are left are few: several partitions make one group, so that a pair is met, and an outline sent, fewer
+    times.
+    """
+    mixed = mixed.withColumn("target", (F.col("target") % groups).cast("int"))
     known = found.where(F.col("row").isNotNull()).select("row", "n", "outline")
-    known = rows_of(mixed).join(known, "row").select("target", "row", "n", "outline")
+    known = rows_of(mixed).distinct().join(known, "row").select("target", "row", "n", "outline")
 
     def reduce(key: tuple, group: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(group):
@@ -644,7 +659,7 @@ def jaccard_groups(
         labels = connected_components(found_links)
         label_of = node_of.join(labels, "node", "left").select("row", F.coalesce("label", "node").alias("label"))
         live = materialize(mixed_lists(live, label_of.where(F.col("row") != F.col("label"))), "mixed")
-        pairs = all_pairs(live, found) if salt is None else near_pairs(live, salt)
+        pairs = all_pairs(live, found, max(16, partitions // 4)) if salt is None else near_pairs(live, salt)
         found_links = materialize(found_links.unionByName(links(screened(found, enough(pairs)))), "links")
     labels = connected_components(found_links)
 
