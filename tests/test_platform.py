@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill import schemas
+from tidemill import schemas, session
 from tidemill.operators import incremental as inc
 from tidemill.operators import quality as dq
 from tidemill.plans.guard import StatementRefused, capped_query, check_statement
@@ -271,3 +271,15 @@ def test_replayed_batch_does_not_double_rows(spark):
     target = scratch_path(spark, "compacted")
     ingest.compact(spark, path, target, ["k"], "v")
     assert spark.read.parquet(target).count() == 1
+
+
+@pytest.mark.parametrize(("named", "used"), [(None, 16 << 20), ("64MB", 16 << 20), ("67108864", 16 << 20), ("8m", 8 << 20), ("16k", 16 << 10)])
+def test_tasks_are_put_together_from_few_bytes(spark, named, used):
+    key = session.TASK_BYTES_KEY
+    kept = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key) if named is None else spark.conf.set(key, named)
+        session.prepare(spark)
+        assert session.size_in_bytes(spark.conf.get(key)) == used
+    finally:
+        spark.conf.unset(key) if kept is None else spark.conf.set(key, kept)
