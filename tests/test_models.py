@@ -229,3 +229,19 @@ def test_event_impact_keeps_events_before_the_first_close(spark):
     assert [got[e, "late"] for e in ("e1", "e2", "e3")] == [gone, gone, gone] and got["e1", "old"] == gone
     assert got["e4", "late"] == (56.0, pytest.approx(100 / 56), pytest.approx(300 / 56))
     assert got["e2", "old"] == (101.0, pytest.approx(100 / 101), pytest.approx(300 / 101))
+
+
+def test_top_products_moves_items_once(spark):
+    """Items repeat per review and per copy of their product; they are hashed by order only, and grouped once."""
+    orders = order(spark, [(o, "c", status, T0, None, None, None, None) for o, status in (("a", "created"), ("b", "created"), ("c", "canceled"), ("d", None))])
+    items = spark.createDataFrame(
+        [("a", "p", 1.0, 0.5), ("a", "p", 2.0, 0.5), ("a", "q", 4.0, None), ("b", "p", 8.0, 0.0), ("b", None, 9.0, 0.0), ("c", "p", 9.0, 0.0), (None, "p", 9.0, 0.0), ("d", "p", 9.0, 0.0)],
+        "order_id string, product_id string, price double, freight_value double",
+    ).withColumns({c: F.col(c).cast("decimal(10,2)") for c in ("price", "freight_value")})
+    products = spark.createDataFrame([("p", "x"), ("q", None), ("q", "x")], "product_id string, product_category_name string")
+    reviews = spark.createDataFrame([("a", 5), ("a", 2), ("a", None)], "order_id string, review_score int")
+    found = dashboard.top_products(orders, items, products, reviews)
+    got = [tuple(r) for r in found.collect()]
+    assert got == [("x", 20.0, 2, 3.5), ("unknown", None, 1, 3.5)]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "order_id" in plan and not any("product_id" in line for line in plan.splitlines() if "Aggregate" in line)
