@@ -209,6 +209,47 @@ def test_jaccard_bitmaps_bound_the_overlap(both, only_a, only_b, seed):
     assert jaccard_join.most_shared(len(a), bits[0], len(a), bits[0]) == len(a)
 
 
+@given(st.lists(st.tuples(st.integers(5, 60), st.integers(0, 2**32)), min_size=2, max_size=8))
+@settings(max_examples=100, deadline=None)
+def test_jaccard_marks_bound_the_shared_prefix(made):
+    """All pairs of rows whose prefixes come from few shingles, against the counts that `_possible` allows."""
+    n = np.array([x for x, _ in made])
+    tokens = [np.random.default_rng(seed).permutation(90).astype(np.uint64)[: max(1, x // 4)] for x, seed in made]
+    packed = [np.column_stack([t % 70, np.arange(1, len(t) + 1)]).astype(np.uint16).tobytes() for t in tokens]  # some hashes are equal
+    asked = np.full(len(n), 2)
+    a, b = (np.array(x) for x in zip(*combinations(range(len(n)), 2), strict=True))
+    got = jaccard_join.Marks(np.arange(len(n)) * 7, n, packed).most_shared(a * 7, b * 7, np.full(len(a), 2))
+    for i, j, most in zip(a, b, got, strict=True):
+        _, x, y = np.intersect1d(tokens[i], tokens[j], return_indices=True)
+        room = np.minimum(n[i] - x - 1, n[j] - y - 1) + asked[i] >= jaccard_join.overlap(n[i], n[j])
+        assert np.count_nonzero(room) <= most <= len(tokens[i])
+
+
+def test_jaccard_last_round_makes_only_pairs_that_share_enough(spark, monkeypatch):
+    """Copies too far from each other to link: rows are made of pairs that share as many prefix shingles as they have to."""
+    r = np.random.default_rng(3)
+    near = []
+    for _ in range(250):
+        w = [f"w{k}" for k in range(90)]
+        for k in r.choice(90, r.integers(3, 6), replace=False):
+            w[k] = f"v{r.integers(0, 12)}"
+        near.append(" ".join(w))
+    spark.createDataFrame(list(enumerate(near)), "doc_id long, text string").write.parquet(path := scratch_path(spark, "near"))
+    counts = []
+
+    def counted(live, found, groups, plain=jaccard_join.all_pairs):
+        pairs = session.materialize(plain(live, found, groups), "pairs")
+        counts.append((pairs.select("a", "b").distinct().count(), jaccard_join.enough(pairs).count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "all_pairs", counted)
+    sets, group = plain_groups(near)
+    want = [(k, len(s), min(i for i, x in enumerate(group) if x == g)) for k, (s, g) in enumerate(zip(sets, group, strict=True))]
+    assert rows(jaccard_join.jaccard_groups(spark.read.parquet(path)), "id", "n_shingles", "component_id") == sorted(want, key=repr)
+    ((made, enough),) = counts
+    assert made <= enough + 5
+
+
 def test_jaccard_groups(odd, documents, none, spark):
     r = np.random.default_rng(5)
     base = [f"w{k}" for k in range(60)]

@@ -11,8 +11,9 @@ if its places leave room for the overlap that the two sizes need.
 Links are looked for in rounds. First each shingle's holders are compared with one of them, then those not yet
 brought together with a few others, which finds groups of copies at a cost in proportion to their size. In the
 last round all holders that these links have not brought together are compared with each other, so no link between
-two components is lost, and no pair within one is made; a pair becomes a row only if the outlines of both, one or two bits
-per shingle sent along with the lists, leave room for the overlap. Candidates are verified on whole sets, after those
+two components is lost, and no pair within one is made; a pair becomes a row only if what is sent along with the lists
+leaves room for a link: the outlines of both, one or two bits per shingle, and short hashes of the whole prefixes, by which
+the pair shares as many as it has to, wherever its other shingles are listed. Candidates are verified on whole sets, after those
 whose bitmaps of hashed shingles, at most a byte per shingle, already bound the overlap too low. Equal sets are one
 node from the start.
 
@@ -142,6 +143,43 @@ class Bitmaps:
         return good
 
 
+class Marks:
+    """Two-byte hashes and places of the shingles that many rows have in lists, all lists and not only those of one partition."""
+
+    def __init__(self, rows: np.ndarray, sizes: np.ndarray, marks: list[bytes]):
+        order = np.argsort(rows, kind="stable")
+        self.rows, self.sizes = rows[order], sizes[order]
+        self.count = np.array([len(m) // 4 for m in marks], np.int64)[order]
+        self.start = np.cumsum(self.count) - self.count
+        self.mark, self.place = np.frombuffer(b"".join(marks[i] for i in order), np.uint16).reshape(-1, 2).astype(np.int64).T
+        held = np.repeat(np.arange(len(rows)), self.count) << 16 | self.mark
+        order = np.lexsort((self.place, held))
+        self.held, self.held_place = held[order], self.place[order]
+
+    def most_shared(self, a: np.ndarray, b: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """Per pair of rows an upper bound of the listed shingles that both have at places that `_possible` accepts."""
+        i, j = self.rows.searchsorted(a), self.rows.searchsorted(b)
+        i, j = np.where(self.count[i] <= self.count[j], i, j), np.where(self.count[i] <= self.count[j], j, i)
+        spare = asked - overlap(self.sizes[i], self.sizes[j])
+        last_i, last_j = self.sizes[i] + spare, self.sizes[j] + spare
+        out = np.zeros(len(a), np.int64)
+        ends = np.cumsum(self.count[i])
+        lo = 0
+        while lo < len(a):  # blocks of bounded size
+            hi = max(lo + 1, int(ends.searchsorted(ends[lo] - self.count[i[lo]] + PAIR_BYTES // 8, side="right")))
+            n = self.count[i[lo:hi]]
+            of = np.repeat(np.arange(lo, hi), n)
+            at = np.arange(len(of)) + np.repeat(self.start[i[lo:hi]] - (np.cumsum(n) - n), n)
+            near = self.place[at] <= last_i[of]
+            of, at = of[near], at[near]
+            key = j[of] << 16 | self.mark[at]
+            met = np.minimum(self.held.searchsorted(key), len(self.held) - 1)  # of equal hashes of a row, the first place
+            good = (self.held[met] == key) & (self.held_place[met] <= last_j[of])
+            out[lo:hi] = np.bincount(of[good] - lo, minlength=hi - lo)
+            lo = hi
+        return out
+
+
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         texts = utf8(batch.column(2))
@@ -362,8 +400,8 @@ class Lists:
         good = 4 * np.minimum(self.n[i], self.n[j]) >= 3 * np.maximum(self.n[i], self.n[j])
         return self.counted(i[good], j[good], whole=True)
 
-    def between(self, label: np.ndarray, bitmaps: Bitmaps) -> tuple[np.ndarray, ...]:
-        """Each holder with every other of its list that has another label, as far as bitmaps let them link.
+    def between(self, label: np.ndarray, bitmaps: Bitmaps, marks: Marks) -> tuple[np.ndarray, ...]:
+        """Each holder with every other of its list that has another label, as far as bitmaps and marks let them link.
 
         Pairs are made and screened in blocks of bounded size.
         """
@@ -373,6 +411,8 @@ class Lists:
         def screen() -> None:
             pairs = self.counted(np.concatenate(found_i), np.concatenate(found_j))
             good = bitmaps.may_link(pairs[0], pairs[1])
+            pairs = tuple(column[good] for column in pairs)
+            good = marks.most_shared(pairs[0], pairs[1], pairs[3]) >= pairs[3]
             done.append(tuple(column[good] for column in pairs))
 
         for length in np.unique(self.length).tolist():
@@ -467,6 +507,26 @@ def rows_of(live: DataFrame) -> DataFrame:
     return live.select("target", "row").mapInArrow(tidy(run), "target int, row bigint")
 
 
+def marks_of(lists: DataFrame) -> DataFrame:
+    """(row, marks) per holder: hashes and places, for `Marks`, of its shingles in the lists of all partitions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cells in zip(*batch.columns, strict=True):
+                token, rows, place = (np.frombuffer(c.as_py(), PACKED[name]) for c, name in zip(cells, ("token", "row", "place"), strict=True))
+                marks = np.column_stack([mixed(token) >> np.uint64(48), np.minimum(place, 0xFFFF)]).astype(np.uint16)
+                marks = marks[np.argsort(rows, kind="stable")]
+                distinct, count = np.unique(rows, return_counts=True)
+                ends = np.append(0, np.cumsum(count)).tolist()
+                for k in range(0, len(distinct), PAIR_ROWS):
+                    some = distinct[k : k + PAIR_ROWS]
+                    packed = [marks[ends[i] : ends[i + 1]].tobytes() for i in range(k, k + len(some))]
+                    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(packed, pa.binary())], names=["row", "marks"])
+
+    parts = lists.select("token", "row", "place").mapInArrow(tidy(run), "row bigint, marks binary")
+    return parts.groupBy("row").agg(F.collect_list("marks").alias("marks"))
+
+
 def mixed_lists(live: DataFrame, labels: DataFrame) -> DataFrame:
     """The lists whose holders' labels (row, label) differ, with the label of each; once alike, they stay alike.
 
@@ -516,21 +576,23 @@ def near_pairs(mixed: DataFrame, salt: int) -> DataFrame:
 
 
 def all_pairs(mixed: DataFrame, found: DataFrame, groups: int) -> DataFrame:
-    """All pairs of holders whose labels differ and whose outlines, in `profiles`, let them link.
+    """All pairs of holders whose labels differ and whose outlines, in `profiles`, and marks let them link.
 
-    The lists that are left are few: several partitions make one group, so that a pair is met, and an outline sent, fewer
+    A pair whose shingles in all lists are too few for it is not made, so that what a large group of copies shares by
+    chance makes no rows. The lists that are left are few: several partitions make one group, so that a pair is met, and an outline sent, fewer
     times.
     """
     mixed = mixed.withColumn("target", (F.col("target") % groups).cast("int"))
-    known = found.where(F.col("row").isNotNull()).select("row", "n", "outline")
-    known = rows_of(mixed).distinct().join(known, "row").select("target", "row", "n", "outline")
+    known = found.where(F.col("row").isNotNull()).select("row", "n", "outline").join(marks_of(mixed), "row")
+    known = rows_of(mixed).distinct().join(known, "row").select("target", "row", "n", "outline", "marks")
 
     def reduce(key: tuple, group: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(group):
             return _pair_frame(tuple(np.empty(0, np.int64) for _ in range(4)))
         lists, label = _labelled(group)
         bitmaps = Bitmaps(known["row"].to_numpy(np.int64), known["n"].to_numpy(np.int64), known["outline"].tolist())
-        return _pair_frame(lists.between(label, bitmaps))
+        marks = Marks(known["row"].to_numpy(np.int64), known["n"].to_numpy(np.int64), [b"".join(m) for m in known["marks"]])
+        return _pair_frame(lists.between(label, bitmaps, marks))
 
     return mixed.groupBy("target").cogroup(known.groupBy("target")).applyInPandas(reduce, PAIRS)
 
