@@ -3,7 +3,7 @@
 import hashlib
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -19,6 +19,7 @@ import corpus_pipeline
 from tidemill import session
 from tidemill.llm import bpe, common, crf, exact_dedup, fuse, jaccard_join, mixing, queries, secrets, token_counts, token_files, topk, warc
 from tidemill.llm.components import connected_components
+from tidemill.llm.shingles import shingle_sets
 from tidemill.llm.tokenizer_files import WordMemory, load, safe_pieces
 from tidemill.session import scratch_path
 
@@ -250,6 +251,34 @@ def test_jaccard_last_round_makes_only_pairs_that_share_enough(spark, monkeypatc
     assert made <= enough + 5
 
 
+@pytest.mark.parametrize("compare", ["star", "near"])
+def test_jaccard_near_copies_close_whatever_comes_first(compare):
+    """Texts too far from a large group of near copies come before it: the first comparisons join nearly all of it."""
+    r = np.random.default_rng(8)
+
+    def copy(edits: int) -> bytes:
+        w = [f"w{k}" for k in range(150)]
+        for k in r.choice(150, edits, replace=False):
+            w[k] = f"v{r.integers(1 << 40)}"
+        return " ".join(w).encode()
+
+    sets = shingle_sets([copy(5) for _ in range(20)] + [copy(2) for _ in range(300)], 5)
+    counts = np.bincount((np.concatenate(sets) >> np.uint64(64 - jaccard_join.SKETCH_BITS)).astype(np.int64), minlength=1 << jaccard_join.SKETCH_BITS)
+    found = [jaccard_join.prefix(s, counts, 0.0) for s in sets]
+    token = np.concatenate([t for t, _, _ in found])
+    row = np.repeat(np.arange(len(sets)), [len(t) for t, _, _ in found])
+    n, asked = np.array([len(s) for s in sets])[row], np.array([a for _, _, a in found])[row]
+    lists = jaccard_join.Lists(token, row, n, asked, np.concatenate([np.arange(1, len(t) + 1) for t, _, _ in found]))
+    a, b, shared, least = lists.star() if compare == "star" else lists.near(lists.row, 1)
+    assert len(a) < 40 * len(sets)  # in proportion to the rows and the shingles of a prefix
+    label = np.arange(len(sets))
+    for x, y in zip(a[shared >= least], b[shared >= least], strict=True):
+        both = len(np.intersect1d(sets[x], sets[y]))
+        if 100 * both >= 75 * (len(sets[x]) + len(sets[y]) - both):
+            label[label == label[y]] = label[x]
+    assert max(Counter(label.tolist()).values()) > 250
+
+
 def test_jaccard_groups(odd, documents, none, spark):
     r = np.random.default_rng(5)
     base = [f"w{k}" for k in range(60)]

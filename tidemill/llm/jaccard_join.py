@@ -8,8 +8,9 @@ the length of its prefix, that makes its estimated cost least: candidates met al
 left to verify, which fall as more shared shingles are asked for. A shared shingle counts for a pair only
 if its places leave room for the overlap that the two sizes need.
 
-Links are looked for in rounds. First each shingle's holders are compared with one of them, then those not yet
-brought together with a few others, which finds groups of copies at a cost in proportion to their size. In the
+Links are looked for in rounds. First each shingle's holders are compared with the one that has fewest rarer shingles,
+which of near copies is the least changed, then those not yet brought together with a few others, which finds groups of
+copies at a cost in proportion to their size. In the
 last round all holders that these links have not brought together are compared with each other, so no link between
 two components is lost, and no pair within one is made; a pair becomes a row only if what is sent along with the lists
 leaves room for a link: the outlines of both, one or two bits per shingle, and short hashes of the whole prefixes, by which
@@ -55,6 +56,8 @@ LEAST_PARTITIONS = 64
 FLUSH_ROWS = 200_000
 HOT_ROWS = 100_000
 GROUP_ROWS = 128
+LONG_LIST = 16  # holders of a list from which `near` looks beyond its commonest label
+RING_TRIES = 2
 BLOCK_BYTES = 1 << 19
 PAIR_BYTES = 1 << 22  # of bitmaps compared at once
 PAIRS_HELD = 1 << 18
@@ -335,10 +338,10 @@ def _possible(sizes: np.ndarray, asked: np.ndarray, place: np.ndarray, i: np.nda
 
 
 class Lists:
-    """The lists of holders of one index partition that have two holders or more."""
+    """The lists of holders of one index partition that have two holders or more, those with fewest rarer shingles first."""
 
     def __init__(self, token, row, n, asked, place):
-        order = np.lexsort((row, token))
+        order = np.lexsort((row, place, token))
         token = token[order]
         edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.empty(0, np.int64)
         length = np.diff(np.append(edge, len(token)))
@@ -353,18 +356,20 @@ class Lists:
     def counted(self, i: np.ndarray, j: np.ndarray, whole: bool = False) -> tuple[np.ndarray, ...]:
         """(a, b, shared, asked) per pair of rows, from pairs of positions."""
         a, b = np.minimum(self.row[i], self.row[j]), np.maximum(self.row[i], self.row[j])
-        if whole:  # all shared prefix shingles are counted: those of the overlap that lie beyond a prefix are few
+        asked = np.minimum(self.asked[i], self.asked[j])
+        if whole:  # those of the overlap that lie beyond a prefix are few; half, as a pair is not met in lists where others come first
             beyond = [(3 * self.n[k] + 3) // 4 - self.asked[k] for k in (i, j)]
-            asked = overlap(self.n[i], self.n[j]) - np.maximum(*beyond)
-        else:
-            asked = np.minimum(self.asked[i], self.asked[j])
+            asked = np.maximum(asked, (overlap(self.n[i], self.n[j]) - np.maximum(*beyond) + 1) // 2)
         order = np.lexsort((b, a))
         a, b, asked = a[order], b[order], asked[order]
         first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
         return a[first], b[first], np.diff(np.append(first, len(a))), asked[first]
 
     def star(self) -> tuple[np.ndarray, ...]:
-        """Each holder with the first of its list; a pair missed here, as lists may start apart, is left to `between`."""
+        """Each holder with the first of its list; a pair missed here, as lists may start apart, is left to `between`.
+
+        Of near copies the first has the fewest shingles of its own, and so links with more of them than any other.
+        """
         i = np.repeat(self.start, self.length)
         j = np.arange(len(self.row))
         n_i, n_j = self.n[i], self.n[j]
@@ -374,7 +379,9 @@ class Lists:
     def near(self, label: np.ndarray, salt: int, tries: int = 4) -> tuple[np.ndarray, ...]:
         """Each holder outside the commonest label of its list with a few holders of that label, which hashes choose.
 
-        The same few are chosen wherever a holder meets them. Pairs missed here are left to `between`.
+        In a long list where no label has most holders, each is compared with the next few of the list, whatever their label:
+        a group of near copies closes however the holder that `star` chose happens to differ. The same few are chosen wherever a
+        holder meets them. Pairs missed here are left to `between`.
         """
         if not len(self.row):
             return self.counted(np.empty(0, np.int64), np.empty(0, np.int64))
@@ -397,6 +404,14 @@ class Lists:
         at = start[owner[out], None] + (ahead[out, None] - start[owner[out], None] + k) % count[owner[out], None]
         good = k < count[owner[out], None]
         i, j = np.broadcast_to(out[:, None], at.shape)[good], held[at[good]]
+        open_list = (self.length >= LONG_LIST) & (2 * count < self.length)
+        of = np.flatnonzero(open_list[owner])  # places in the ring, which has the lists in the same order
+        ahead = self.start[owner[of], None] + (of[:, None] - self.start[owner[of], None] + 1 + np.arange(RING_TRIES)) % self.length[owner[of], None]
+        i, j = np.append(i, np.repeat(ring[of], RING_TRIES)), np.append(j, ring[ahead.ravel()])
+        pair = np.unique(np.minimum(i, j) * len(ring) + np.maximum(i, j))  # once in a list, whichever way it is met
+        i, j = np.divmod(pair, len(ring))
+        good = label[i] != label[j]
+        i, j = i[good], j[good]
         good = 4 * np.minimum(self.n[i], self.n[j]) >= 3 * np.maximum(self.n[i], self.n[j])
         return self.counted(i[good], j[good], whole=True)
 
