@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -251,6 +252,68 @@ def test_jaccard_last_round_makes_only_pairs_that_share_enough(spark, monkeypatc
     assert made <= enough + 5
 
 
+def test_jaccard_last_round_sends_a_row_to_few_groups(spark, monkeypatch):
+    """Each text shares a half with one and a half with another: outlines go to the groups of a row's partners, not of its shingles."""
+    n = 60
+    made = [" ".join(f"p{k % n}x{j}" for k in (i, i + 1) for j in range(300)) for i in range(n)]
+    spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").write.parquet(path := scratch_path(spark, "halves"))
+    sent = []
+
+    def counted(live, found, groups, plain=jaccard_join.all_pairs):
+        grouped = live.withColumn("target", (F.col("target") % groups).cast("int"))
+        sent.append(jaccard_join.rows_of(grouped).distinct().count())
+        return plain(live, found, groups)
+
+    monkeypatch.setattr(jaccard_join, "all_pairs", counted)
+    sets, group = plain_groups(made)
+    assert len(set(group)) == n
+    want = [(k, len(s), k) for k, s in enumerate(sets)]
+    assert rows(jaccard_join.jaccard_groups(spark.read.parquet(path)), "id", "n_shingles", "component_id") == sorted(want, key=repr)
+    assert 0 < sent[0] <= 2 * len(made)
+
+
+@pytest.mark.parametrize(("limit", "checked"), [(500_000, 512), (1, 512), (500_000, 3)])
+def test_jaccard_led_lists_keep_every_pair(spark, monkeypatch, limit, checked):
+    """Grouped by leaders, large leaders dealt further or not, lists give the pairs that they gave before."""
+    r = np.random.default_rng(6)
+    row = np.repeat(np.arange(150), 20)
+    n, asked = r.integers(60, 140, 150)[row], r.integers(1, 4, 150)[row]
+    lists = jaccard_join.Lists(r.integers(0, 400, 3000).astype(np.uint64), row, n, asked, np.tile(np.arange(1, 21), 150))
+    label = lists.row // 3
+
+    def pairs(lists, label):
+        return Counter(tuple(sorted(x)) for i, j in lists.possible(label) for x in zip(lists.row[i].tolist(), lists.row[j].tolist(), strict=True))
+
+    monkeypatch.setattr(jaccard_join, "PARTITION_ROWS", limit)
+    monkeypatch.setattr(jaccard_join, "LONG_CHECKED", checked)
+    live = spark.createDataFrame([(0, *lists.packed().values(), label.tobytes())], f"{jaccard_join.LISTS}, label binary")
+    got = jaccard_join.led_lists(live, 1, 4).toPandas()
+    assert set(got["target"]) == {0, 1, 2, 3}
+    held = [jaccard_join._labelled(group) for _, group in got.groupby("target")]
+    assert sum((pairs(*x) for x in held), Counter()) == pairs(lists, label)
+    if checked == 512:
+        assert sum(len(x.row) for x, _ in held) < len(lists.row)
+
+
+@pytest.mark.parametrize("drop", [jaccard_join.jaccard_groups, jaccard_join.drop_near_copies])
+def test_scratch_goes_when_no_longer_needed(spark, documents, drop):
+    """Left are the tables that the result reads: small ones, and of what keeps the documents their numbered copy."""
+
+    def files() -> tuple[set[str], set[str]]:
+        env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+        shuffled = env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {x for x in shuffled if "/shuffle_" in x}, set(Path(session.shared_dir(spark).removeprefix("file:")).iterdir())
+
+    shuffled, tables = files()
+    out = drop(documents)
+    shuffled, tables = (after - before for before, after in zip((shuffled, tables), files(), strict=True))
+    labels = {x.name.rsplit("-", 1)[0] for x in tables}
+    assert not labels & {"profiles", "lists", "mixed", "led", "edges", "links", "digests", "snapshot", "texts", "groups"}
+    assert ("numbered" in labels) == (drop is not jaccard_join.jaccard_groups)
+    assert len(shuffled) <= 40, sorted(shuffled)[:5]  # of the last small join of what is dropped, if any
+    assert out.count() <= documents.count()
+
+
 @pytest.mark.parametrize("compare", ["star", "near"])
 def test_jaccard_near_copies_close_whatever_comes_first(compare):
     """Texts too far from a large group of near copies come before it: the first comparisons join nearly all of it."""

@@ -14,7 +14,9 @@ copies at a cost in proportion to their size. In the
 last round all holders that these links have not brought together are compared with each other, so no link between
 two components is lost, and no pair within one is made; a pair becomes a row only if what is sent along with the lists
 leaves room for a link: the outlines of both, one or two bits per shingle, and short hashes of the whole prefixes, by which
-the pair shares as many as it has to, wherever its other shingles are listed. Candidates are verified on whole sets, after those
+the pair shares as many as it has to, wherever its other shingles are listed. For that, lists of the same holder are brought together, that with the smallest hash of a
+list: copies and texts with a common part share many lists, so what is sent along goes to a few tasks, however many
+there are. Candidates are verified on whole sets, after those
 whose bitmaps of hashed shingles, at most a byte per shingle, already bound the overlap too low. Equal sets are one
 node from the start.
 
@@ -26,13 +28,15 @@ Only A-Z are lower-cased; words are separated by the six ASCII white-space chara
 text, or one without words, has an empty set and links with nothing. A text of fewer words than a shingle is
 one shingle. Null ids are kept and count last as smallest id. Repeated rows are copies of each other. An
 empty table gives an empty result. Only the id and the text are read, once: they are written with a row number,
-and that table is read once per round and twice before.
+and that table is read once per round and twice before. Shuffle files go with their query, and a written table goes as soon as
+the next no longer needs it.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -46,7 +50,7 @@ from tidemill.llm.common import by_bytes, fresh_name, give_back, numbered, small
 from tidemill.llm.components import connected_components
 from tidemill.llm.hashing import mixed
 from tidemill.llm.shingles import shingle_sets
-from tidemill.session import materialize
+from tidemill.session import discard, materialize, shuffles_freed
 
 SKETCH_BITS = 20
 SKETCH_CHUNKS = 64
@@ -58,6 +62,7 @@ HOT_ROWS = 100_000
 GROUP_ROWS = 128
 LONG_LIST = 16  # holders of a list from which `near` looks beyond its commonest label
 RING_TRIES = 2
+LONG_CHECKED = 512  # holders of a list up to which it loses those that meet nobody before the last round
 BLOCK_BYTES = 1 << 19
 PAIR_BYTES = 1 << 22  # of bitmaps compared at once
 PAIRS_HELD = 1 << 18
@@ -72,12 +77,13 @@ def overlap(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     return -(-3 * (n_a + n_b) // 7)
 
 
-def _source(docs: DataFrame, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
-    """(row, id, text) of a written table: every round has to find the same number on a row."""
+def _source(docs: DataFrame, id_col: str, text_col: str, row_col: str | None) -> tuple[DataFrame, list[DataFrame]]:
+    """(row, id, text) of a written table, as every round has to find the same number on a row, and the table if written here."""
     known = [F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")]
     if row_col is None:
-        return numbered(docs.select(*known), "row").select("row", "id", "text")
-    return docs.select(F.col(f"`{row_col}`").alias("row"), *known)
+        table = numbered(docs.select(*known), "row")
+        return table.select("row", "id", "text"), [table]
+    return docs.select(F.col(f"`{row_col}`").alias("row"), *known), []
 
 
 def _key(shingles: np.ndarray) -> bytes:
@@ -190,6 +196,16 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
             yield batch.slice(lo, hi - lo), shingle_sets(texts[lo:hi], size)
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs; `_wide` tells how many by the length."""
+    most = int(counts.max())
+    return counts.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes()
+
+
+def _wide(cell: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(cell, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(cell) // count]).astype(np.uint64)
+
+
 def profiles(source: DataFrame, size: int) -> DataFrame:
     """(row, id, n, key, bits, outline) per document, and per task the counts of its shingles by hash bucket (chunk, counts)."""
 
@@ -213,7 +229,7 @@ def profiles(source: DataFrame, size: int) -> DataFrame:
                 ],
                 names=names,
             )
-        parts = [p.tobytes() for p in np.split(counts, SKETCH_CHUNKS)]
+        parts = [_narrow(p) for p in np.split(counts, SKETCH_CHUNKS)]
         none = [pa.nulls(SKETCH_CHUNKS, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())]
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
@@ -227,20 +243,19 @@ def profiles(source: DataFrame, size: int) -> DataFrame:
 
 def sketch(found: DataFrame) -> np.ndarray:
     """The counts of all tasks, summed up in two steps; its size does not grow with the input."""
+    step = (1 << SKETCH_BITS) // SKETCH_CHUNKS
     parts = found.where(F.col("chunk").isNotNull()).select("chunk", (F.col("part") % 64).alias("part"), "counts")
 
     def add(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, np.uint32).astype(np.uint64) for c in group["counts"])
-        total = np.minimum(total, np.uint64((1 << 32) - 1)).astype(np.uint32)
-        return pd.DataFrame({"chunk": [key[0]], "part": [key[-1]], "counts": [total.tobytes()]})
+        total = np.minimum(sum(_wide(c, step) for c in group["counts"]), np.uint64((1 << 32) - 1))
+        return pd.DataFrame({"chunk": [key[0]], "part": [key[-1]], "counts": [_narrow(total)]})
 
     schema = "chunk int, part int, counts binary"
     first = parts.groupBy("chunk", "part").applyInPandas(add, schema)
     rows = first.groupBy("chunk").applyInPandas(add, schema).collect()
     out = np.zeros(1 << SKETCH_BITS, np.uint32)
     for r in rows:
-        step = len(out) // SKETCH_CHUNKS
-        out[r.chunk * step : (r.chunk + 1) * step] = np.frombuffer(bytes(r.counts), np.uint32)
+        out[r.chunk * step : (r.chunk + 1) * step] = _wide(bytes(r.counts), step)
     return out
 
 
@@ -415,6 +430,24 @@ class Lists:
         good = 4 * np.minimum(self.n[i], self.n[j]) >= 3 * np.maximum(self.n[i], self.n[j])
         return self.counted(i[good], j[good], whole=True)
 
+    def possible(self, label: np.ndarray, longest: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of positions of a list, of lists of up to `longest`, whose labels differ and whose places let them link, in blocks."""
+        for length in np.unique(self.length[self.length <= (longest or np.inf)]).tolist():
+            starts = self.start[self.length == length]
+            rows_at_once = max(1, min(length, PAIRS_HELD // length))
+            for lo in range(0, length, rows_at_once):
+                left, right = np.meshgrid(np.arange(lo, min(length, lo + rows_at_once)), np.arange(length), indexing="ij")
+                upper = left < right
+                left, right = left[upper], right[upper]
+                lists = max(1, PAIRS_HELD // max(1, len(left)))
+                for k in range(0, len(starts), lists):
+                    at = starts[k : k + lists, None]
+                    i, j = (at + left).ravel(), (at + right).ravel()
+                    good = np.flatnonzero(label[i] != label[j])
+                    i, j = i[good], j[good]
+                    good = np.flatnonzero(_possible(self.n, self.asked, self.place, i, j) & (self.row[i] != self.row[j]))
+                    yield i[good], j[good]
+
     def between(self, label: np.ndarray, bitmaps: Bitmaps, marks: Marks) -> tuple[np.ndarray, ...]:
         """Each holder with every other of its list that has another label, as far as bitmaps and marks let them link.
 
@@ -430,26 +463,13 @@ class Lists:
             good = marks.most_shared(pairs[0], pairs[1], pairs[3]) >= pairs[3]
             done.append(tuple(column[good] for column in pairs))
 
-        for length in np.unique(self.length).tolist():
-            starts = self.start[self.length == length]
-            rows_at_once = max(1, min(length, PAIRS_HELD // length))
-            for lo in range(0, length, rows_at_once):
-                left, right = np.meshgrid(np.arange(lo, min(length, lo + rows_at_once)), np.arange(length), indexing="ij")
-                upper = left < right
-                left, right = left[upper], right[upper]
-                lists = max(1, PAIRS_HELD // max(1, len(left)))
-                for k in range(0, len(starts), lists):
-                    at = starts[k : k + lists, None]
-                    i, j = (at + left).ravel(), (at + right).ravel()
-                    good = np.flatnonzero(label[i] != label[j])
-                    i, j = i[good], j[good]
-                    good = np.flatnonzero(_possible(self.n, self.asked, self.place, i, j) & (self.row[i] != self.row[j]))
-                    found_i.append(i[good])
-                    found_j.append(j[good])
-                    waiting += len(good)
-                    if waiting > PAIRS_HELD:
-                        screen()
-                        found_i, found_j, waiting = [], [], 0
+        for i, j in self.possible(label):
+            found_i.append(i)
+            found_j.append(j)
+            waiting += len(i)
+            if waiting > PAIRS_HELD:
+                screen()
+                found_i, found_j, waiting = [], [], 0
         if found_i:
             screen()
         if not done:
@@ -472,6 +492,22 @@ class Lists:
         return {name: getattr(self, name).astype(kind).tobytes() for name, kind in PACKED.items()}
 
 
+    def may_meet(self, label: np.ndarray) -> np.ndarray:
+        """Which positions have another one in their list that `between` would pair them with; those of very long lists pass."""
+        out = np.repeat(self.length > LONG_CHECKED, self.length)
+        for i, j in self.possible(label, LONG_CHECKED):
+            out[i] = out[j] = True
+        return out
+
+    def only(self, kept: np.ndarray) -> Lists:
+        """The lists of these positions."""
+        return Lists(self.token[kept], self.row[kept], self.n[kept], self.asked[kept], self.place[kept])
+
+    def leaders(self) -> np.ndarray:
+        """Per position the smallest hash of a holder of its list."""
+        return np.repeat(np.minimum.reduceat(mixed(self.row.astype(np.uint64)), self.start), self.length)
+
+
 PACKED = {"token": np.uint64, "row": np.int64, "n": np.uint32, "asked": np.uint8, "place": np.uint32}
 LISTS = "target int, token binary, row binary, n binary, asked binary, place binary"
 PAIRS = "a bigint, b bigint, shared bigint, asked bigint"
@@ -590,12 +626,46 @@ def near_pairs(mixed: DataFrame, salt: int) -> DataFrame:
     return mixed.groupBy("target").applyInPandas(reduce, PAIRS)
 
 
+def led_lists(live: DataFrame, partitions: int, groups: int) -> DataFrame:
+    """The lists and labels of `mixed_lists` (of so many partitions) as the last round needs them: without holders that meet nobody
+    there, and dealt over `groups` by their leaders.
+
+    What is sent along with a row goes to each group that has it. Dealt by shingles, a row would be in as many groups as it
+    has shingles in lists, and so in the more groups the larger the table. A leader of more than PARTITION_ROWS is dealt further.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                lists, label = _labelled(batch.slice(i, 1).to_pandas())
+                rows, first = np.unique(lists.row, return_index=True)
+                lists, label = lists.only(lists.may_meet(label)), label[first]
+                if not len(lists.row):
+                    continue
+                label = label[rows.searchsorted(lists.row)]
+                leader = lists.leaders()
+                _, of, count = np.unique(leader, return_inverse=True, return_counts=True)
+                pieces = -(-count[of] * partitions // PARTITION_ROWS)  # a shingle's partition is chance, so each has its share of a leader
+                group = mixed(leader + lists.token % pieces.astype(np.uint64)) % np.uint64(groups)
+                order = np.argsort(group, kind="stable")
+                cuts = np.append(np.flatnonzero(np.diff(group[order].astype(np.int64), prepend=-1)), len(order))
+                cells = {name: getattr(lists, name)[order].astype(kind) for name, kind in PACKED.items()} | {"label": label[order]}
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(group[order][cuts[:-1]].astype(np.int32)),
+                        *(pa.array([cell[lo:hi].tobytes() for lo, hi in pairwise(cuts.tolist())], pa.binary()) for cell in cells.values()),
+                    ],
+                    names=["target", *cells],
+                )
+
+    return live.select("target", *PACKED, "label").mapInArrow(tidy(run), f"{LISTS}, label binary")
+
+
 def all_pairs(mixed: DataFrame, found: DataFrame, groups: int) -> DataFrame:
     """All pairs of holders whose labels differ and whose outlines, in `profiles`, and marks let them link.
 
     A pair whose shingles in all lists are too few for it is not made, so that what a large group of copies shares by
-    chance makes no rows. The lists that are left are few: several partitions make one group, so that a pair is met, and an outline sent, fewer
-    times.
+    chance makes no rows. The lists are those of `led_lists`, which keep a pair, and the outlines sent, in few groups.
     """
     mixed = mixed.withColumn("target", (F.col("target") % groups).cast("int"))
     known = found.where(F.col("row").isNotNull()).select("row", "n", "outline").join(marks_of(mixed), "row")
@@ -702,23 +772,15 @@ def verified(source: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     return compared(sets, pairs, total, shared)
 
 
-def jaccard_groups(
-    docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
-) -> DataFrame:
-    """(row, id, n_shingles, component_id, first_row) per row of `docs`: the component's smallest id and the row that has it.
-
-    Of rows that share it, that with the smallest hash of its set counts, and of equal sets the first read.
-
-    `row_col` names the row numbers of a written table; without it the rows are numbered and written here.
-    """
-    source = _source(docs, id_col, text_col, row_col)
+def _components(docs: DataFrame, size: int, id_col: str, text_col: str, row_col: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(row, id, n, key) of the documents, (key, node, low, first) of equal sets, and (node, label) of those that link with others."""
+    source, written = _source(docs, id_col, text_col, row_col)
     found = materialize(profiles(source, size), "profiles")
-    rows = found.where(F.col("row").isNotNull()).select("row", "id", "n", "key")
+    rows = materialize(found.where(F.col("row").isNotNull()).select("row", "id", "n", "key"), "rows")
     total = rows.agg(F.sum("n")).first()[0] or 0
     partitions = max(LEAST_PARTITIONS, -(-total // (4 * PARTITION_ROWS)))
-    counts = sketch(found)
 
-    live = materialize(first_round(index_rows(source, counts, partitions, size)), "lists")
+    live = materialize(first_round(index_rows(source, sketch(found), partitions, size)), "lists")
     classes = rows.where("n > 0").groupBy("key").agg(
         F.min("row").alias("node"), F.min("id").alias("low"), F.min(F.struct(F.coalesce("id", F.lit(LAST_ID)).alias("id"), "row")).alias("first")
     )
@@ -735,11 +797,31 @@ def jaccard_groups(
     for salt in (1, 2, None):  # a few of each holder's pairs, twice, so that groups of copies close; then all that are left
         labels = connected_components(found_links)
         label_of = node_of.join(labels, "node", "left").select("row", F.coalesce("label", "node").alias("label"))
-        live = materialize(mixed_lists(live, label_of.where(F.col("row") != F.col("label"))), "mixed")
-        pairs = all_pairs(live, found, max(16, partitions // 4)) if salt is None else near_pairs(live, salt)
-        found_links = materialize(found_links.unionByName(links(screened(found, enough(pairs)))), "links")
+        before, live = live, materialize(mixed_lists(live, label_of.where(F.col("row") != F.col("label"))), "mixed")
+        discard(before)
+        if salt is None:
+            groups = max(16, partitions // 4)
+            before, live = live, materialize(led_lists(live, partitions, groups), "led")
+            discard(before)
+        pairs = all_pairs(live, found, groups) if salt is None else near_pairs(live, salt)
+        before, found_links = found_links, materialize(found_links.unionByName(links(screened(found, enough(pairs)))), "links")
+        discard(before)
     labels = connected_components(found_links)
+    discard(live, found, found_links, node_of, *written)
+    return rows, classes, labels
+
+
+def jaccard_groups(
+    docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
+) -> DataFrame:
+    """(row, id, n_shingles, component_id, first_row) per row of `docs`: the component's smallest id and the row that has it.
 
+    Of rows that share it, that with the smallest hash of its set counts, and of equal sets the first read.
+
+    `row_col` names the row numbers of a written table; without it the rows are numbered and written here.
+    """
+    with shuffles_freed(docs.sparkSession):
+        rows, classes, labels = _components(docs, size, id_col, text_col, row_col)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = F.min(F.struct("first.id", "key", "first.row")).alias("first_of_all")
     lowest = named.groupBy("label").agg(F.min("low").alias("component_id"), first)

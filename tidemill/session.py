@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +28,8 @@ RUNTIME_CONF = {
 TASK_BYTES_KEY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 TASK_BYTES = 16 << 20
 
+FREE_SHUFFLES_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def size_in_bytes(text: str) -> int:
     """A size as Spark's settings write it ("8m", "64MB", "1024"), in bytes."""
@@ -91,4 +96,28 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[table] = path
+    return table
+
+
+_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `materialize` wrote; no frame that is still to run may read them."""
+    for table in tables:
+        spark, path = table.sparkSession, _WRITTEN.pop(table)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that are planned and run inside leave no shuffle files, which else stay until the driver collects its garbage."""
+    before = spark.conf.get(FREE_SHUFFLES_KEY, None)
+    spark.conf.set(FREE_SHUFFLES_KEY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES_KEY) if before is None else spark.conf.set(FREE_SHUFFLES_KEY, before)
