@@ -295,7 +295,7 @@ def test_jaccard_led_lists_keep_every_pair(spark, monkeypatch, limit, checked):
         assert sum(len(x.row) for x, _ in held) < len(lists.row)
 
 
-@pytest.mark.parametrize("drop", [jaccard_join.jaccard_groups, jaccard_join.drop_near_copies])
+@pytest.mark.parametrize("drop", [jaccard_join.jaccard_groups, jaccard_join.drop_near_copies, exact_dedup.drop_copies])
 def test_scratch_goes_when_no_longer_needed(spark, documents, drop):
     """Left are the tables that the result reads: small ones, and of what keeps the documents their numbered copy."""
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import fuse
 from tidemill.llm.common import columns, fresh_name, numbered, small_batches, tidy, utf8
-from tidemill.session import materialize
+from tidemill.session import discard, materialize, shuffles_freed
 
 KEYS_PER_BUCKET = 200_000
 FILTER_BYTES = 16 << 20
@@ -163,16 +163,29 @@ def exact_groups(
     `incoming` tells the batch from the snapshot by the column `id`; by default odd ids come in. `row` is the
     number that `row_col` names in a written table; without it, one drawn here that cannot be joined with `docs`.
     """
+    return _groups(docs, incoming, id_col, text_col, digest, row_col)[0]
+
+
+def _groups(
+    docs: DataFrame, incoming: Column | None, id_col: str, text_col: str, digest: Callable[[bytes], bytes], row_col: str | None
+) -> tuple[DataFrame, list[DataFrame]]:
+    """`exact_groups` and the tables written for it, which it reads."""
+    tables: list[DataFrame] = []
+
+    def written(df: DataFrame, label: str) -> DataFrame:
+        tables.append(materialize(df, label))
+        return tables[-1]
+
     incoming = F.coalesce(F.pmod("id", F.lit(2)), F.lit(0)) == 1 if incoming is None else incoming
     rows = digest_rows(docs, id_col, text_col, digest, row_col)
-    rows = materialize(rows.withColumn("incoming", F.coalesce(incoming, F.lit(False))), "digests")
+    rows = written(rows.withColumn("incoming", F.coalesce(incoming, F.lit(False))), "digests")
 
-    old = materialize(grouped(rows.where(~F.col("incoming"))), "snapshot")
+    old = written(grouped(rows.where(~F.col("incoming"))), "snapshot")
     buckets = buckets_for(old.count())
     old = old.withColumn("bucket", bucket_of(F.col("digest"), buckets))
-    filters = materialize(filters_of(old), "filters")
+    filters = written(filters_of(old), "filters")
     new = grouped(rows.where("incoming")).withColumn("bucket", bucket_of(F.col("digest"), buckets))
-    new = materialize(screen(new, filters), "screened")
+    new = written(screen(new, filters), "screened")
 
     before = old.select("digest", F.col("size").alias("old_size"), F.col("last").alias("old_last"))
     met = new.where("maybe").join(before, "digest", "left")
@@ -182,18 +195,18 @@ def exact_groups(
         F.greatest("last", "old_last").alias("last"),
         F.col("old_size").isNotNull().alias("known"),
     )
-    met = materialize(met, "met")
+    met = written(met, "met")
     groups = (
         met.drop("known")
         .unionByName(new.where(~F.col("maybe")).select("digest", "size", "last"))
         .unionByName(old.select("digest", "size", "last").join(met.where("known").select("digest"), "digest", "left_anti"))
     )
-    groups = materialize(groups, "groups")
+    groups = written(groups, "groups")
 
     repeated = groups.where("size > 1")
     texts = texts_of(docs, repeated.select("digest"), text_col, id_col, digest)
     compared = texts.join(repeated.select("digest", F.col("last.id").alias("keep")), "digest")
-    compared = materialize(compared, "texts")
+    compared = written(compared, "texts")
     stays = compared.where(F.coalesce("id", F.lit(LOWEST)) == F.col("keep")).groupBy("digest").agg(F.min("text").alias("stays"))
     checked = (
         compared.select("digest", "text")
@@ -206,7 +219,7 @@ def exact_groups(
         "digest", F.when(F.col("equal") == F.col("size"), F.col("equal")).otherwise(trouble).alias("size"), "last"
     )
     groups = groups.where("size = 1").unionByName(sizes)
-    return rows.join(groups, "digest").select(
+    found = rows.join(groups, "digest").select(
         "row",
         "id",
         F.when(F.col("last.id") != LOWEST, F.col("last.id")).alias("keep_id"),
@@ -214,12 +227,15 @@ def exact_groups(
         (F.col("row") == -F.col("last.back")).alias("kept"),
         "digest",
     )
+    return found, tables
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
     row = fresh_name(docs, "row")
-    docs = numbered(docs, row)
-    groups = exact_groups(docs, id_col=id_col, text_col=text_col, row_col=row)
-    gone = groups.where(~F.col("kept")).select(F.col("row").alias(row))
-    return docs.join(materialize(gone, "gone"), row, "left_anti").drop(row)  # written, so that the join knows its size
+    with shuffles_freed(docs.sparkSession):
+        docs = numbered(docs, row)
+        groups, tables = _groups(docs, None, id_col, text_col, sha256, row)
+        gone = materialize(groups.where(~F.col("kept")).select(F.col("row").alias(row)), "gone")  # written, so that the join knows its size
+        discard(*tables)
+    return docs.join(gone, row, "left_anti").drop(row)
